@@ -30,7 +30,7 @@ def _part(c: Column, pattern: str, group: int) -> Column:
 
 
 def _month_number(c: Column, pattern: str, group: int) -> Column:
-    at = F.locate(F.lower(F.regexp_extract(c, pattern, group)), F.lit(MONTH_NAMES))
+    at = F.position(F.lower(F.regexp_extract(c, pattern, group)), F.lit(MONTH_NAMES))
     return F.when((at - 1) % 3 == 0, ((at + 2) / 3).cast("int"))
 
 

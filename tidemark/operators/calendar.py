@@ -10,22 +10,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def date_range(sources: Sequence[tuple[DataFrame, str]]) -> DataFrame:
-    """One row (first, last): earliest and latest day in any of the (table, column) pairs.
+def date_range(sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """One row (first, last): earliest and latest day in any of the given tables' columns.
 
-    ``YYYY-MM`` text stands for the first day of its month. Each source is
-    reduced to one row before the union.
+    ``YYYY-MM`` text stands for the first day of its month. Every table is
+    scanned once and reduced to one row before the union.
     """
     parts = []
-    for df, column in sources:
-        value = F.col(column)
-        if dict(df.dtypes)[column] == "string":
-            value = F.concat(value, F.lit("-01")).try_cast("date")
-        parts.append(df.select(value.cast("date").alias("d")).agg(F.min("d").alias("first"), F.max("d").alias("last")))
+    for df, columns in sources:
+        types = dict(df.dtypes)
+        days = [_as_day(name, types[name] == "string") for name in columns]
+        lows = [F.min(day) for day in days]
+        highs = [F.max(day) for day in days]
+        parts.append(df.agg(_pick(F.least, lows).alias("first"), _pick(F.greatest, highs).alias("last")))
     united = reduce(DataFrame.union, parts)
     return united.agg(F.min("first").alias("first"), F.max("last").alias("last"))
 
 
+def _as_day(name: str, is_text: bool) -> Column:
+    return F.concat(F.col(name), F.lit("-01")).try_cast("date") if is_text else F.col(name).cast("date")
+
+
+def _pick(choose, values: list[Column]) -> Column:
+    return values[0] if len(values) == 1 else choose(*values)
+
+
 def _number(c: Column) -> Column:
     return c.cast("long")
 

@@ -253,30 +253,25 @@ HISTORY_EXPORTS: tuple[ExportSpec, ...] = (
     ),
 )
 
-# (mart, column) pairs whose values the calendar must cover.
-CALENDAR_SOURCES = (
-    ("connections_summary", "connection_year_month"),
-    ("career_progression", "start_year_month"),
-    ("education_summary", "start_year_month"),
-    ("certifications_summary", "start_year_month"),
-    ("job_applications_summary", "application_year_month"),
-    ("recommendations_received_timeline", "recommendation_year_month"),
-    ("events_summary", "event_year_month"),
-    ("invitations_summary", "invitation_year_month"),
-    ("company_follows_summary", "first_follow_date"),
-    ("company_follows_summary", "last_follow_date"),
-    ("endorsement_received_info_summary", "first_endorsement_date"),
-    ("endorsement_received_info_summary", "last_endorsement_date"),
-    ("recommendations_received_summary", "first_recommendation_date"),
-    ("recommendations_received_summary", "last_recommendation_date"),
-    ("file_inventory_summary", "primeira_execucao_inventario"),
-    ("file_inventory_summary", "ultima_execucao_inventario"),
-    ("pipeline_health_summary", "latest_inventory_timestamp"),
-    ("ingestion_audit_health_timeline", "loaded_on"),
-    ("ingestion_audit_null_rate_timeline", "loaded_on"),
-    ("contact_account_summary", "first_registered_at"),
-    ("contact_account_summary", "latest_registered_at"),
-)
+# Marts and the columns whose values the calendar must cover.
+CALENDAR_SOURCES = {
+    "connections_summary": ("connection_year_month",),
+    "career_progression": ("start_year_month",),
+    "education_summary": ("start_year_month",),
+    "certifications_summary": ("start_year_month",),
+    "job_applications_summary": ("application_year_month",),
+    "recommendations_received_timeline": ("recommendation_year_month",),
+    "events_summary": ("event_year_month",),
+    "invitations_summary": ("invitation_year_month",),
+    "company_follows_summary": ("first_follow_date", "last_follow_date"),
+    "endorsement_received_info_summary": ("first_endorsement_date", "last_endorsement_date"),
+    "recommendations_received_summary": ("first_recommendation_date", "last_recommendation_date"),
+    "file_inventory_summary": ("primeira_execucao_inventario", "ultima_execucao_inventario"),
+    "pipeline_health_summary": ("latest_inventory_timestamp",),
+    "ingestion_audit_health_timeline": ("loaded_on",),
+    "ingestion_audit_null_rate_timeline": ("loaded_on",),
+    "contact_account_summary": ("first_registered_at", "latest_registered_at"),
+}
 
 CALENDAR_EXPORT = _spec(
     "dim_date",
@@ -318,7 +313,7 @@ OBSERVABILITY_COLUMNS = {
 
 def calendar(models: Models, as_of: dt.date | str | None = None) -> DataFrame:
     """Calendar over every date in the marts; sources are reduced per mart before they meet."""
-    bounds = date_range([(models.mart(mart), column) for mart, column in CALENDAR_SOURCES])
+    bounds = date_range([(models.mart(mart), columns) for mart, columns in CALENDAR_SOURCES.items()])
     return build_calendar(bounds, as_of)
 
 
