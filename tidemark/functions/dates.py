@@ -1,8 +1,10 @@
 """Date columns: zone-free parsing, calendar differences, month keys.
 
 Parsed values are ``timestamp_ntz``: they carry wall-clock time and never
-depend on the session zone. Formats are matched by pattern and assembled with
-``try_make_timestamp_ntz``, so an impossible date is NULL instead of an error.
+depend on the session zone. One pattern decides which shape a text has, so at
+most one parser runs per row, and an impossible date is NULL instead of an
+error. Parsers are kept short: together they must stay within what the JVM
+compiles as one generated method.
 """
 
 from __future__ import annotations
@@ -12,70 +14,48 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import as_text, col, nullif_trim_text, strip_text
+from tidemark.functions.text import as_text, col, nullif_trim_text
 
-ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?)?)?$"
-ZULU_SUFFIX = r"(?i)\s*(UTC|Z)$"
-US_SHAPE = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{2}), (\d{1,2}):(\d{1,2}) (AM|PM)$"
-US_LONG_YEAR = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4})(?:,? (\d{1,2}):(\d{1,2}) (AM|PM))?$"
-US_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{2})$"
-MONTH_FIRST = r"(?i)^([a-z]{3})[a-z]* (\d{1,2}), (\d{4})(?: (\d{1,2}):(\d{1,2}) (AM|PM))?$"
-DAY_FIRST = r"(?i)^(\d{1,2}) ([a-z]{3})[a-z]* (\d{4})$"
-MONTH_YEAR = r"(?i)^([a-z]{3})[a-z]* (\d{4})$"
-MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
+CLOCK = r"(0?[1-9]|1[0-2]):[0-5]?\d (AM|PM)"
+ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?( ?UTC|Z)?)?)?)?$"
+US_SHAPE = rf"(?i)^\d{{1,2}}/\d{{1,2}}/\d{{2}}, {CLOCK}$"
+US_ANY_SHAPE = rf"(?i)^\d{{1,2}}/\d{{1,2}}/(\d{{2}}|\d{{4}})(,? {CLOCK})?$"
+MONTH_FIRST_AT = rf"(?i)^[a-z]{{3,9}} \d{{1,2}}, \d{{4}} {CLOCK}$"
+NAMED_SHAPE = rf"(?i)^((\d{{1,2}} )?[a-z]{{3,9}} \d{{4}}|[a-z]{{3,9}} \d{{1,2}}, \d{{4}}( {CLOCK})?)$"
 
 
-def _part(c: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(c, pattern, group).try_cast("int")
+def _named_day(c: Column) -> Column:
+    """``05 Jan 2020``, ``Jan 2020`` or ``January 5, 2020`` in the first words of a text."""
+    words = F.substring_index(c, " ", 3)
+    short = F.regexp_replace(words, r"([A-Za-z]{3})[A-Za-z]+(?= )", "$1")
+    return F.try_to_date(short, "[d ]MMM[ d,] yyyy")
 
 
-def _month_number(c: Column, pattern: str, group: int) -> Column:
-    at = F.position(F.lower(F.regexp_extract(c, pattern, group)), F.lit(MONTH_NAMES))
-    return F.when((at - 1) % 3 == 0, ((at + 2) / 3).cast("int"))
+def _clock(c: Column) -> Column:
+    """The time of day of a text ending in ``h:mm AM``, as an interval."""
+    clock = F.substring_index(c, " ", -2)
+    hour = F.substring_index(clock, ":", 1).cast("int") % 12
+    minute = F.substr(F.substring_index(clock, ":", -1), F.lit(1), F.lit(2)).cast("int")
+    afternoon = F.when(F.upper(F.right(c, F.lit(2))) == "PM", 12).otherwise(0)
+    return F.make_dt_interval(F.lit(0), hour + afternoon, minute)
 
 
-def _hour24(c: Column, pattern: str, hour: int, half: int) -> Column:
-    value = _part(c, pattern, hour)
-    afternoon = F.upper(F.regexp_extract(c, pattern, half)) == "PM"
-    return F.when(value.between(1, 12), value % 12 + F.when(afternoon, 12).otherwise(0))
-
-
-def _make(year: Column, month: Column, day: Column, hour: Column | None = None, minute: Column | None = None) -> Column:
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(
-        year, month, day, zero if hour is None else hour, zero if minute is None else minute, F.lit(0)
-    )
-
-
-def _two_digit_year(value: Column) -> Column:
-    """Years 69..99 belong to the 1900s, 00..68 to the 2000s."""
-    return value + F.when(value >= 69, 1900).otherwise(2000)
+def _this_century(day: Column) -> Column:
+    """Two-digit years are read as 20xx; 69..99 belong to the 1900s."""
+    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
 
 
 def parse_us_datetime(c: Column | str) -> Column:
     """``04/05/26, 09:15 AM``; anything else is NULL."""
     text = as_text(c)
-    parsed = _make(
-        _two_digit_year(_part(text, US_SHAPE, 3)),
-        _part(text, US_SHAPE, 1),
-        _part(text, US_SHAPE, 2),
-        _hour24(text, US_SHAPE, 4, 6),
-        _part(text, US_SHAPE, 5),
-    )
-    return F.when(text.rlike(US_SHAPE), parsed)
+    day = _this_century(F.try_to_date(F.substring_index(text, ",", 1), "M/d/yy"))
+    return F.when(text.rlike(US_SHAPE), day.cast("timestamp_ntz") + _clock(text))
 
 
 def parse_month_name_datetime(c: Column | str) -> Column:
-    """``Apr 10, 2025 08:00 AM``; a missing time of day is NULL here."""
+    """``Apr 10, 2025 08:00 AM``; anything else is NULL."""
     text = as_text(c)
-    parsed = _make(
-        _part(text, MONTH_FIRST, 3),
-        _month_number(text, MONTH_FIRST, 1),
-        _part(text, MONTH_FIRST, 2),
-        _hour24(text, MONTH_FIRST, 4, 6),
-        _part(text, MONTH_FIRST, 5),
-    )
-    return F.when(text.rlike(MONTH_FIRST), parsed)
+    return F.when(text.rlike(MONTH_FIRST_AT), _named_day(text).cast("timestamp_ntz") + _clock(text))
 
 
 def split_range(c: Column | str, separator: str = " - ") -> tuple[Column, Column]:
@@ -87,50 +67,20 @@ def split_range(c: Column | str, separator: str = " - ") -> tuple[Column, Column
 def parse_mixed(c: Column | str) -> Column:
     """The documented list of date shapes; unknown text is NULL.
 
-    ISO date / month / year / date-time (optional ``T``, fraction, trailing
+    ISO date, month, year or date-time (optional ``T``, fraction, trailing
     UTC), ``dd MMM yyyy``, ``MMM yyyy``, ``MMM d, yyyy [h:mm a]``,
-    ``M/d/yy[, h:mm a]`` and ``M/d/yyyy[ h:mm a]``. Each row evaluates only
-    the branch whose shape it has.
+    ``M/d/yy[, h:mm a]`` and ``M/d/yyyy[ h:mm a]``. The text must already be
+    stripped; see ``parse_date_columns``.
     """
-    text = strip_text(c)
-    plain = F.regexp_replace(text, ZULU_SUFFIX, "")
-    long_hour = F.when(F.regexp_extract(text, US_LONG_YEAR, 6) == "", 0).otherwise(_hour24(text, US_LONG_YEAR, 4, 6))
-    long_minute = F.coalesce(_part(text, US_LONG_YEAR, 5), F.lit(0))
-    name_hour = F.when(F.regexp_extract(text, MONTH_FIRST, 6) == "", 0).otherwise(_hour24(text, MONTH_FIRST, 4, 6))
-    name_minute = F.coalesce(_part(text, MONTH_FIRST, 5), F.lit(0))
-    return (
-        F.when(plain.rlike(ISO_SHAPE), plain.try_cast("timestamp_ntz"))
-        .when(
-            text.rlike(DAY_FIRST),
-            _make(_part(text, DAY_FIRST, 3), _month_number(text, DAY_FIRST, 2), _part(text, DAY_FIRST, 1)),
-        )
-        .when(text.rlike(MONTH_YEAR), _make(_part(text, MONTH_YEAR, 2), _month_number(text, MONTH_YEAR, 1), F.lit(1)))
-        .when(
-            text.rlike(MONTH_FIRST),
-            _make(
-                _part(text, MONTH_FIRST, 3),
-                _month_number(text, MONTH_FIRST, 1),
-                _part(text, MONTH_FIRST, 2),
-                name_hour,
-                name_minute,
-            ),
-        )
-        .when(text.rlike(US_SHAPE), parse_us_datetime(text))
-        .when(
-            text.rlike(US_DATE),
-            _make(_two_digit_year(_part(text, US_DATE, 3)), _part(text, US_DATE, 1), _part(text, US_DATE, 2)),
-        )
-        .when(
-            text.rlike(US_LONG_YEAR),
-            _make(
-                _part(text, US_LONG_YEAR, 3),
-                _part(text, US_LONG_YEAR, 1),
-                _part(text, US_LONG_YEAR, 2),
-                long_hour,
-                long_minute,
-            ),
-        )
+    text = as_text(c)
+    clock = F.when(F.upper(F.right(text, F.lit(2))).isin("AM", "PM"), _clock(text)).otherwise(F.make_dt_interval())
+    us_text = F.substring_index(F.substring_index(text, ",", 1), " ", 1)
+    us_day = F.when(us_text.rlike(r"/\d\d$"), _this_century(F.try_to_date(us_text, "M/d/yy"))).otherwise(
+        F.try_to_date(us_text, "M/d/yyyy")
     )
+    day = F.when(text.rlike(NAMED_SHAPE), _named_day(text)).when(text.rlike(US_ANY_SHAPE), us_day)
+    iso = F.substring_index(text, "UTC", 1).try_cast("timestamp_ntz")
+    return F.when(text.rlike(ISO_SHAPE), iso).otherwise(day.cast("timestamp_ntz") + clock)
 
 
 def to_date(c: Column | str) -> Column:

@@ -43,23 +43,29 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(text.as_text(column).alias("value")).where(~text.is_blank("value")).distinct()
 
 
-def labelled_counts(tables: Mapping[str, DataFrame], label: str = "domain_name", count: str = "total_records") -> DataFrame:
-    """(label, row count) of several tables: one tiny aggregate each, then a union.
+def labelled_counts(
+    tables: Mapping[str, DataFrame | Sequence[DataFrame]], label: str = "domain_name", count: str = "total_records"
+) -> DataFrame:
+    """(label, row count) of several tables; a label with several tables gets their sum.
 
-    Tables given under one label twice (as a list) are added up.
+    All tables are read by one union and counted by one aggregate, so there is
+    a single shuffle of a few rows per task. A zero row per label keeps empty
+    tables in the result.
     """
-    parts = []
-    for name, frames in tables.items():
-        for df in frames if isinstance(frames, (list, tuple)) else [frames]:
-            parts.append(df.agg(F.lit(name).alias(label), F.count(F.lit(1)).alias(count)))
-    united = reduce(DataFrame.unionByName, parts)
-    return united.groupBy(label).agg(F.sum(count).alias(count))
+    frames = [
+        (name, df)
+        for name, value in tables.items()
+        for df in (value if isinstance(value, (list, tuple)) else [value])
+    ]
+    ones = [df.select(F.lit(name).alias(label), F.lit(1).cast("long").alias("n")) for name, df in frames]
+    zeros = ones[0].sparkSession.createDataFrame([(name, 0) for name in tables], f"`{label}` string, n long")
+    return reduce(DataFrame.unionByName, ones, zeros).groupBy(label).agg(F.sum("n").alias(count))
 
 
 def counts_as_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row with a count column per table (union, then one conditional aggregate)."""
-    united = labelled_counts(tables, "name", "n")
-    return united.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in tables])
+    """One row with a count column per table."""
+    counted = labelled_counts(tables, "name", "n")
+    return counted.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in tables])
 
 
 def one_row(*aggregates: DataFrame) -> DataFrame:

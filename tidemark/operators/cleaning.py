@@ -44,7 +44,9 @@ def clean_text_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def parse_date_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({name: dates.parse_mixed(name) for name in names})
+    """Strip first, in a projection of its own, so that each text is stripped once and not per shape test."""
+    stripped = df.withColumns({name: text.strip_text(name) for name in names})
+    return stripped.withColumns({name: dates.parse_mixed(name) for name in names})
 
 
 def parse_us_datetime_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -115,8 +117,8 @@ class Recipe:
     def __call__(self, df: DataFrame) -> DataFrame:
         df = rename_synonyms(normalize_columns(df), self.synonyms)
         df = ensure_columns(df, [*self.text_columns, *self.mixed_dates, *self.us_datetimes, *self.booleans])
-        cleaned = {name: text.clean_text(name) for name in (*self.text_columns, *self.booleans)}
-        cleaned |= {name: dates.parse_mixed(name) for name in self.mixed_dates}
+        df = parse_date_columns(df, self.mixed_dates) if self.mixed_dates else df
+        cleaned = {name: text.clean_text(name) for name in self.text_columns}
         cleaned |= {name: dates.parse_us_datetime(name) for name in self.us_datetimes}
         cleaned |= {name: boolean_of(name) for name in self.booleans}
         df = df.withColumns(cleaned)

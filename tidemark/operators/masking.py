@@ -116,7 +116,7 @@ def coarsen_dates(df: DataFrame) -> DataFrame:
     if hinted:
         from tidemark.functions.dates import parse_mixed
 
-        parsed = {name: parse_mixed(name) for name in hinted}
+        parsed = {name: parse_mixed(text.strip_text(name)) for name in hinted}
         found = df.agg(*[F.count(p).alias(name) for name, p in parsed.items()]).first()
         changes |= {name: month_floor(parsed[name]) for name in hinted if found[name] > 0}
     return df.withColumns(changes) if changes else df

@@ -54,10 +54,13 @@ def month_spine(frames: Sequence[DataFrame], key: str) -> DataFrame:
 
 
 def spread_on_months(frames: Sequence[DataFrame], key: str, fill: Mapping[str, float]) -> DataFrame:
-    """All frames left-joined onto their common month spine, gaps filled.
+    """All frames side by side on every month that occurs in any of them, gaps filled.
 
-    Every side is month-grain, which bounds it by the calendar.
+    The same rows as left joins onto the month spine, but without computing a
+    frame once for the spine and again for its join: the frames, which have one
+    row per month each, are stacked and folded by month in a single aggregate.
     """
-    spine = month_spine(frames, key)
-    joined = reduce(lambda left, right: left.join(right, key, "left"), frames, spine)
-    return joined.fillna(dict(fill))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    names = [name for name in stacked.columns if name != key]
+    dated = stacked.where(F.col(key).isNotNull())
+    return dated.groupBy(key).agg(*[F.max(name).alias(name) for name in names]).fillna(dict(fill))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregates import labelled_counts
 from tidemark.sources.export_dirs import _path_exists
 
 # The layers of the warehouse, in build order.
@@ -77,17 +77,14 @@ class Warehouse:
 
 
 def census(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, row_count, column_count, column_names): counts come from Parquet footers alone."""
-    parts = [
-        df.agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.lit(len(df.columns)).cast("long").alias("column_count"),
-            F.lit(", ".join(df.columns)).alias("column_names"),
-        )
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """(table_name, row_count, column_count, column_names); no column is read to count the rows."""
+    counted = labelled_counts(tables, "table_name", "row_count")
+    names = {name: ", ".join(df.columns) for name, df in tables.items()}
+    described = F.create_map(*[F.lit(x) for name, listed in names.items() for x in (name, listed)])
+    listed = F.element_at(described, F.col("table_name"))
+    return counted.select(
+        "table_name", "row_count", F.size(F.split(listed, ", ")).cast("long").alias("column_count"), listed.alias("column_names")
+    )
 
 
 def warehouse_census(warehouse: Warehouse) -> DataFrame:
