@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,25 +12,14 @@ from tidemark.plans.enriched import Settings
 from tidemark.plans.models import Models
 
 
-@dataclass
 class Context:
     """One run over one driver directory."""
 
-    spark: SparkSession
-    sf_dir: str
-
-    def __post_init__(self) -> None:
-        settings = Settings(as_of=AS_OF, portfolio_url=PORTFOLIO)
-        self.models = Models(lambda table: inputs.bronze_input(self.spark, self.sf_dir, table), settings)
-
-    def table(self, name: str) -> DataFrame:
-        return inputs.driver_table(self.spark, self.sf_dir, name)
-
-    def raw(self, table: str) -> DataFrame:
-        return inputs.raw_input(self.spark, self.sf_dir, table)
-
-    def sql(self, text: str) -> DataFrame:
-        return inputs.run_sql(self.spark, self.sf_dir, text)
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        tables = inputs.DriverTables(spark, sf_dir)
+        self.table, self.raw, self.sql = tables.table, tables.raw, tables.sql
+        self.models = Models(tables.bronze, Settings(as_of=AS_OF, portfolio_url=PORTFOLIO))
 
 
 Builder = Callable[[Context], DataFrame]

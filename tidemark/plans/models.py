@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from tidemark.plans import audit_marts, history, marts
-from tidemark.plans.enriched import ENRICHERS, Settings, enrich
+from tidemark.plans.enriched import Settings, enrich
 from tidemark.plans.staging import stage
 from tidemark.sources.warehouse import Warehouse
 
@@ -47,7 +47,12 @@ class Models:
         return self._once("enriched", table, lambda: enrich(table, self.staged(table), self.settings))
 
     def countable(self, table: str) -> DataFrame:
-        return self.enriched(table) if table in ENRICHERS else self.staged(table)
+        """Something with as many rows as the table's model, to count them.
+
+        Staging and enriched models are projections, so that is the bronze
+        table itself, with nothing of the model to plan.
+        """
+        return self.bronze(table)
 
     def mart(self, name: str) -> DataFrame:
         return self._once("mart", name, lambda: self._mart(name))
