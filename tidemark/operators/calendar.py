@@ -107,5 +107,5 @@ def facts_per_calendar(calendar: DataFrame, fact: DataFrame, day: str, attribute
     The fact is reduced to days before the join, so its volume never meets the
     calendar.
     """
-    per_day = fact.groupBy(F.col(day).cast("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
-    return calendar.join(per_day, "date", "inner").groupBy(*attributes).agg(F.sum("n").alias(count))
+    per_day = fact.groupBy(F.col(day).cast("date").alias("date")).agg(F.count(F.lit(1)).alias("__rows"))
+    return calendar.join(per_day, "date", "inner").groupBy(*attributes).agg(F.sum("__rows").alias(count))

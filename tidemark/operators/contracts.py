@@ -59,10 +59,10 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Two aggregates: the per-key count combines map-side, so a hot key costs
     one partial row per task.
     """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("duplicate_rows"),
     )
 
 
@@ -75,15 +75,15 @@ def validate_contract(df: DataFrame, contract: TableContract) -> DataFrame:
         lambda total, name: total + F.when(text.is_blank(name), 1).otherwise(0), checked, F.lit(0)
     ).cast("long")
     if keys and len(keys) == len(contract.unique):
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(blanks).alias("b"))
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.sum(blanks).alias("__blank"))
     else:
-        per_key = df.agg(F.count(F.lit(1)).alias("n"), F.sum(blanks).alias("b"))
-    duplicates = F.sum(F.col("n") - 1) if keys else F.lit(0)
+        per_key = df.agg(F.count(F.lit(1)).alias("__rows"), F.sum(blanks).alias("__blank"))
+    duplicates = F.sum(F.col("__rows") - 1) if keys else F.lit(0)
     return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("row_count"),
         F.lit(", ".join(missing)).alias("missing_columns"),
         F.coalesce(duplicates, F.lit(0)).cast("long").alias("duplicate_rows"),
-        F.coalesce(F.sum("b"), F.lit(0)).alias("blank_required_values"),
+        F.coalesce(F.sum("__blank"), F.lit(0)).alias("blank_required_values"),
     )
 
 
