@@ -107,7 +107,7 @@ def test_month_end(spark):
 
 
 def test_booleans(spark):
-    got = evaluate(spark, [" YES", "sim", "1", "No", "não", "NAO", "maybe", "", None], boolean_of)
+    got = evaluate(spark, [" YES", "sim", "1", "No", "não", "NAO", "maybe", "", None], lambda c: boolean_of(F.trim(c)))
     assert got == [True, True, True, False, False, False, None, None, None]
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import lexicon
@@ -104,6 +105,20 @@ def test_running_operators(spark, rows):
     ]
 
 
+def test_previous_values_match_lag_within_and_across_periods(spark, rows):
+    rng = random.Random(7)
+    start = dt.datetime(2024, 1, 1)
+    data = []
+    for i in range(600):
+        at = start + dt.timedelta(hours=rng.randrange(400))
+        data.append((rng.choice(["hot", "hot", "hot", "cold", None]), at, at.date(), i, rng.choice([None, i])))
+    df = spark.createDataFrame(data, "k string, at timestamp_ntz, day date, i int, v int").repartition(5)
+    got = windows.with_previous(df, {"v": "pv", "i": "pi"}, ["k"], ["at", "i"], "day")
+    plain = Window.partitionBy("k").orderBy("at", "i")
+    expected = df.withColumns({"pv": F.lag("v").over(plain), "pi": F.lag("i").over(plain)})
+    assert rows(got) == rows(expected)
+
+
 def test_months_are_spread_without_the_null_month(spark, rows):
     a = spark.createDataFrame([("2024-01", 1), (None, 9)], "ym string, a int")
     b = spark.createDataFrame([("2024-02", 2.5)], "ym string, b double")

@@ -819,7 +819,7 @@ def distinct_month_union(c: Context) -> DataFrame:
 )
 def order_nulls_last(c: Context) -> DataFrame:
     staged = c.models.staged("connections").select("connected_on", "company", "last_name")
-    return staged.orderBy(F.desc_nulls_last("connected_on"), F.asc_nulls_last("company"))
+    return staged.orderBy(*insights.order_keys(("-connected_on",), staged.columns))
 
 
 @query(

@@ -40,16 +40,17 @@ def _clock(c: Column) -> Column:
     return F.make_dt_interval(F.lit(0), hour + afternoon, minute)
 
 
-def _this_century(day: Column) -> Column:
-    """Two-digit years are read as 20xx; 69..99 belong to the 1900s."""
-    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
+def _us_day(c: Column) -> Column:
+    """``M/d/yy`` at the start of a text; years 69..99 belong to the 1900s, 00..68 to the 2000s."""
+    year = F.left(F.substring_index(c, "/", -1), F.lit(2))
+    century = F.when(year >= "69", F.lit("/19")).otherwise(F.lit("/20"))
+    return F.try_to_date(F.concat(F.substring_index(c, "/", 2), century, year), "M/d/yyyy")
 
 
 def parse_us_datetime(c: Column | str) -> Column:
     """``04/05/26, 09:15 AM``; anything else is NULL."""
     text = as_text(c)
-    day = _this_century(F.try_to_date(F.substring_index(text, ",", 1), "M/d/yy"))
-    return F.when(text.rlike(US_SHAPE), day.cast("timestamp_ntz") + _clock(text))
+    return F.when(text.rlike(US_SHAPE), _us_day(text).cast("timestamp_ntz") + _clock(text))
 
 
 def parse_month_name_datetime(c: Column | str) -> Column:
@@ -75,9 +76,7 @@ def parse_mixed(c: Column | str) -> Column:
     text = as_text(c)
     clock = F.when(F.upper(F.right(text, F.lit(2))).isin("AM", "PM"), _clock(text)).otherwise(F.make_dt_interval())
     us_text = F.substring_index(F.substring_index(text, ",", 1), " ", 1)
-    us_day = F.when(us_text.rlike(r"/\d\d$"), _this_century(F.try_to_date(us_text, "M/d/yy"))).otherwise(
-        F.try_to_date(us_text, "M/d/yyyy")
-    )
+    us_day = F.when(us_text.rlike(r"/\d\d$"), _us_day(us_text)).otherwise(F.try_to_date(us_text, "M/d/yyyy"))
     day = F.when(text.rlike(NAMED_SHAPE), _named_day(text)).when(text.rlike(US_ANY_SHAPE), us_day)
     iso = F.substring_index(text, "UTC", 1).try_cast("timestamp_ntz")
     return F.when(text.rlike(ISO_SHAPE), iso).otherwise(day.cast("timestamp_ntz") + clock)

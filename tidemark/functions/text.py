@@ -42,9 +42,13 @@ def strip_text(c: Column | str) -> Column:
     return F.btrim(as_text(c), F.lit(lexicon.STRIP_CHARACTERS))
 
 
+def blank_markers_to_null(c: Column | str) -> Column:
+    """For text that is already stripped."""
+    return F.when(~col(c).isin(*lexicon.BLANK_MARKERS), col(c))
+
+
 def clean_text(c: Column | str) -> Column:
-    stripped = strip_text(c)
-    return F.when(~stripped.isin(*lexicon.BLANK_MARKERS), stripped)
+    return blank_markers_to_null(strip_text(c))
 
 
 def is_blank(c: Column | str) -> Column:

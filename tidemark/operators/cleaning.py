@@ -39,14 +39,17 @@ def ensure_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns({name: F.lit(None).cast("string") for name in missing}) if missing else df
 
 
+def strip_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A projection of its own, so that what follows reads each stripped text instead of stripping it per use."""
+    return df.withColumns({name: text.strip_text(name) for name in names})
+
+
 def clean_text_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({name: text.clean_text(name) for name in names})
+    return strip_columns(df, names).withColumns({name: text.blank_markers_to_null(name) for name in names})
 
 
 def parse_date_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Strip first, in a projection of its own, so that each text is stripped once and not per shape test."""
-    stripped = df.withColumns({name: text.strip_text(name) for name in names})
-    return stripped.withColumns({name: dates.parse_mixed(name) for name in names})
+    return strip_columns(df, names).withColumns({name: dates.parse_mixed(name) for name in names})
 
 
 def parse_us_datetime_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -54,12 +57,13 @@ def parse_us_datetime_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def boolean_of(c: Column | str) -> Column:
-    word = F.lower(text.strip_text(c))
+    """For text that is already stripped."""
+    word = F.lower(text.col(c))
     return F.when(word.isin(*lexicon.TRUE_WORDS), True).when(word.isin(*lexicon.FALSE_WORDS), False)
 
 
 def parse_boolean_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({name: boolean_of(name) for name in names})
+    return strip_columns(df, names).withColumns({name: boolean_of(name) for name in names})
 
 
 def current_flag(end: Column | str) -> Column:
@@ -106,7 +110,7 @@ class Recipe:
 
     columns: tuple[str, ...]
     synonyms: Mapping[str, Sequence[str]] = field(default_factory=dict)
-    text_columns: tuple[str, ...] = ()
+    text_columns: tuple[str, ...] = ()  # include the required ones
     mixed_dates: tuple[str, ...] = ()
     us_datetimes: tuple[str, ...] = ()
     booleans: tuple[str, ...] = ()
@@ -117,14 +121,16 @@ class Recipe:
     def __call__(self, df: DataFrame) -> DataFrame:
         df = rename_synonyms(normalize_columns(df), self.synonyms)
         df = ensure_columns(df, [*self.text_columns, *self.mixed_dates, *self.us_datetimes, *self.booleans])
-        df = parse_date_columns(df, self.mixed_dates) if self.mixed_dates else df
-        cleaned = {name: text.clean_text(name) for name in self.text_columns}
+        df = strip_columns(df, [*self.text_columns, *self.mixed_dates, *self.booleans])
+        cleaned = {name: text.blank_markers_to_null(name) for name in self.text_columns}
+        cleaned |= {name: dates.parse_mixed(name) for name in self.mixed_dates}
         cleaned |= {name: dates.parse_us_datetime(name) for name in self.us_datetimes}
         cleaned |= {name: boolean_of(name) for name in self.booleans}
         df = df.withColumns(cleaned)
         if self.derive is not None:
             df = self.derive(df)
-        df = drop_blank_rows(df, self.required)
+        for name in self.required:  # cleaned text columns, so blank is NULL by now
+            df = df.where(F.col(name).isNotNull())
         if self.distinct:
             df = deduplicate(df)
         return select_columns(df, self.columns)

@@ -22,6 +22,32 @@ def change_vs_previous(value: str, partition: Sequence[str], order: Sequence[str
     return F.col(value) - F.lag(value).over(window)
 
 
+def with_previous(
+    df: DataFrame, values: Mapping[str, str], partition: Sequence[str], order: Sequence[str], period: str
+) -> DataFrame:
+    """Add each row's values of the row before it in its partition; {value column: new column}.
+
+    The same as ``lag`` over the whole partition, but no partition is ever
+    gathered in one task: the lag runs inside (partition, period), and the last
+    row of every period, an aggregate with a map-side step, is carried to the
+    next one. ``period`` must not decrease along ``order`` (the day of a
+    timestamp, say); what is ordered per partition is then one row per period.
+    """
+    kept = F.struct(*[F.col(name) for name in values])
+    last = df.groupBy(*partition, period).agg(F.max_by(kept, F.struct(*order)).alias("__last"))
+    along = Window.partitionBy(*partition).orderBy(period)
+    names = [*partition, period]
+    carried = last.select(
+        *[F.col(name).alias(f"__{name}") for name in names], F.lag("__last").over(along).alias("__carried")
+    )
+    match = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in names])
+    inside = Window.partitionBy(*names).orderBy(*order)
+    joined = df.join(carried, match, "left")
+    before = joined.withColumn("__before", F.coalesce(F.lag(kept).over(inside), F.col("__carried")))
+    added = [F.col(f"__before.{name}").alias(new) for name, new in values.items()]
+    return before.select(*[F.col(name) for name in df.columns], *added)
+
+
 def _by(order: str):
     return Window.orderBy(order)
 

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.json_rates import explode_rates, lookup_rates
-from tidemark.operators.windows import change_vs_previous
+from tidemark.operators.windows import with_previous
 
-# Loads of a table are ordered by time; the file breaks ties.
+# Loads of a table are ordered by time; the file breaks ties. A table with very
+# many loads is split by day, see with_previous.
 LOAD_ORDER = ("loaded_at_utc", "source_file")
+LOAD_PERIOD = "loaded_on"
 
 
 def health_timeline(audit: DataFrame) -> DataFrame:
+    measures = ("row_count_after_transform", "rows_removed_during_transform")
+    previous = {name: f"__previous_{name}" for name in measures}
+    audit = with_previous(audit, previous, ["table_key"], LOAD_ORDER, LOAD_PERIOD)
+    changes = {name: F.col(name) - F.col(before) for name, before in previous.items()}
     removed = F.col("rows_removed_during_transform")
     source, kept = F.col("source_row_count"), F.col("row_count_after_transform")
     retention = F.when(source > 0, F.round(kept.cast("double") / source, 4))
@@ -37,12 +43,8 @@ def health_timeline(audit: DataFrame) -> DataFrame:
         "rows_removed_during_transform",
         "duplicate_rows_after_transform",
         retention.alias("row_retention_rate"),
-        change_vs_previous("row_count_after_transform", ["table_key"], LOAD_ORDER).alias(
-            "row_count_change_vs_previous_load"
-        ),
-        change_vs_previous("rows_removed_during_transform", ["table_key"], LOAD_ORDER).alias(
-            "rows_removed_change_vs_previous_load"
-        ),
+        changes["row_count_after_transform"].alias("row_count_change_vs_previous_load"),
+        changes["rows_removed_during_transform"].alias("rows_removed_change_vs_previous_load"),
         "contract_owner",
         "contract_description",
         "required_columns",
@@ -64,8 +66,9 @@ def null_rate_timeline(audit: DataFrame) -> DataFrame:
     rated = lookup_rates(
         rated, "source_null_rate_by_column_json", "monitored_column", "null_rate_before_transform"
     )
+    previous = {"null_rate_after_transform": "__previous"}
+    rated = with_previous(rated, previous, ["table_key", "monitored_column"], LOAD_ORDER, LOAD_PERIOD)
     after, before = F.col("null_rate_after_transform"), F.col("null_rate_before_transform")
-    change = change_vs_previous("null_rate_after_transform", ["table_key", "monitored_column"], LOAD_ORDER)
     return rated.select(
         "loaded_at_utc",
         "loaded_on",
@@ -81,6 +84,6 @@ def null_rate_timeline(audit: DataFrame) -> DataFrame:
         "null_rate_before_transform",
         "null_rate_after_transform",
         (after - before).alias("null_rate_delta"),
-        change.alias("null_rate_change_vs_previous_load"),
+        (after - F.col("__previous")).alias("null_rate_change_vs_previous_load"),
         (F.coalesce(after, F.lit(0.0)) > 0).alias("null_rate_alert_flag"),
     )

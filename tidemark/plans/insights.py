@@ -6,7 +6,9 @@ month" questions keep the later month among ties.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
@@ -298,8 +300,8 @@ def events_by_status(m: Models) -> DataFrame:
 
 
 def saved_contents(m: Models) -> DataFrame:
-    saved = m.enriched("learning").where("content_saved")
-    return saved.select("content_title", "content_type", "last_watched_at").orderBy("content_title")
+    saved = m.enriched("learning").where("content_saved").select("content_title", "content_type", "last_watched_at")
+    return saved.orderBy(*order_keys(("content_title",), saved.columns))
 
 
 def learning_overview(m: Models) -> DataFrame:
@@ -395,12 +397,18 @@ DETAILS: dict[str, tuple[tuple[str, ...] | None, tuple[str, ...]]] = {
 }
 
 
-def order_keys(names: tuple[str, ...]):
-    """Columns as sort keys with NULLs last either way."""
-    return [F.desc_nulls_last(n[1:]) if n.startswith("-") else F.asc_nulls_last(n) for n in names]
+def order_keys(names: Sequence[str], columns: Sequence[str] = ()) -> list[Column]:
+    """Columns as sort keys with NULLs last either way, the remaining ``columns`` as tie-breaks.
+
+    The tie-breaks make the order definite, and they let the range partitioning
+    of the sort split a day or title that holds a large share of the rows.
+    """
+    keys = [F.desc_nulls_last(n[1:]) if n.startswith("-") else F.asc_nulls_last(n) for n in names]
+    return keys + [F.asc_nulls_last(c) for c in columns if c not in names and f"-{c}" not in names]
 
 
 def detail(m: Models, table: str) -> DataFrame:
     columns, order = DETAILS[table]
     df = m.enriched(table)
-    return (df if columns is None else df.select(*columns)).orderBy(*order_keys(order))
+    df = df if columns is None else df.select(*columns)
+    return df.orderBy(*order_keys(order, df.columns))

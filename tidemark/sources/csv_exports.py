@@ -33,6 +33,7 @@ def read_csv_after_preamble(
     scan task then drops everything up to each file's header row and picks the
     columns by that file's own header (a missing one is NULL). A file is always
     read in order within one task, so this needs no shuffle and no second scan.
+    A header that fills all ``max_columns`` is an error, so nothing is cut off.
     """
     wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_columns)])
     raw = _csv_options(spark.read.schema(wide), True).csv(path)
@@ -74,5 +75,7 @@ def _find_header(part: pa.RecordBatch, wanted: Sequence[str]) -> tuple[int, list
     if at < 0:
         return None
     names = [part.column(i)[at].as_py() for i in range(part.num_columns)]
+    if names[-1] is not None:
+        raise ValueError(f"a header has {part.num_columns - 1} columns or more; raise max_columns")
     stripped = [name.strip().lstrip("﻿") if name else None for name in names]
     return at, [stripped.index(name, 1) if name in stripped[1:] else None for name in wanted]
