@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.binding.oracle_models import CREATED_AT, RUN_ID, count_where
+from tidemark.binding.oracle_models import COUNTED, CREATED_AT, RUN_ID, count_where
 from tidemark.binding.registry import Context, query, register
 from tidemark.plans import history, insights
 from tidemark.plans.bronze import EXPORT_TABLES
@@ -339,6 +339,10 @@ DASHBOARD = {
         insights.domain_ranking,
         f"select * from ({_domains()}) d order by total_records desc, domain_name limit 10",
     ),
+    "o2_coverage_total": (
+        insights.coverage_total,
+        f"select {' + '.join(f'(select count(*) from {t})' for t in COUNTED.values())} as coverage_total",
+    ),
     "o3_export_totals": (
         insights.export_totals,
         """select export_type, count(*) as total_arquivos, cast(sum(ifnull(row_count, 0)) as bigint) as total_linhas,
@@ -497,7 +501,10 @@ _DETAIL_LIST = {
     "positions": "company_name, title, location, started_on, finished_on, is_current, duration_months, career_track",
     "recommendations_received": "recommender_name, company, position, recommendation_date, visibility, text_length, "
     "mentions_data, mentions_teamwork, recommendation_text",
-    "company_follows": "organization_clean, followed_on, year, month, year_month",
+    "education": "school_name, degree_name, notes, started_on, finished_on, is_current_education, "
+    "education_duration_months, education_track",
+    "certifications": "name, authority, url, started_on, finished_on, license_number, certification_duration_months, "
+    "certification_track",
 }
 
 

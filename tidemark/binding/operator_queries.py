@@ -186,6 +186,17 @@ def display_labels(c: Context) -> DataFrame:
     )
 
 
+@query(
+    "b15_labelled_tracks",
+    """select case education_track when 'tecnologo' then 'Tecnólogo' when 'bacharelado' then 'Bacharelado'
+            when 'licenciatura' then 'Licenciatura' when 'pos_graduacao' then 'Pós-graduação' when 'mba' then 'MBA'
+            when 'mestrado' then 'Mestrado' when 'doutorado' then 'Doutorado' when 'outros' then 'Outros' end
+            as education_track, count(*) as total_records from int_education group by all""",
+)
+def labelled_tracks(c: Context) -> DataFrame:
+    return insights.for_display(insights.education_tracks(c.models))
+
+
 # --- C: contracts and tests -----------------------------------------------------------
 
 _ORDERS_CONTRACT = contracts.TableContract(

@@ -133,6 +133,14 @@ def file_inventory(c: Context) -> DataFrame:
     )
 
 
+@query(
+    "a4_files_by_folder",
+    "select folder_name, count(file_name) as files from bronze_file_inventory group by all",
+)
+def files_by_folder(c: Context) -> DataFrame:
+    return inventory.file_counts(c.models.bronze("file_inventory"), "folder_name")
+
+
 _ORDER_SUMS = (
     "select o_orderstatus, count(*) as n, round(sum(o_totalprice), 2) as total from orders group by o_orderstatus"
 )

@@ -79,6 +79,47 @@ FOLDER_CATEGORIES = {
     "Verifications": "trust",
 }
 
+# Display labels of classified columns.
+DISPLAY_LABELS = {
+    "education_track": {
+        "tecnologo": "Tecnólogo",
+        "bacharelado": "Bacharelado",
+        "licenciatura": "Licenciatura",
+        "pos_graduacao": "Pós-graduação",
+        "mba": "MBA",
+        "mestrado": "Mestrado",
+        "doutorado": "Doutorado",
+        "outros": "Outros",
+    },
+    "certification_track": {
+        "microsoft": "Microsoft",
+        "aws": "AWS",
+        "google": "Google",
+        "oracle": "Oracle",
+        "outros": "Outros",
+    },
+    "proficiency_track": {
+        "nativo": "Nativo",
+        "fluente": "Fluente",
+        "profissional": "Profissional",
+        "intermediario_profissional": "Intermediário Profissional",
+        "basico": "Básico",
+        "outros": "Outros",
+    },
+    "profile_track": {
+        "analista": "Analista",
+        "engenharia": "Engenharia",
+        "desenvolvimento": "Desenvolvimento",
+        "outros": "Outros",
+    },
+    "summary_size_category": {
+        "sem_summary": "Sem summary",
+        "curta": "Curta",
+        "media": "Média",
+        "longa": "Longa",
+    },
+}
+
 # Upper bounds (exclusive) and labels of numeric buckets.
 ROW_VOLUME_BUCKETS = ((1, "vazio"), (10, "muito_pequeno"), (100, "pequeno"), (1000, "medio"))
 ROW_VOLUME_TOP = "grande"

@@ -7,13 +7,15 @@ month" questions keep the later month among ties.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates
+from tidemark.functions import dates, lexicon, text
 from tidemark.functions.numeric import count_if, safe_ratio
 from tidemark.operators.aggregates import best_group, counts_by, labelled_counts, latest_n, one_row, top_k
+from tidemark.plans.marts import HEALTH_COUNTERS
 from tidemark.plans.models import Models
 
 # Domain label -> tables counted under it.
@@ -41,6 +43,12 @@ def _rows(alias: str):
     return F.count(F.lit(1)).alias(alias)
 
 
+def for_display(df: DataFrame, titled: Sequence[str] = ()) -> DataFrame:
+    """Classified columns by their display labels, the ``titled`` ones in title case."""
+    labelled = {c: text.display_label(c, labels) for c, labels in lexicon.DISPLAY_LABELS.items() if c in df.columns}
+    return df.withColumns(labelled | {c: text.title_case(c) for c in titled if c in df.columns})
+
+
 # --- health ------------------------------------------------------------------
 
 
@@ -57,6 +65,13 @@ def domain_ranking(m: Models, k: int | None = 10) -> DataFrame:
     return ranked if k is None else ranked.limit(k)
 
 
+def coverage_total(m: Models) -> DataFrame:
+    """Analysable records over all domains."""
+    counters = [F.coalesce(F.col(name), F.lit(0)) for name in HEALTH_COUNTERS]
+    total = reduce(lambda a, b: a + b, counters).alias("coverage_total")
+    return m.mart("pipeline_health_summary").select(total)
+
+
 def export_totals(m: Models) -> DataFrame:
     """Files, rows and the share of readable files (in percent) per export type."""
     mart = m.mart("file_inventory_summary")
@@ -367,6 +382,32 @@ DETAILS: dict[str, tuple[tuple[str, ...] | None, tuple[str, ...]]] = {
         ),
         ("-started_on",),
     ),
+    "education": (
+        (
+            "school_name",
+            "degree_name",
+            "notes",
+            "started_on",
+            "finished_on",
+            "is_current_education",
+            "education_duration_months",
+            "education_track",
+        ),
+        ("-started_on",),
+    ),
+    "certifications": (
+        (
+            "name",
+            "authority",
+            "url",
+            "started_on",
+            "finished_on",
+            "license_number",
+            "certification_duration_months",
+            "certification_track",
+        ),
+        ("-started_on",),
+    ),
     "invitations": (None, ("-sent_at",)),
     "events": (None, ("-started_at",)),
     "volunteering": (None, ("-started_on",)),
@@ -389,10 +430,7 @@ DETAILS: dict[str, tuple[tuple[str, ...] | None, tuple[str, ...]]] = {
         ("-recommendation_date",),
     ),
     "endorsement_received_info": (None, ("-endorsement_date",)),
-    "company_follows": (
-        ("organization_clean", "followed_on", "year", "month", "year_month"),
-        ("-followed_on",),
-    ),
+    "company_follows": (None, ("-followed_on",)),
     "languages": (None, ("language_name_clean",)),
 }
 

@@ -131,6 +131,11 @@ def sort_inventory(inventory: DataFrame) -> DataFrame:
     return inventory.orderBy("export_type", "folder_name", "file_name", "relative_path")
 
 
+def file_counts(inventory: DataFrame, key: str) -> DataFrame:
+    """Files per export type or folder; the row of a missing directory names no file and counts as none."""
+    return inventory.groupBy(key).agg(F.count("file_name").alias("files"))
+
+
 def _inventory_of(spark: SparkSession, export_type: str, export_name: str, directory: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile")
