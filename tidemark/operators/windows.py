@@ -33,17 +33,18 @@ def with_previous(
     next one. ``period`` must not decrease along ``order`` (the day of a
     timestamp, say); what is ordered per partition is then one row per period.
     """
+    names = [*partition, period]
     kept = F.struct(*[F.col(name) for name in values])
-    last = df.groupBy(*partition, period).agg(F.max_by(kept, F.struct(*order)).alias("__last"))
+    last = df.groupBy(*names).agg(F.max_by(kept, F.struct(*order)).alias("__last"))
     along = Window.partitionBy(*partition).orderBy(period)
-    names = [*partition, period]
-    carried = last.select(
-        *[F.col(name).alias(f"__{name}") for name in names], F.lag("__last").over(along).alias("__carried")
-    )
-    match = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in names])
-    inside = Window.partitionBy(*names).orderBy(*order)
-    joined = df.join(carried, match, "left")
-    before = joined.withColumn("__before", F.coalesce(F.lag(kept).over(inside), F.col("__carried")))
+    # Each period opens with an extra row that holds what the period before it
+    # ended with: stacked rows share the window's one shuffle, where a join
+    # would add its own.
+    carried = last.select(*names, F.lag("__last").over(along).alias("__kept"), F.lit(0).alias("__real"))
+    rows = df.withColumns({"__kept": kept, "__real": F.lit(1)})
+    stacked = rows.unionByName(carried, allowMissingColumns=True)
+    inside = Window.partitionBy(*names).orderBy("__real", *order)
+    before = stacked.withColumn("__before", F.lag("__kept").over(inside)).where(F.col("__real") == 1)
     added = [F.col(f"__before.{name}").alias(new) for name, new in values.items()]
     return before.select(*[F.col(name) for name in df.columns], *added)
 
