@@ -84,6 +84,16 @@ def test_directory_of_another_type_is_a_fallback(spark, tmp_path):
     assert found.source == "cross_type_fallback" and found.exists and found.warning
 
 
+def test_manual_directory_qualifies_without_a_date_but_after_dated_ones(spark, tmp_path):
+    manual = tmp_path / "manual"
+    put(manual / "my download" / "Profile.csv", "header\n")
+    found = resolve_export_dir(spark, str(tmp_path / "none"), "basic", manual_roots=[str(manual)])
+    assert (found.path, found.source, found.warning) == (str(manual / "my download"), "dated_raw_dir", None)
+    put(tmp_path / "raw" / "basic_export_2020_01_02" / "Positions.csv", "header\n")
+    found = resolve_export_dir(spark, str(tmp_path / "raw"), "basic", manual_roots=[str(manual)])
+    assert found.label == "basic_export_2020_01_02"
+
+
 def test_nothing_found(spark, tmp_path):
     found = resolve_export_dir(spark, str(tmp_path / "none"), "basic")
     assert found.source == "legacy_default" and not found.exists and found.warning

@@ -106,7 +106,7 @@ def resolve_export_dir(c: Context) -> DataFrame:
     write_csv(orders, f"{root}/complete_export_{first:%Y_%m_%d}/Connections.csv")
     write_csv(orders, f"{root}/complete_export_{last:%Y_%m_%d}/Connections.csv")
     write_csv(lines, f"{root}/basic_export_{shipped:%Y_%m_%d}/Positions.csv")
-    return export_dirs.rank_export_dirs(export_dirs.list_csv_files(c.spark, root))
+    return export_dirs.rank_export_dirs(export_dirs.list_csv_files(c.spark, root)).drop("root")
 
 
 @query(

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.export_dirs import _path_exists, _plain_path
+from tidemark.sources.export_dirs import path_exists, relative_path
 
 # Encodings tried in order, files with a preamble, files read line-wise when irregular.
 ENCODINGS = ("utf-8", "utf-8-sig", "latin-1")
@@ -116,7 +116,7 @@ def build_inventory(spark: SparkSession, exports: Mapping[str, tuple[str, str]],
     """
     parts = []
     for export_type, (export_name, directory) in exports.items():
-        if _path_exists(spark, directory):
+        if path_exists(spark, directory):
             parts.append(_inventory_of(spark, export_type, export_name, directory.rstrip("/")))
         else:
             parts.append(_missing_directory(spark, export_type, export_name, directory))
@@ -145,9 +145,7 @@ def _inventory_of(spark: SparkSession, export_type: str, export_name: str, direc
         .select("path", F.col("length").alias("size"), "content")
     )
     probed = files.mapInPandas(_probe_batches, PROBE_SCHEMA)
-    path = _plain_path(F.col("path"))
-    base = _plain_path(F.lit(directory))
-    relative = F.substring(path, F.length(base) + 2, F.length(path))
+    relative = relative_path(spark, directory)
     name = F.substring_index(relative, "/", -1)
     folder = F.when(relative.contains("/"), F.substring_index(relative, "/", 1)).otherwise(F.lit("root"))
     return probed.select(

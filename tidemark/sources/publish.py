@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.export_dirs import _path_exists
+from tidemark.sources.export_dirs import path_exists
 
 FORMATS = {"csv": ("csv",), "parquet": ("parquet",), "both": ("csv", "parquet")}
 
@@ -100,7 +100,7 @@ def check_exports(spark: SparkSession, directory: str, expected: Mapping[str, Se
     """(name, exists, row_count, missing_columns, is_valid) of published Parquet tables."""
     rows = []
     for name, columns in expected.items():
-        if not _path_exists(spark, f"{directory.rstrip('/')}/{name}.parquet"):
+        if not path_exists(spark, f"{directory.rstrip('/')}/{name}.parquet"):
             rows.append(_check_row(spark.range(0), name, False, list(columns)))
             continue
         df = read_export(spark, directory, name, "parquet")

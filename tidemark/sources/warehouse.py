@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import labelled_counts
-from tidemark.sources.export_dirs import _path_exists
+from tidemark.sources.export_dirs import path_exists
 
 # The layers of the warehouse, in build order.
 LAYERS = ("raw", "bronze", "silver", "gold", "main")
@@ -28,7 +28,7 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        return _path_exists(self.spark, self.path(layer, table))
+        return path_exists(self.spark, self.path(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
@@ -69,7 +69,7 @@ class Warehouse:
         conf = self.spark._jsc.hadoopConfiguration()
         for layer in LAYERS:
             folder = f"{self.root.rstrip('/')}/{layer}"
-            if _path_exists(self.spark, folder):
+            if path_exists(self.spark, folder):
                 at = jvm.org.apache.hadoop.fs.Path(folder)
                 entries = at.getFileSystem(conf).listStatus(at)
                 found += sorted((layer, s.getPath().getName()) for s in entries if s.isDirectory())
