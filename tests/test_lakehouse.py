@@ -12,7 +12,7 @@ from tidemark.operators import contracts
 from tidemark.plans import exports, history, insights
 from tidemark.plans.bronze import EXPORT_TABLES, load_all, load_table
 from tidemark.plans.enriched import Settings
-from tidemark.plans.models import MART_NAMES, build_history, build_marts
+from tidemark.plans.models import HISTORY_SOURCES, MART_NAMES, build_history, build_marts
 from tidemark.plans.public_copy import build_public_copy
 from tidemark.sources.export_dirs import resolve_export_dir
 from tidemark.sources.inventory import build_inventory
@@ -163,6 +163,20 @@ def test_history(lake, spark):
     assert store.read("main", "dim_snapshot_run").count() == 2
 
 
+def test_history_without_audit_marts_falls_back_on_the_audit_table(lake, spark, tmp_path):
+    store, models = lake[1], lake[3]
+    other = Warehouse(spark, str(tmp_path))
+    with pytest.raises(LookupError, match="mart_connections_summary"):
+        build_history(other, models, history.Run("run-1", NOW))
+    for name in HISTORY_SOURCES:
+        other.replace(store.read("main", f"mart_{name}"), "main", f"mart_{name}")
+    other.replace(store.read("bronze", "ingestion_audit"), "bronze", "ingestion_audit")
+    build_history(other, models, history.Run("run-1", NOW))
+    quality = other.read("main", "fact_snapshot_data_quality")
+    assert quality.select("snapshot_source").distinct().first()[0] == "bronze.ingestion_audit"
+    assert quality.count() == 19
+
+
 def test_second_load_shows_as_change(lake, spark, tmp_path):
     root = lake[0]
     store = Warehouse(spark, str(tmp_path))

@@ -280,6 +280,26 @@ def _register_history() -> None:
         register(f"n{number}_{name}_history", lambda c, n=name: fact(c, n), f"select * from fact_{name}")
 
 
+@query(
+    "n5_data_quality_from_audit",
+    f"""select '{RUN_ID}' as snapshot_run_id, cast(loaded_at_utc as date) as snapshot_date,
+        strftime(loaded_at_utc, '%Y-%m') as snapshot_year_month, table_key, export_type,
+        cast(null as bigint) as source_row_count, row_count as row_count_after_transform,
+        cast(null as bigint) as rows_removed_during_transform, duplicate_rows_after_transform,
+        cast(null as double) as row_retention_rate,
+        if(duplicate_rows_after_transform > 0, 'atencao', 'saudavel') as health_status,
+        duplicate_rows_after_transform > 0 as duplicate_alert_flag, false as row_removal_alert_flag,
+        1 as successful_load_flag, cast(null as bigint) as monitored_columns_count,
+        cast(null as double) as avg_null_rate_before_transform, cast(null as double) as avg_null_rate_after_transform,
+        cast(null as double) as avg_null_rate_delta, cast(null as bigint) as null_rate_alert_count,
+        false as is_simulated_snapshot, 'actual_pipeline_audit' as snapshot_method,
+        'bronze.ingestion_audit' as snapshot_source, timestamp '{CREATED_AT}' as snapshot_created_at
+    from bronze_ingestion_audit""",
+)
+def data_quality_from_audit(c: Context) -> DataFrame:
+    return history.data_quality_from_audit(c.models.bronze("ingestion_audit"), RUN)
+
+
 @query(
     "n8_history_row_counts",
     " union all ".join(

@@ -98,9 +98,35 @@ def build_marts(warehouse: Warehouse, settings: Settings | None = None) -> Model
     )
 
 
+# Marts the history facts cannot do without; the audit marts have a fallback.
+HISTORY_SOURCES = (
+    "connections_summary",
+    "job_applications_summary",
+    "events_summary",
+    "invitations_summary",
+    "recommendations_received_timeline",
+    "career_progression",
+    "education_summary",
+    "certifications_summary",
+)
+AUDIT_MARTS = ("ingestion_audit_health_timeline", "ingestion_audit_null_rate_timeline")
+
+
 def build_history(warehouse: Warehouse, models: Models, run: history.Run) -> DataFrame:
-    """Check all history facts against their contracts, then write them; nothing is written if any check fails."""
-    facts = {name: models.history(name, run) for name in history.FACTS}
+    """Check all history facts against their contracts, then write them; nothing is written if any check fails.
+
+    Without the audit marts the data-quality fact comes from the bare audit table.
+    """
+    warehouse.require([("main", f"mart_{name}") for name in HISTORY_SOURCES])
+    audited = all(warehouse.exists("main", f"mart_{name}") for name in AUDIT_MARTS)
+    facts = {
+        name: models.history(name, run)
+        for name in history.FACTS
+        if audited or name != "fact_snapshot_data_quality"
+    }
+    if not audited:
+        audit = warehouse.read("bronze", "ingestion_audit")
+        facts["fact_snapshot_data_quality"] = history.data_quality_from_audit(audit, run)
     history.require_valid(facts)
     for name, fact in facts.items():
         warehouse.replace(fact, "main", name)
