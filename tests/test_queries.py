@@ -10,13 +10,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.binding import registry
 from tidemark.binding.inputs import DRIVER_TABLES
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).is_dir(), reason="driver tables not present")
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+ALL = entry_points.queries()
+QUERIES = {name: ALL[name] for name in registry.queries()}
+ORACLES = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,12 +40,15 @@ def build_session(app: str = "tidemark", master: str | None = None, shuffle_part
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where no folder is configured, as in local tests, a temporary one is
-    created and set for the session.
+    Only in local mode, as in tests, a temporary folder is created and set for
+    the session where none is configured; on a cluster that is an error, because
+    executors do not share a machine's own disk.
     """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not known:
         known = spark.sparkContext.getCheckpointDir()
+    if not known and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not known:
         known = tempfile.mkdtemp(prefix="tidemark-")
     if not spark.sparkContext.getCheckpointDir():
