@@ -45,9 +45,10 @@ def n_words(text: Column) -> Column:
 
 
 def packed(docs: DataFrame, keep: list[str] | None = None, **needed: str) -> DataFrame:
-    """The columns ``keep`` (all) as one struct ``row`` plus the needed columns under fixed names.
+    """The columns ``keep`` (all; none for an empty list) as one struct ``row`` plus the needed columns under fixed names.
 
     Whatever other columns ``docs`` has, none can clash with a name an operator adds.
     """
-    kept = F.struct(*[docs[f"`{c}`"] for c in (docs.columns if keep is None else keep)])
-    return docs.select(kept.alias("row"), *[docs[f"`{c}`"].alias(n) for n, c in needed.items()])
+    kept = [docs[f"`{c}`"] for c in (docs.columns if keep is None else keep)]
+    named = [docs[f"`{c}`"].alias(n) for n, c in needed.items()]
+    return docs.select(*([F.struct(*kept).alias("row")] if kept else []), *named)

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import covering_simhash, line_rules
+from tidemark.llm import (
+    best_fit,
+    chat_windows,
+    covering_simhash,
+    entropy_mixing,
+    license_digests,
+    line_rules,
+    multiset_prints,
+    ordinal_toxicity,
+    rank_order_lang,
+    url_vocabulary,
+)
 from tidemark.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +36,68 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", covering_simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = entropy_mixing.mixed(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return found.select("doc_id", "size", "source_size", "target", taken, "rate", "copies")
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_vocabulary.filtered(table(spark, sf_dir, "pages"), keep=["page_id"])
+    return found.select("row.page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal_toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    found = ordinal_toxicity.graded(docs, model, keep=["doc_id"])
+    return found.select("row.doc_id", "severity", "p_toxic", "toxic", (~F.col("toxic")).alias("kept"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = rank_order_lang.learn(docs.filter(rank_order_lang.fold() != 2))
+    found = rank_order_lang.identified(docs, profiles)
+    return found.select("doc_id", F.coalesce(rank_order_lang.fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digests.scanned(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    added = spark.sql(f"select * from values (-1L, 0L, 'user', '{control}'), (-1L, 1L, 'assistant', '{control}') as t(conv_id, turn, role, text)")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat_windows.read_back(chat_windows.formatted(rows))
+
+
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multiset_prints.compared(table(spark, sf_dir, "documents"))
+    prints = [multiset_prints.printed(F.col(v)).alias(n) for v, n in (("vector", "fingerprint"), ("edited_vector", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES: tuple[Query, ...] = (
+    op1_quality_rules,
+    op2_simhash_near_dedup,
+    op3_mixing_sources,
+    op4_url_filters,
+    op5_toxicity,
+    op6_language_id,
+    op7_license_scans,
+    op8_chat_formatting,
+    op9_document_fingerprints,
+    op10_best_fit_packing,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
