@@ -50,16 +50,19 @@ def fingerprint_of(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
+    """(row, doc_id, fp): one row per row of ``docs``, ``row`` with the columns ``keep`` (all), absent for an empty list."""
+    rows = packed(docs, keep, doc_id=doc_id, text=text)
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    carried = [c for c in rows.columns if c != "text"]
+    types = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint_of(t.as_py(), shingle) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], pa.array(fps, pa.int64())], [*carried, "fp"])
 
-    needed = packed(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
-    return needed.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, f"{types}, fp long")
 
 
 def masks(radius: int) -> list[int]:
@@ -152,17 +155,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, text: st
     """(doc_id, fp, component_id): one row per row of ``docs``.
 
     Fingerprints are written once; equal ones are one node. Only nodes with a
-    link take part in the component search.
+    link take part in the component search. The nodes' ids are written before
+    they meet the rows, so that nothing but the join stands between the
+    shuffle and the result and Spark can split a fingerprint that very many
+    rows share.
     """
-    prints = stored(fingerprints(docs, shingle, text, doc_id), "simhash")
+    prints = stored(fingerprints(docs, shingle, text, doc_id, keep=[]), "simhash")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = connected_components(links(prints, radius, direct)).withColumnRenamed("node", "fp")
     linked = classes.join(roots, "fp")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     joined = stored(linked.join(least, "root").select("fp", "least"), "simhash-components")
-    ids = classes.join(joined, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    ids = stored(classes.join(joined, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "simhash-ids")
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def deduplicated(docs: DataFrame, shingle: int = 5, radius: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest doc_id stays, null ids last."""
+    prints = stored(fingerprints(docs, shingle, text, doc_id), "simhash-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))
+    classes = prints.groupBy("fp").agg(first.alias("first"))
+    roots = stored(connected_components(links(prints, radius)), "simhash-components")
+    grouped = classes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = stored(grouped.groupBy("root").agg(F.min(F.struct("first", "fp")).alias("k")).select(F.col("k.first.doc_id").alias("of"), F.col("k.fp").alias("in")), "simhash-kept")
+    rows = prints.join(kept, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("fp") == F.col("in")))
+    return rows.dropDuplicates(["doc_id", "fp"]).select("row.*")
+
+
 def hex_digits(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))

@@ -148,7 +148,8 @@ def copies_per_size(counts: DataFrame, solved: DataFrame, cap: int) -> DataFrame
     of the target is filled with, or taken from, the smallest documents.
     """
     by_size = Window.partitionBy("key").orderBy(F.desc("size"))
-    rated = counts.join(solved, "key").withColumn("rate", _rate(cap)).withColumn("parts", F.col("n") * F.round(F.col("rate") * PARTS).cast("long"))
+    rated = counts.join(solved, "key").withColumn("per_document", F.round(_rate(cap) * PARTS).cast("long"))
+    rated = rated.withColumn("rate", F.col("per_document") / PARTS).withColumn("parts", F.col("n") * F.col("per_document"))
     rated = rated.withColumn("run", F.sum(F.pmod(F.col("parts"), F.lit(PARTS))).over(by_size.rowsBetween(Window.unboundedPreceding, 0)) + PARTS // 2)
     before = F.col("run") - F.pmod(F.col("parts"), F.lit(PARTS))
     whole = F.floor(F.col("parts") / PARTS) + F.floor(F.col("run") / PARTS) - F.floor(before / PARTS)

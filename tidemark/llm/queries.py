@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemark.llm import (
     license_digests,
     line_rules,
     multiset_prints,
+    oracles,
     ordinal_toxicity,
     rank_order_lang,
     url_vocabulary,
@@ -97,10 +99,8 @@ QUERIES: tuple[Query, ...] = (
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in QUERIES}
+    return {f.__name__: f for f in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    from tidemark.llm import oracles
-
-    return dict(oracles.SQL)
+    return oracles.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
