@@ -18,12 +18,15 @@ other than the named ones play no role.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,18 +34,29 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import packed, stored
 
-#: Where a chunk between two blanks can't be tokenized on its own: blanks side by side or at an end, or unusual ones.
-_ENTANGLED = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|[\x1c-\x1f\x85]")
-#: Chunks whose ids a task remembers.
-_REMEMBERED = 300_000
+#: Texts with a character from here on go to the tokenizer itself.
+_BEYOND_LATIN = re.compile("[^\0-\u024f]")
+
+
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """The ids of a byte-level tokenizer file by their bytes, if ids follow the order of the merges; else None."""
+    model = (spec := json.loads(Path(path).read_text()))["model"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel" or [model["vocab"][m] for m in merged] != [256 + i for i in range(len(merged))]:
+        return None
+    # in such files a printable byte stands for itself and the others for the characters from 256 on
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shown = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
+    special = {t["content"] for t in spec["added_tokens"]}
+    return {bytes(shown[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
 
 
 class Tokens:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    A blank before a word belongs to its first token and no token spans a line
-    break between two words, so a plain text is tokenized chunk by chunk, and
-    a chunk that came before is looked up. Other texts are tokenized whole.
+    Where the tokenizer's file allows it, Latin texts go through its merges in
+    the faster of two libraries; the libraries may know different letters of
+    other scripts, so these go to the tokenizer itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,32 +64,16 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings inside a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.fast = None
+        if ranks := merge_ranks(path):
+            import tiktoken
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+            self.fast = tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def of(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _ENTANGLED.search(text):
-            return self._encoded([text])[0]
-        # every chunk keeps what stands before it: a blank, a line break mark, or nothing
-        chunks = text.replace("\n", " \n").replace(" ", "\x00 ").split("\x00") if "\x00" not in text else None
-        if chunks is None:
-            return self._encoded([text])[0]
-        known = self.known
-        found = list(map(known.get, chunks))
-        if None in found:
-            missing = list({c for c, b in zip(chunks, found, strict=True) if b is None})
-            if len(known) + len(missing) > _REMEMBERED:
-                known.clear()
-                missing = list(set(chunks))
-            # " \\n" marks a line break: the break is a token of its own and the chunk follows without a blank
-            known.update(zip(missing, self._encoded([c[1:] if c.startswith(" \n") else c for c in missing]), strict=True))
-            found = [known[c] for c in chunks]
-        return b"".join(found)
+        plain = self.fast and not _BEYOND_LATIN.search(text)
+        ids = self.fast(text) if plain else self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
