@@ -32,6 +32,7 @@ PROFILE, COMPARED = 400, 300
 #: The mark of a word's start and end among code points.
 MARK = 1
 _CODE = 21
+_DRAWS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -101,9 +102,12 @@ def learn(docs: DataFrame, sample: Sample = Sample(), text: str = "text", lang:
     cluster; the driver gets at most ``PROFILE`` n-grams of a language.
     """
     rows = packed(docs, [], doc_id=doc_id, text=text, lang=lang).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    drawn = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    drawn_ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw")).withColumn("place", F.row_number().over(drawn))
-    drawn_ids = drawn_ids.filter(F.col("place") <= sample.per_language).select(F.col("doc_id").alias("of"), F.col("lang").alias("in")).distinct()
+    counts = rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw"))
+    # by the least hashes alone some twice as many as wanted are left, so that no task numbers all rows of a language
+    ids = ids.join(counts, F.col("lang") == F.col("of")).filter(F.pmod("draw", F.lit(_DRAWS)) * F.col("n") < 2 * sample.per_language * _DRAWS)
+    drawn = Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(_DRAWS)), "draw", "doc_id")
+    drawn_ids = ids.withColumn("place", F.row_number().over(drawn)).filter(F.col("place") <= sample.per_language).select(F.col("doc_id").alias("of"), F.col("lang").alias("in")).distinct()
     # at most ``per_language`` ids of each language
     chosen = rows.join(F.broadcast(drawn_ids), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("lang") == F.col("in"))).select("lang", "text")
 
