@@ -187,7 +187,7 @@ PERSON_EXCLUSIONS = (
 )
 ORGANIZATION_WORDS = ("company", "organization", "school", "institution", "issuer")
 ROLE_WORDS = ("position", "title", "role")
-URL_WORDS = ("url", "website", "twitter", "messenger")
+URL_WORDS = ("url", "website", "link", "twitter", "messenger")
 DATE_NAME_HINTS = ("date", "_at", "_on", "timestamp")
 NULLED_COLUMNS = ("address", "zip_code", "birth_date")
 KEPT_URL_COLUMNS = ("portfolio_website",)

@@ -67,8 +67,12 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def validate_contract(df: DataFrame, contract: TableContract) -> DataFrame:
-    """One row: row_count, missing_columns, duplicate_rows, blank_required_values."""
-    missing = missing_columns(df, contract.required)
+    """One row: row_count, missing_columns, duplicate_rows, blank_required_values.
+
+    Without all columns of the unique key duplicates cannot be counted: the
+    count is NULL and the absent key columns are among the missing ones.
+    """
+    missing = missing_columns(df, tuple(dict.fromkeys((*contract.required, *contract.unique))))
     checked = [name for name in contract.non_empty if name in df.columns]
     keys = [name for name in contract.unique if name in df.columns]
     blanks = reduce(
@@ -78,11 +82,13 @@ def validate_contract(df: DataFrame, contract: TableContract) -> DataFrame:
         per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.sum(blanks).alias("__blank"))
     else:
         per_key = df.agg(F.count(F.lit(1)).alias("__rows"), F.sum(blanks).alias("__blank"))
-    duplicates = F.sum(F.col("__rows") - 1) if keys else F.lit(0)
+    duplicates = F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)) if keys else F.lit(0)
+    if len(keys) < len(contract.unique):
+        duplicates = F.lit(None)
     return per_key.agg(
         F.coalesce(F.sum("__rows"), F.lit(0)).alias("row_count"),
         F.lit(", ".join(missing)).alias("missing_columns"),
-        F.coalesce(duplicates, F.lit(0)).cast("long").alias("duplicate_rows"),
+        duplicates.cast("long").alias("duplicate_rows"),
         F.coalesce(F.sum("__blank"), F.lit(0)).alias("blank_required_values"),
     )
 

@@ -18,6 +18,7 @@ from tidemark.functions import lexicon, text
 from tidemark.operators.aggregates import distinct_values
 from tidemark.session import shared_dir
 
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _ROW_BITS = 33  # row position bits of monotonically_increasing_id
 
 
@@ -72,7 +73,9 @@ def tokenize(
     source = df if source is None else source
     maskable = source.where(~value.isin(list(keep)) | value.isNull()) if keep else source
     pairs = token_dictionary(maskable, column, token).withColumnRenamed("value", "__value")
-    joined = df.join(pairs, value == F.col("__value"), "left")
+    # a row without a value gets a key of its own that meets nothing, so that such rows are not gathered under one
+    alone = F.concat(F.lit("\0"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
+    joined = df.join(pairs, F.coalesce(value, alone) == F.col("__value"), "left")
     masked = F.col("token")
     if keep:
         masked = F.when(value.isin(list(keep)), value).otherwise(masked)
@@ -134,13 +137,15 @@ def replace_text(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
 def textual_columns(df: DataFrame) -> DataFrame:
     """(column_name, is_textual) of the string columns: False where every value is a number.
 
+    A number is digits with sign, point and exponent at most, so that no name or
+    code such as ``10d`` passes as one; ``NaN`` and ``Infinity`` are texts.
     Columns without any value count as textual. One pass over all columns.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string, is_textual boolean")
     all_numbers = [
-        F.coalesce(~F.bool_and(F.when(F.col(n).isNotNull(), F.col(n).try_cast("double").isNotNull())), F.lit(True)).alias(n)
+        F.coalesce(~F.bool_and(F.when(F.col(n).isNotNull(), F.col(n).rlike(_NUMBER))), F.lit(True)).alias(n)
         for n in names
     ]
     return df.agg(*all_numbers).unpivot([], names, "column_name", "is_textual")
@@ -159,8 +164,8 @@ def is_person_column(name: str) -> bool:
     return name.endswith(lexicon.PERSON_SUFFIX) and not any(word in name for word in lexicon.PERSON_EXCLUSIONS)
 
 
-def masking_rule(name: str, kept_urls: Sequence[str] = ()) -> tuple[str, Column | str | None] | None:
-    """Which treatment a text column gets, decided by its name alone."""
+def masking_rule(name: str, url_words: Sequence[str] = lexicon.URL_WORDS) -> tuple[str, Column | str | None] | None:
+    """Which treatment a text column gets, decided by its name alone; ``url_words`` mark columns with links."""
     lowered = name.lower()
 
     def has(words: Sequence[str]) -> bool:
@@ -176,12 +181,12 @@ def masking_rule(name: str, kept_urls: Sequence[str] = ()) -> tuple[str, Column
         return "token", prefix_token(lexicon.LOCATION_PREFIX)
     if lowered in lexicon.REPLACED_TEXTS:
         return "text", lexicon.REPLACED_TEXTS[lowered]
-    if has(lexicon.URL_WORDS):
+    if has(url_words):
         return "url", lowered.replace("_", "-")
     return None
 
 
-def sanitize(df: DataFrame, kept_urls: Sequence[str] = ()) -> DataFrame:
+def sanitize(df: DataFrame, kept_urls: Sequence[str] = (), url_words: Sequence[str] = lexicon.URL_WORDS) -> DataFrame:
     """Anonymised copy of any table, by column-name rules.
 
     A text column that holds nothing but numbers is left as it is.
@@ -189,7 +194,7 @@ def sanitize(df: DataFrame, kept_urls: Sequence[str] = ()) -> DataFrame:
     base = out = coarsen_dates(df)
     strings = [f.name for f in out.schema.fields if isinstance(f.dataType, T.StringType)]
     fixed = {"email_address", *lexicon.NULLED_COLUMNS, *lexicon.KEPT_URL_COLUMNS}
-    ruled = [n for n in strings if n.lower() not in fixed and masking_rule(n) is not None]
+    ruled = [n for n in strings if n.lower() not in fixed and masking_rule(n, url_words) is not None]
     textual = {r["column_name"] for r in textual_columns(out.select(*ruled)).collect() if r["is_textual"]} if ruled else set()
     for name in out.columns:
         lowered = name.lower()
@@ -200,7 +205,7 @@ def sanitize(df: DataFrame, kept_urls: Sequence[str] = ()) -> DataFrame:
         elif lowered in lexicon.KEPT_URL_COLUMNS:
             out = out.withColumn(name, text.strip_text(name))
         elif name in textual:
-            kind, argument = masking_rule(name)
+            kind, argument = masking_rule(name, url_words)
             if kind == "token":
                 out = tokenize(out, name, argument, source=base)
             elif kind == "text":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -325,19 +326,28 @@ EXPORT_TABLES: dict[str, ExportTable] = {
 }
 
 
-def read_raw(spark: SparkSession, table: ExportTable, directory: str) -> DataFrame:
-    path = f"{directory.rstrip('/')}/{table.file}"
+def _paths(table: ExportTable, directory: str | Sequence[str]) -> list[str]:
+    return [f"{d.rstrip('/')}/{table.file}" for d in ([directory] if isinstance(directory, str) else directory)]
+
+
+def read_raw(spark: SparkSession, table: ExportTable, directory: str | Sequence[str], multiline: bool = True) -> DataFrame:
+    """A table of one or several export directories; files whose texts have no line breaks can be split (``multiline`` off)."""
     if table.preamble_header:
-        return read_csv_after_preamble(spark, path, table.preamble_header)
-    return read_csv(spark, path)
+        return read_csv_after_preamble(spark, _paths(table, directory), table.preamble_header)
+    return read_csv(spark, _paths(table, directory), multiline)
 
 
 def load_table(
-    spark: SparkSession, key: str, directory: str, warehouse: Warehouse, loaded_at: Column | None = None
+    spark: SparkSession,
+    key: str,
+    directory: str | Sequence[str],
+    warehouse: Warehouse,
+    loaded_at: Column | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Read, clean, check, replace the bronze table, and append the audit row."""
     table = EXPORT_TABLES[key]
-    raw = read_raw(spark, table, directory)
+    raw = read_raw(spark, table, directory, multiline)
     cleaned = table.recipe(raw)
     assert_columns(cleaned, table.contract)
     stored = warehouse.replace(cleaned, "bronze", key)
@@ -347,7 +357,7 @@ def load_table(
         table.contract,
         table_key=key,
         source_file=table.file,
-        source_path=f"{directory.rstrip('/')}/{table.file}",
+        source_path=", ".join(_paths(table, directory)),
         export_type=table.export_type,
         loaded_at=F.current_timestamp().cast("timestamp_ntz") if loaded_at is None else loaded_at,
     )

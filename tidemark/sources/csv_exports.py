@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,17 +13,72 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SURPLUS = "__surplus"
+
+
 def _csv_options(reader, multiline: bool):
     return reader.option("multiLine", multiline).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
 
 
+def csv_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The files behind paths, directories and globs, from directory listings; names with ``_`` or ``.`` in front are skipped."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for given in [path] if isinstance(path, str) else path:
+        at = jvm.org.apache.hadoop.fs.Path(given)
+        fs = at.getFileSystem(conf)
+        matched = fs.globStatus(at)
+        if not matched:
+            raise FileNotFoundError(given)
+        for status in matched:
+            entries = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += sorted(e.getPath().toString() for e in entries if e.isFile() and e.getPath().getName()[0] not in "_.")
+    return found
+
+
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """The column names in a file's first line that is not empty; a few bytes are read, no job runs."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(file)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = lines.readLine()
+        while line is not None and not line.strip("\ufeff \t"):
+            line = lines.readLine()
+    finally:
+        stream.close()
+    names = next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+    return tuple(name or f"_c{i}" for i, name in enumerate(names))
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], multiline: bool = True) -> DataFrame:
-    """Headered UTF-8 CSV (byte-order mark allowed), every column a string.
+    """Headered UTF-8 CSVs (byte-order mark allowed), every column a string.
 
-    Quoted line breaks need ``multiline``, which makes a file one task; files
-    without them can be split by turning it off.
+    Columns are found by each file's own header: files are read in groups of
+    equal headers, and a column that a file lacks is NULL. A row with more
+    fields than its header is an error that names the file; a short row ends
+    with NULLs. Quoted line breaks need ``multiline``, which makes a file one
+    task; files without them can be split by turning it off. Empty files have no columns
+    and add no rows.
     """
-    return _csv_options(spark.read, multiline).option("header", True).csv(path)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in csv_files(spark, path):
+        groups.setdefault(header_of(spark, file), []).append(file)
+    parts = [_read_alike(spark, files, header, multiline) for header, files in groups.items() if header]
+    if not parts:
+        return spark.createDataFrame([], T.StructType([]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _read_alike(spark: SparkSession, files: list[str], header: tuple[str, ...], multiline: bool) -> DataFrame:
+    if len(set(header)) < len(header):
+        raise ValueError(f"{files[0]} names a column twice: {list(header)}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, _SURPLUS)])
+    rows = _csv_options(spark.read.schema(schema), multiline).option("header", True).csv(files)
+    said = F.concat(F.lit("a row has more fields than the header of "), F.col("_metadata.file_path"))
+    fits = F.when(F.col(_SURPLUS).isNull(), F.lit(True)).otherwise(F.raise_error(said).cast("boolean"))
+    return rows.where(fits).select(*[F.col(f"`{name}`") for name in header])
 
 
 def read_csv_after_preamble(
@@ -33,7 +90,9 @@ def read_csv_after_preamble(
     scan task then drops everything up to each file's header row and picks the
     columns by that file's own header (a missing one is NULL). A file is always
     read in order within one task, so this needs no shuffle and no second scan.
-    A header that fills all ``max_columns`` is an error, so nothing is cut off.
+    A file without a recognised header, a row with more fields than its file's
+    header, and a row or header that fills all ``max_columns`` are errors that
+    name the file, so nothing is cut off or left out.
     """
     wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_columns)])
     raw = _csv_options(spark.read.schema(wide), True).csv(path)
@@ -42,12 +101,14 @@ def read_csv_after_preamble(
     out_schema = T.StructType([T.StructField(name, T.StringType()) for name in wanted])
 
     def after_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, places = None, None
+        file, places, width = None, None, 0
         for batch in batches:
             runs = pc.run_end_encode(batch.column(0))
             start = 0
             for end, name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist(), strict=True):
                 if name != file:
+                    if file is not None and places is None:
+                        raise ValueError(f"no header that names half of {wanted} in {file}")
                     file, places = name, None
                 part = batch.slice(start, end - start)
                 start = end
@@ -55,18 +116,22 @@ def read_csv_after_preamble(
                     found = _find_header(part, wanted)
                     if found is None:
                         continue
-                    at, places = found
+                    at, places, width = found
                     part = part.slice(at + 1)
                 if part.num_rows:
+                    if any(part.column(i).null_count < part.num_rows for i in range(width + 1, part.num_columns)):
+                        raise ValueError(f"a row has more fields than the header of {file}")
                     nothing = pa.nulls(part.num_rows, pa.string())
                     picked = [nothing if i is None else part.column(i).cast(pa.string()) for i in places]
                     yield pa.RecordBatch.from_arrays(picked, names=wanted)
+        if file is not None and places is None:
+            raise ValueError(f"no header that names half of {wanted} in {file}")
 
     return tagged.mapInArrow(after_header, out_schema)
 
 
-def _find_header(part: pa.RecordBatch, wanted: Sequence[str]) -> tuple[int, list[int | None]] | None:
-    """Row that names at least half of the wanted columns, and where each of them is."""
+def _find_header(part: pa.RecordBatch, wanted: Sequence[str]) -> tuple[int, list[int | None], int] | None:
+    """Row that names at least half of the wanted columns, where each of them is, and how many columns there are."""
     hits = None
     for i in range(1, part.num_columns):
         known = pc.is_in(pc.utf8_trim_whitespace(part.column(i)), pa.array(list(wanted))).cast(pa.int32())
@@ -78,4 +143,5 @@ def _find_header(part: pa.RecordBatch, wanted: Sequence[str]) -> tuple[int, list
     if names[-1] is not None:
         raise ValueError(f"a header has {part.num_columns - 1} columns or more; raise max_columns")
     stripped = [name.strip().lstrip("﻿") if name else None for name in names]
-    return at, [stripped.index(name, 1) if name in stripped[1:] else None for name in wanted]
+    width = max(i for i, name in enumerate(names) if name is not None)
+    return at, [stripped.index(name, 1) if name in stripped[1:] else None for name in wanted], width

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.export_dirs import path_exists, relative_path
+from tidemark.sources.swap import write_then_switch
 
 # Encodings tried in order, files with a preamble, files read line-wise when irregular.
 ENCODINGS = ("utf-8", "utf-8-sig", "latin-1")
@@ -48,12 +49,12 @@ def probe(content: bytes, name: str) -> dict:
         try:
             header, rows = _count(content.decode(encoding), PREAMBLE_LINES.get(name.lower(), 0))
             return _found(header, rows, encoding)
-        except (UnicodeDecodeError, ValueError) as problem:
+        except (UnicodeDecodeError, ValueError, csv.Error) as problem:
             error = str(problem)
     if name.lower() in LINEWISE_FILES:
         for encoding in ENCODINGS:
             try:
-                lines = [line for line in content.decode(encoding).splitlines() if line.strip()]
+                lines = [line for line in content.decode(encoding).removeprefix("\ufeff").splitlines() if line.strip()]
             except UnicodeDecodeError as problem:
                 error = str(problem)
                 continue
@@ -80,7 +81,8 @@ def _found(header: list[str], rows: int, encoding: str) -> dict:
 
 
 def _count(text: str, skip: int) -> tuple[list[str], int]:
-    stream = io.StringIO(text, newline="")
+    csv.field_size_limit(2**31 - 1)  # a field may be as large as its file
+    stream = io.StringIO(text.removeprefix("\ufeff"), newline="")
     for _ in range(skip):
         stream.readline()
     records = (r for r in csv.reader(stream, strict=True) if r)
@@ -193,11 +195,11 @@ def save_inventory(inventory: DataFrame, directory: str, stamp: str) -> dict[str
     spark = inventory.sparkSession
     stamped = f"{directory}/file_inventory_{stamp}"
     latest = f"{directory}/file_inventory_latest"
-    inventory.write.mode("overwrite").parquet(f"{stamped}.parquet")
+    write_then_switch(spark, f"{stamped}.parquet", inventory.write.parquet)
     stored = spark.read.parquet(f"{stamped}.parquet")
-    stored.write.mode("overwrite").parquet(f"{latest}.parquet")
+    write_then_switch(spark, f"{latest}.parquet", stored.write.parquet)
     for base in (stamped, latest):
-        stored.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{base}.csv")
+        write_then_switch(spark, f"{base}.csv", stored.write.option("header", True).option("escape", '"').csv)
     return {
         "csv": f"{stamped}.csv",
         "parquet": f"{stamped}.parquet",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.export_dirs import path_exists
+from tidemark.sources.swap import write_then_switch
 
 FORMATS = {"csv": ("csv",), "parquet": ("parquet",), "both": ("csv", "parquet")}
 
@@ -30,27 +31,32 @@ class ExportSpec:
         shaped = df.select(
             *[F.col(c).cast("date").alias(c) if c in self.date_columns else F.col(c) for c in self.columns]
         )
-        if not self.order:
-            return shaped
-        keys = [F.desc_nulls_last(k[1:]) if k.startswith("-") else F.asc_nulls_last(k) for k in self.order]
-        return shaped.orderBy(*keys)
+        return in_order(shaped, self.order)
 
 
-def write_export(df: DataFrame, directory: str, name: str, kind: str = "both") -> list[str]:
-    """Write one table as CSV and/or Parquet.
+def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows sorted by columns, those with a leading ``-`` descending, NULLs last."""
+    keys = [F.desc_nulls_last(k[1:]) if k.startswith("-") else F.asc_nulls_last(k) for k in order]
+    return df.orderBy(*keys) if keys else df
+
+
+def write_export(df: DataFrame, directory: str, name: str, kind: str = "both", order: Sequence[str] = ()) -> list[str]:
+    """Write one table as CSV and/or Parquet, in place of older files once it is written.
 
     For both, the Parquet copy is written first and the CSV is made from it, so
-    the plan behind the table runs once.
+    the plan behind the table runs once; the CSV is sorted again, because a
+    reader takes Parquet files by size.
     """
     spark = df.sparkSession
     written = []
     base = f"{directory.rstrip('/')}/{name}"
     formats = FORMATS[kind]
     if "parquet" in formats:
-        df.write.mode("overwrite").parquet(f"{base}.parquet")
-        df = spark.read.parquet(f"{base}.parquet")
+        write_then_switch(spark, f"{base}.parquet", df.write.parquet)
+        spark.catalog.refreshByPath(f"{base}.parquet")
+        df = in_order(spark.read.parquet(f"{base}.parquet"), order)
     if "csv" in formats:
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{base}.csv")
+        write_then_switch(spark, f"{base}.csv", df.write.option("header", True).option("escape", '"').csv)
         written.append(f"{base}.csv")
     if "parquet" in formats:
         written.append(f"{base}.parquet")
@@ -88,11 +94,11 @@ def publish(tables: Mapping[str, DataFrame], specs: Sequence[ExportSpec], direct
     spark = next(iter(tables.values())).sparkSession
     done = {}
     for spec in specs:
-        files = write_export(spec.shape(tables[spec.source]), directory, spec.name, kind)
+        files = write_export(spec.shape(tables[spec.source]), directory, spec.name, kind, spec.order)
         stored = read_export(spark, directory, spec.name, "csv" if kind == "csv" else "parquet")
         done[spec.name] = (spec.source, spec.description, stored, files)
     listed = manifest(done)
-    write_export(listed, directory, "_export_manifest", kind)
+    write_export(listed, directory, "_export_manifest", kind, ("output_name",))
     return read_export(spark, directory, "_export_manifest", "csv" if kind == "csv" else "parquet").orderBy("output_name")
 
 

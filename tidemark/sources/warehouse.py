@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import labelled_counts
 from tidemark.sources.export_dirs import path_exists
+from tidemark.sources.swap import write_then_switch
 
 # The layers of the warehouse, in build order.
 LAYERS = ("raw", "bronze", "silver", "gold", "main")
@@ -34,8 +35,9 @@ class Warehouse:
         return self.spark.read.parquet(self.path(layer, table))
 
     def replace(self, df: DataFrame, layer: str, table: str) -> DataFrame:
-        """Overwrite a table; the commit happens only when every task has succeeded."""
-        df.write.mode("overwrite").parquet(self.path(layer, table))
+        """Put a new table in the place of an old one, which stays until the new one is written."""
+        write_then_switch(self.spark, self.path(layer, table), df.write.parquet)
+        self.spark.catalog.refreshByPath(self.path(layer, table))
         return self.read(layer, table)
 
     def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:
@@ -72,7 +74,7 @@ class Warehouse:
             if path_exists(self.spark, folder):
                 at = jvm.org.apache.hadoop.fs.Path(folder)
                 entries = at.getFileSystem(conf).listStatus(at)
-                found += sorted((layer, s.getPath().getName()) for s in entries if s.isDirectory())
+                found += sorted((layer, s.getPath().getName()) for s in entries if s.isDirectory() and s.getPath().getName()[0] not in "_.")
         return found
 
 
