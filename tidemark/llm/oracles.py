@@ -56,6 +56,84 @@ select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
 from judged
 """
 
+URL_FILTERS = r"""
+with parsed as (
+  select page_id, url,
+    case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages
+),
+split as (
+  select page_id, url,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+    list_distinct(regexp_extract_all(lower(url_decode(coalesce(url, ''))), '[\p{L}\p{N}]+')) as terms
+  from parsed
+),
+rules(domain, start, decision) as (
+  values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+),
+ruled as (
+  select page_id, domain || start as rule, decision from split join rules
+    on (host = domain or ends_with(host, '.' || domain)) and starts_with(path, start)
+  qualify row_number() over (partition by page_id order by length(domain || start) desc) = 1
+),
+counted as (
+  select *,
+    len(list_intersect(terms, ['porn', 'porno', 'xxx', 'hentai', 'camgirls', 'nudes', 'pornstar', 'sexcams', 'warez', 'crackz'])) as n_strict,
+    len(list_intersect(terms, ['adult', 'bet', 'bets', 'bonus', 'casino', 'cheap', 'crack', 'dating', 'escort', 'free', 'gambling', 'hot', 'jackpot',
+      'keygen', 'loan', 'loans', 'lottery', 'naked', 'nude', 'pills', 'poker', 'replica', 'serial', 'sex', 'sexy', 'slots', 'torrent', 'viagra'])) as n_soft
+  from split
+)
+select page_id, host, path, rule, coalesce(decision, case when n_strict > 0 or n_soft >= 2 then 'block' else 'allow' end) as verdict, n_strict, n_soft
+from counted left join ruled using (page_id)
+"""
+
+DOCUMENT_FINGERPRINTS = r"""
+with ordered as (
+  select doc_id, coalesce(text, '') as own, length(coalesce(text, ''))::bigint as n_chars,
+    coalesce(lead(coalesce(text, '')) over (order by doc_id), first_value(coalesce(text, '')) over (order by doc_id)) as after,
+    coalesce(lead(doc_id) over (order by doc_id), first_value(doc_id) over (order by doc_id)) as after_id
+  from documents
+),
+edited as (
+  select *, substr(own, 1, n_chars - n_chars // 2) || substr(after, 1, n_chars // 2) as changed from ordered
+),
+texts as (select doc_id, 0 as side, own as text from edited union all select doc_id, 1, changed from edited),
+paragraphs as (
+  select doc_id, side, sha256(p) || sha256('#' || p) as digits
+  from (select doc_id, side, trim(unnest(string_split(text, chr(10))), ' ') as p from texts) where p <> ''
+),
+entries as (
+  select doc_id, side, i, sum(2 * instr('0123456789abcdef', substr(digits, i, 1)) - 17) as total
+  from paragraphs, range(1, 129) as r(i) group by doc_id, side, i
+),
+vectors as materialized (
+  select doc_id, side, i, ((coalesce(total, 0) + 32768) % 65536 + 65536) % 65536 - 32768 as x
+  from (select doc_id, side, i from texts, range(1, 129) as r(i)) left join entries using (doc_id, side, i)
+),
+prints as (
+  select doc_id, side, string_agg(lpad(lower(hex(((x + 65536) % 65536)::bigint)), 4, '0'), '' order by i) as shown from vectors group by doc_id, side
+),
+pairs as (
+  select e.doc_id, 1 as kind, a.x as a, b.x as b from edited e
+    join vectors a on a.doc_id = e.doc_id and a.side = 0 join vectors b on b.doc_id = e.doc_id and b.side = 1 and b.i = a.i
+  union all
+  select e.doc_id, 2, a.x, b.x from edited e
+    join vectors a on a.doc_id = e.doc_id and a.side = 0 join vectors b on b.doc_id = e.after_id and b.side = 0 and b.i = a.i
+),
+near as (
+  select doc_id, kind, greatest(0.0::double, 1.0::double - sum(power(((a - b + 32768) % 65536 + 65536) % 65536 - 32768, 2))::double
+    / greatest(sum(a * a) + sum(b * b), 1)::double) as likeness
+  from pairs group by doc_id, kind
+)
+select e.doc_id, e.n_chars, sha256(e.changed) as edited_sha256, f.shown as fingerprint, g.shown as edited_fingerprint,
+  n.likeness as near_edited, m.likeness as near_next
+from edited e join prints f on f.doc_id = e.doc_id and f.side = 0 join prints g on g.doc_id = e.doc_id and g.side = 1
+  join near n on n.doc_id = e.doc_id and n.kind = 1 join near m on m.doc_id = e.doc_id and m.kind = 2
+"""
+
 SQL = {
     "op1_quality_rules": QUALITY_RULES,
+    "op4_url_filters": URL_FILTERS,
+    "op9_document_fingerprints": DOCUMENT_FINGERPRINTS,
 }

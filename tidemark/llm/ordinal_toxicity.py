@@ -47,7 +47,7 @@ class Fit:
     features: int = 1000
     least_texts: int = 4
     least_z: float = 5.0
-    penalty: float = 1e-3
+    penalty: float = 1e-4
     steps: int = 400
 
 
