@@ -7,6 +7,7 @@ import numpy as np
 import xxhash
 
 from tidemark.llm import covering_simhash as simhash
+from tidemark.llm import verified_simhash as verified
 from tidemark.llm.components import connected_components
 
 
@@ -88,3 +89,43 @@ def test_documents(documents, many):
     assert found == {(5, 3), (3, 3), (9, 3), (None, 3), (4, 4), (1, 1), (2, 1)}
     assert simhash.near_duplicates(many).count() == many.count()
     assert simhash.near_duplicates(many.limit(0)).count() == 0
+
+
+def shingles(text, k=5):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def test_sketch_estimates_jaccard():
+    rng = random.Random(4)
+    for n in (30, 300, 3000):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        for edits in (0, 1, n // 60, n // 20):
+            other = list(words)
+            for i in rng.sample(range(n), edits):
+                other[i] = "changed"
+            a, b = shingles(" ".join(words)), shingles(" ".join(other))
+            x, y = (np.frombuffer(verified.sketch([w.encode() for w in t], 5), dtype=np.uint8) for t in (words, other))
+            estimate = ((x == y) & (x > 0)).sum() / ((x > 0) | (y > 0)).sum()
+            assert abs(estimate - len(a & b) / len(a | b)) < 0.1
+
+
+def test_removal_keeps_one_of_each_group(documents, many):
+    rng = random.Random(6)
+    text = lambda n: [f"word{rng.randrange(10**6)}" for _ in range(n)]
+    rows, groups = [], {}
+    for g in range(12):
+        words = text(rng.choice([120, 400, 900]))
+        for _ in range(rng.choice([1, 2, 5])):
+            copy = list(words)
+            for i in rng.sample(range(len(words)), rng.choice([0, 1, len(words) // 100])):
+                copy[i] = f"edit{rng.randrange(100)}"
+            doc_id = len(rows) * 7 % 101
+            groups[doc_id] = g
+            rows.append((doc_id, " ".join(copy)))
+    rows += [(500, None), (501, " "), (None, rows[0][1]), (rows[0][0], rows[0][1])]
+    for block in (verified.BLOCK, 2):
+        kept = [r.doc_id for r in verified.deduplicated(documents(*rows), block=block).collect()]
+        assert sorted(kept) == sorted({min(d for d, h in groups.items() if h == g) for g in groups.values()} | {500})
+    assert verified.deduplicated(many).count() == 5  # null, empty and blank; 5 and 6; three others
+    assert verified.deduplicated(many).columns == many.columns and verified.deduplicated(many.limit(0)).count() == 0

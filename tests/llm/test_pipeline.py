@@ -5,13 +5,13 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
-from test_near import plain_components, plain_fingerprint
+from test_near import plain_components
 from test_quality import base, kept
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from tidemark.llm import entropy_mixing, line_rules, ordinal_toxicity
+from tidemark.llm import covering_simhash, entropy_mixing, line_rules, ordinal_toxicity, verified_simhash
 from tidemark.llm.frames import stored, table
 
 SF = "/root/testdata/sf0.001"
@@ -50,8 +50,17 @@ def test_every_stage_against_brute_force(spark):
     # near-duplicates: one of each component
     _, source, out = after[2]
     texts = {d: r.text for d, r in as_rows(source).items()}
-    prints = {d: plain_fingerprint(t, 5) for d, t in texts.items()}
-    group = plain_components(sorted(texts), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    words = {d: (t or "").encode().lower().split() for d, t in texts.items()}
+    fps = {d: verified_simhash.word_print(w) for d, w in words.items()}
+    marks = {d: np.frombuffer(verified_simhash.sketch(w, 5), dtype=np.uint8) for d, w in words.items()}
+    tables = covering_simhash.masks(4)
+
+    def near(a, b):
+        if not any((fps[a] ^ fps[b]) & m == 0 for m in tables):
+            return False
+        return ((marks[a] == marks[b]) & (marks[a] > 0)).sum() >= 0.8 * ((marks[a] > 0) | (marks[b] > 0)).sum()
+
+    group = plain_components(sorted(texts), near)
     assert set(as_rows(out)) == set(group.values()) and all(as_rows(out)[d].text == texts[d] for d in set(group.values()))
     # mixing: as often as decided
     _, source, out = after[3]

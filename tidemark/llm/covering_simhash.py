@@ -170,17 +170,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, text: st
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, shingle: int = 5, radius: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest doc_id stays, null ids last."""
-    prints = stored(fingerprints(docs, shingle, text, doc_id), "simhash-rows")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))
-    classes = prints.groupBy("fp").agg(first.alias("first"))
-    roots = stored(connected_components(links(prints, radius)), "simhash-components")
-    grouped = classes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    kept = stored(grouped.groupBy("root").agg(F.min(F.struct("first", "fp")).alias("k")).select(F.col("k.first.doc_id").alias("of"), F.col("k.fp").alias("in")), "simhash-kept")
-    rows = prints.join(kept, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("fp") == F.col("in")))
-    return rows.dropDuplicates(["doc_id", "fp"]).select("row.*")
-
-
 def hex_digits(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
