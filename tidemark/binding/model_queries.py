@@ -304,11 +304,11 @@ def data_quality_from_audit(c: Context) -> DataFrame:
     "n8_history_row_counts",
     " union all ".join(
         f"select 'fact_snapshot_{n}' as table_name, count(*) as row_count, max(snapshot_method) as methods from fact_{n}"
-        for n in ("network_growth", "applications", "presence", "data_quality")
+        for n in ("network_growth", "applications", "presence", "career_education", "data_quality")
     ),
 )
 def history_row_counts(c: Context) -> DataFrame:
-    names = ("network_growth", "applications", "presence", "data_quality")
+    names = ("network_growth", "applications", "presence", "career_education", "data_quality")
     return history.summarize({f"fact_snapshot_{n}": c.models.history(f"fact_snapshot_{n}", RUN) for n in names})
 
 

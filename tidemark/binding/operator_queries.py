@@ -303,10 +303,12 @@ def _history_rules_oracle(name: str) -> str:
     return " union all ".join(selects)
 
 
-@query("c5_history_contracts", f"{_history_rules_oracle('network_growth')} union all {_history_rules_oracle('applications')}")
+_FACTS = ("network_growth", "applications", "presence", "career_education", "data_quality")
+
+
+@query("c5_history_contracts", " union all ".join(_history_rules_oracle(n) for n in _FACTS))
 def history_contracts(c: Context) -> DataFrame:
-    names = ("network_growth", "applications")
-    return history.check_facts({f"fact_snapshot_{n}": fact(c, n) for n in names})
+    return history.check_facts({f"fact_snapshot_{n}": fact(c, n) for n in _FACTS})
 
 
 @query(
@@ -835,12 +837,11 @@ def order_nulls_last(c: Context) -> DataFrame:
 
 @query(
     "y2_top_k",
-    "select o_custkey as customer, count(*) as orders from orders group by all order by orders desc, customer limit 10",
+    "select cast(o_custkey as varchar) as customer, count(*) as orders from orders group by all order by orders desc, customer limit 10",
 )
 def top_k(c: Context) -> DataFrame:
-    named = c.table("orders").select(F.col("o_custkey").cast("string").alias("key"), "o_custkey")
-    counted = named.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
-    return counted.orderBy(F.desc("orders"), "o_custkey").limit(10).select(F.col("o_custkey").alias("customer"), "orders")
+    named = c.table("orders").select(F.col("o_custkey").cast("string").alias("key"))
+    return aggregates.top_k(named, "key", "orders").withColumnRenamed("key", "customer")
 
 
 @query(

@@ -7,10 +7,12 @@ reads them back, so the files grow with the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.binding.inputs import DRIVER_TABLES
 from tidemark.binding.model_queries import CLEANED, RUN
 from tidemark.binding.registry import Context, query
 from tidemark.functions import lexicon
@@ -214,28 +216,22 @@ def bi_export(c: Context) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-_PUBLISHED = ("connections_summary", "skills_summary", "company_follows_summary", "events_summary", "languages_summary")
-
-
-def _published_specs() -> list[publish.ExportSpec]:
-    return [s for s in exports.EXPORTS if s.source in _PUBLISHED]
-
-
 @query(
     "a10_export_manifest",
     " union all ".join(
         f"select '{s.name}' as output_name, '{s.source}' as source_table, count(*) as row_count, "
-        f"cast({len(s.columns)} as bigint) as column_count, '{s.description}' as description from mart_{s.source}"
-        for s in _published_specs()
+        f"cast({len(s.columns)} as bigint) as column_count, '{s.description}' as description "
+        f"from mart_{s.source.replace('pipeline_', '').replace('ingestion_audit_', '')}"
+        for s in exports.EXPORTS
     ),
 )
 def export_manifest(c: Context) -> DataFrame:
-    tables = {name: c.models.mart(name) for name in _PUBLISHED}
-    listed = publish.publish(tables, _published_specs(), scratch_path(c.spark, "publish"), "parquet")
+    tables = {s.source: c.models.mart(s.source) for s in exports.EXPORTS}
+    listed = publish.publish(tables, exports.EXPORTS, scratch_path(c.spark, "publish"), "parquet")
     return listed.drop("files")
 
 
-_HISTORY = ("fact_snapshot_network_growth", "fact_snapshot_applications", "fact_snapshot_presence")
+_HISTORY = tuple(s.name for s in exports.HISTORY_EXPORTS if s.name.startswith("fact_"))
 
 
 @query(
@@ -261,10 +257,10 @@ def history_export(c: Context) -> DataFrame:
         )
         for name in _HISTORY
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
-_CENSUS = ("nation", "customer", "orders", "lineitem", "events")
+_CENSUS = DRIVER_TABLES
 
 
 def _census_oracle(table: str) -> str:

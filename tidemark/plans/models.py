@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from tidemark.plans import audit_marts, history, marts
 from tidemark.plans.enriched import Settings, enrich
 from tidemark.plans.staging import stage
+from tidemark.sources.swap import fresh_directory
 from tidemark.sources.warehouse import Warehouse
 
 
@@ -113,7 +114,7 @@ AUDIT_MARTS = ("ingestion_audit_health_timeline", "ingestion_audit_null_rate_tim
 
 
 def build_history(warehouse: Warehouse, models: Models, run: history.Run) -> DataFrame:
-    """Check all history facts against their contracts, then write them; nothing is written if any check fails.
+    """Write all history facts aside, check what was written against the contracts, then publish it; nothing is published if any check fails.
 
     Without the audit marts the data-quality fact comes from the bare audit table.
     """
@@ -127,10 +128,14 @@ def build_history(warehouse: Warehouse, models: Models, run: history.Run) -> Dat
     if not audited:
         audit = warehouse.read("bronze", "ingestion_audit")
         facts["fact_snapshot_data_quality"] = history.data_quality_from_audit(audit, run)
-    history.require_valid(facts)
-    for name, fact in facts.items():
-        warehouse.replace(fact, "main", name)
     spark = warehouse.spark
+    with fresh_directory(spark, warehouse.root) as staging:
+        for name, fact in facts.items():
+            fact.write.parquet(f"{staging}/{name}")
+        written = {name: spark.read.parquet(f"{staging}/{name}") for name in facts}
+        history.require_valid(written)
+        for name, fact in written.items():
+            warehouse.replace(fact, "main", name)
     warehouse.replace(history.method_dimension(spark), "main", "dim_snapshot_method")
     warehouse.append(history.run_dimension(spark, run), "main", "dim_snapshot_run")
     return history.summarize({name: warehouse.read("main", name) for name in facts})

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -41,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     Only in local mode, as in tests, a temporary folder is created and set for
-    the session where none is configured; on a cluster that is an error, because
+    the session where none is configured, and removed when the program ends; on a cluster that is an error, because
     executors do not share a machine's own disk.
     """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -51,6 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not known:
         known = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, known, ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(known)
     return known

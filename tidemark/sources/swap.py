@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,3 +36,15 @@ def write_then_switch(spark: SparkSession, path: str, write: Callable[[str], Non
         raise OSError(f"cannot move {fresh} to {path}")
     if there:
         fs.delete(Path(old), True)
+
+
+@contextmanager
+def fresh_directory(spark: SparkSession, root: str) -> Iterator[str]:
+    """A new directory below ``root`` that readers skip by its name, removed at the end."""
+    path = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        yield path
+    finally:
+        fs.delete(at, True)
