@@ -92,7 +92,7 @@ def measured(docs: DataFrame, text: str = "text", host: str = "source", keep: li
     long = lambda c: c.cast("long")
     with_word = F.filter("split", lambda line, i: F.size(F.col("parts")[i]) > 0)
     return rows.select(
-        "row",
+        *[c for c in ("row",) if c in rows.columns],
         "host",
         F.xxhash64("text").alias("copy"),
         long(F.size("words")).alias("n_words"),
@@ -136,7 +136,7 @@ def judged(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, i: n + F.col("line_words")[i])
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     result = joined.select(
-        "row",
+        *[c for c in joined.columns if c in ("row", "host", "copy")],
         *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],
         base_failed.alias("base_failed"),
         F.size("removed").cast("long").alias("n_lines_removed"),
@@ -147,6 +147,20 @@ def judged(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text
     return result.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
+def cleaned(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source") -> DataFrame:
+    """The kept rows of ``docs`` as ``row``, with ``clean_text``: the text without its removed lines, itself where none is.
+
+    A judgement depends on host and text alone, so it is kept once for each such
+    pair, without the text, and meets the rows by the pair's hashes.
+    """
+    found = judged(docs, limits, text, host, keep=[]).filter("kept").select(F.col("host").alias("of"), F.col("copy").alias("in"), "removed")
+    found = stored(found.dropDuplicates(["of", "in"]), "line-judgements")
+    rows = packed(docs, text=text, host=host).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("copy", F.xxhash64("text"))
+    met = rows.join(found, F.col("host").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("in")))
+    text_left = F.when(F.size("removed") > 0, without_lines(F.col("text"), F.col("removed"))).otherwise(F.col("text"))
+    return met.select("row", text_left.alias("clean_text"), (F.size("removed") > 0).alias("changed"))
+
+
 def without_lines(text: Column, removed: Column) -> Column:
     """A text without the lines at the given positions."""
     return F.concat_ws("\n", F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(removed, i)))
