@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.binding import inputs
 from tidemark.binding.model_queries import CLEANED, fact
 from tidemark.binding.oracle_models import COUNTED, TODAY
-from tidemark.binding.registry import Context, query
+from tidemark.binding.registry import Context, query, register
 from tidemark.functions import dates, lexicon, numeric, text
 from tidemark.operators import aggregates, calendar, cleaning, contracts, json_rates, masking, windows
-from tidemark.plans import exports, history, insights
+from tidemark.plans import exports, history, insights, suite
 from tidemark.plans.bronze import EXPORT_TABLES
 
 # --- B: cleaning -------------------------------------------------------------------
@@ -334,6 +334,35 @@ def not_null_tests(c: Context) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+_CTE_PREFIXES = {"bronze": "bronze_", "staged": "stg_", "enriched": "int_", "mart": "mart_"}
+
+
+def _suite_oracle(layer: str) -> str:
+    selects = []
+    for table, declared in suite.LAYERS[layer].items():
+        source = _CTE_PREFIXES[layer] + table.replace("pipeline_", "")
+        bad = [("not_null", c, f"{c} is null") for c in declared.not_null]
+        bad += [("accepted_values", c, f"{c} not in ({', '.join(map(repr, v))})") for c, v in declared.accepted.items()]
+        selects += [
+            f"select '{layer}' as layer, '{table}' as table_name, '{test}' as test, '{column}' as column_name, "
+            f"count(*) filter (where {broken}) as violations from {source}"
+            for test, column, broken in bad
+        ]
+    return " union all ".join(selects)
+
+
+def _register_suite(layer: str) -> None:
+    def run(c: Context) -> DataFrame:
+        read = {"bronze": c.models.bronze, "staged": c.models.staged, "enriched": c.models.enriched, "mart": c.models.mart}
+        return suite.layer_tests(layer, read[layer])
+
+    register(f"c7_declared_tests_{layer}", run, _suite_oracle(layer))
+
+
+for _layer in suite.LAYERS:
+    _register_suite(_layer)
+
+
 # Values each classified column may take, as tested on the enriched models and marts.
 ACCEPTED = {
     "career_track": ("positions", ("analista", "engenharia", "desenvolvimento", "consultoria", "assistente", "outros")),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tidemark.plans import audit_marts, history, marts
+from tidemark.plans import audit_marts, history, marts, suite
 from tidemark.plans.enriched import Settings, enrich
 from tidemark.plans.staging import stage
 from tidemark.sources.swap import fresh_directory
@@ -89,11 +89,16 @@ MART_NAMES = (
 )
 
 
-def build_marts(warehouse: Warehouse, settings: Settings | None = None) -> Models:
-    """Write every mart from the bronze layer and return models that read the written ones."""
+def build_marts(warehouse: Warehouse, settings: Settings | None = None, tested: bool = False) -> Models:
+    """Write every mart from the bronze layer and return models that read the written ones.
+
+    With ``tested`` the declared data tests run on what was written, and a failing one raises.
+    """
     models = Models(lambda table: warehouse.read("bronze", table), settings)
     for name in MART_NAMES:
         warehouse.replace(models.mart(name), "main", f"mart_{name}")
+    if tested:
+        suite.require_layer("mart", lambda name: warehouse.read("main", f"mart_{name}"))
     return Models(
         lambda table: warehouse.read("bronze", table), settings, lambda name: warehouse.read("main", f"mart_{name}")
     )
