@@ -1046,8 +1046,8 @@ def textual_columns(c: Context) -> DataFrame:
     return masking.textual_columns(c.sql(_TYPED))
 
 
-_NAMED = """select c_custkey, case when c_custkey % 3 = 0 then null else ' ' || substr(c_name, 1, 8) end as first_name,
-    case when c_custkey % 6 < 3 then null else substr(c_name, 10) || ' ' end as last_name from customer"""
+_NAMED = """select c_custkey, case when c_custkey % 3 = 0 then null else ' ' || split_part(c_name, '#', 1) end as first_name,
+    case when c_custkey % 6 < 3 then null else split_part(c_name, '#', 2) || ' ' end as last_name from customer"""
 
 
 @query(
