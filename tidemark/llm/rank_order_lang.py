@@ -104,8 +104,9 @@ def learn(docs: DataFrame, sample: Sample = Sample(), text: str = "text", lang:
     rows = packed(docs, [], doc_id=doc_id, text=text, lang=lang).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
     ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw"))
-    # by the least hashes alone some twice as many as wanted are left, so that no task numbers all rows of a language
-    ids = ids.join(counts, F.col("lang") == F.col("of")).filter(F.pmod("draw", F.lit(_DRAWS)) * F.col("n") < 2 * sample.per_language * _DRAWS)
+    # by the least hashes alone some twice as many as wanted are left before they are shuffled, so that no task gets all
+    # rows of a language; the counts are a row per language
+    ids = ids.join(F.broadcast(counts), F.col("lang") == F.col("of")).filter(F.pmod("draw", F.lit(_DRAWS)) * F.col("n") < 2 * sample.per_language * _DRAWS)
     drawn = Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(_DRAWS)), "draw", "doc_id")
     drawn_ids = ids.withColumn("place", F.row_number().over(drawn)).filter(F.col("place") <= sample.per_language).select(F.col("doc_id").alias("of"), F.col("lang").alias("in")).distinct()
     # at most ``per_language`` ids of each language
