@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -218,31 +220,23 @@ def validate_contract(c: Context) -> DataFrame:
     return contracts.validate_contract(c.table("orders"), _ORDERS_CONTRACT)
 
 
-def _audit_oracle(table: str, columns: int, raw_columns: int, keys: str) -> str:
-
-
+def _audit_oracle(table: str) -> str:
+    contract = EXPORT_TABLES[table].contract
+    columns, raw_columns = len(contract.required), len(inputs._RAW_COLUMNS[table])
+    # the constant makes the key a row, so that NULLs count as values
+    distinct = f"count(distinct ({', '.join(contract.unique)}, 1))" if contract.unique else "count(*)"
     return f"""
         select '{table}' as table_key, s.n as source_row_count, cast({raw_columns} as bigint) as source_column_count,
             t.n as row_count_after_transform, cast({columns} as bigint) as column_count_after_transform,
             s.n - t.n as rows_removed_during_transform, t.n - t.k as duplicate_rows_after_transform
         from (select count(*) as n from raw_{table}) s,
-            (select count(*) as n, count(distinct ({keys})) as k from ({CLEANED[table]}) x) t"""
+            (select count(*) as n, {distinct} as k from ({CLEANED[table]}) x) t"""
 
 
-@query(
-    "c3_load_audit",
-    " union all ".join(
-        (
-            _audit_oracle("skills", 1, 1, "skill_name, 1"),
-            _audit_oracle("company_follows", 2, 2, "organization, followed_on"),
-            _audit_oracle("endorsement_received_info", 6, 6,
-                          "endorsement_date, skill_name, endorser_first_name, endorser_last_name"),
-        )
-    ),
-)
+@query("c3_load_audit", " union all ".join(_audit_oracle(table) for table in CLEANED))
 def load_audit(c: Context) -> DataFrame:
     rows = []
-    for key in ("skills", "company_follows", "endorsement_received_info"):
+    for key in CLEANED:
         table = EXPORT_TABLES[key]
         raw = c.raw(key)
         rows.append(
@@ -257,7 +251,7 @@ def load_audit(c: Context) -> DataFrame:
                 loaded_at=F.lit(None).cast("timestamp_ntz"),
             )
         )
-    united = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    united = reduce(DataFrame.unionByName, rows)
     return united.select(
         "table_key",
         "source_row_count",
