@@ -79,9 +79,11 @@ ruled as (
 ),
 counted as (
   select *,
-    len(list_intersect(terms, ['porn', 'porno', 'xxx', 'hentai', 'camgirls', 'nudes', 'pornstar', 'sexcams', 'warez', 'crackz'])) as n_strict,
-    len(list_intersect(terms, ['adult', 'bet', 'bets', 'bonus', 'casino', 'cheap', 'crack', 'dating', 'escort', 'free', 'gambling', 'hot', 'jackpot',
-      'keygen', 'loan', 'loans', 'lottery', 'naked', 'nude', 'pills', 'poker', 'replica', 'serial', 'sex', 'sexy', 'slots', 'torrent', 'viagra'])) as n_soft
+    len(list_intersect(terms, ['adult', 'camgirls', 'casino', 'crackz', 'hentai', 'nudes', 'porn', 'porno', 'pornstar', 'sexcams', 'spam',
+      'warez', 'xxx'])) as n_strict,
+    len(list_intersect(terms, ['ads', 'banner', 'bet', 'bets', 'bonus', 'cheap', 'click', 'crack', 'dating', 'escort', 'farm', 'free',
+      'gambling', 'hot', 'jackpot', 'keygen', 'loan', 'loans', 'lottery', 'naked', 'nude', 'pills', 'poker', 'popup', 'prize', 'replica',
+      'serial', 'sex', 'sexy', 'slots', 'torrent', 'track', 'tracker', 'tracking', 'viagra', 'win', 'winner'])) as n_soft
   from split
 )
 select page_id, host, path, rule, coalesce(decision, case when n_strict > 0 or n_soft >= 2 then 'block' else 'allow' end) as verdict, n_strict, n_soft

@@ -30,11 +30,14 @@ ALLOW, BLOCK = "allow", "block"
 class Vocabulary:
     """Terms of letters and digits in lower case, and how many distinct soft ones block."""
 
-    # Terms for adult content, gambling and fraud.
-    strict: tuple[str, ...] = ("porn", "porno", "xxx", "hentai", "camgirls", "nudes", "pornstar", "sexcams", "warez", "crackz")
+    # Terms for adult content, gambling, fraud and advertising.
+    strict: tuple[str, ...] = (
+        *("adult", "camgirls", "casino", "crackz", "hentai", "nudes", "porn", "porno", "pornstar", "sexcams", "spam", "warez", "xxx"),
+    )
     soft: tuple[str, ...] = (
-        *("adult", "bet", "bets", "bonus", "casino", "cheap", "crack", "dating", "escort", "free", "gambling", "hot", "jackpot", "keygen"),
-        *("loan", "loans", "lottery", "naked", "nude", "pills", "poker", "replica", "serial", "sex", "sexy", "slots", "torrent", "viagra"),
+        *("ads", "banner", "bet", "bets", "bonus", "cheap", "click", "crack", "dating", "escort", "farm", "free", "gambling", "hot"),
+        *("jackpot", "keygen", "loan", "loans", "lottery", "naked", "nude", "pills", "poker", "popup", "prize", "replica", "serial"),
+        *("sex", "sexy", "slots", "torrent", "track", "tracker", "tracking", "viagra", "win", "winner"),
     )
     soft_limit: int = 2
 
