@@ -129,3 +129,31 @@ def test_removal_keeps_one_of_each_group(documents, many):
         assert sorted(kept) == sorted({min(d for d, h in groups.items() if h == g) for g in groups.values()} | {500})
     assert verified.deduplicated(many).count() == 5  # null, empty and blank; 5 and 6; three others
     assert verified.deduplicated(many).columns == many.columns and verified.deduplicated(many.limit(0)).count() == 0
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def altered(rng, words, kind, share):
+    n = int(len(words) * share)
+    if kind == "appended":
+        return words + [f"other{rng.randrange(10**6)}" for _ in range(n)]
+    if kind == "truncated":
+        return words[: len(words) - n]
+    copy = list(words)
+    for i in rng.sample(range(len(words)), n // 5):
+        copy[i] = f"edit{rng.randrange(10**6)}"
+    return copy
+
+
+def test_candidates_of_every_kind_of_edit():
+    rng = random.Random(8)
+    for kind in ("appended", "truncated", "replaced"):
+        for _ in range(120):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 250, 900]))]
+            copy = altered(rng, words, kind, rng.uniform(0.05, 0.19))
+            if jaccard(" ".join(words), " ".join(copy)) >= 0.8:
+                a, b = (verified.band_keys(verified.shingle_hashes([w.encode() for w in t], 5)) for t in (words, copy))
+                assert any(x == y for x, y in zip(a, b, strict=True)), kind
