@@ -157,3 +157,25 @@ def test_candidates_of_every_kind_of_edit():
             if jaccard(" ".join(words), " ".join(copy)) >= 0.8:
                 a, b = (verified.band_keys(verified.shingle_hashes([w.encode() for w in t], 5)) for t in (words, copy))
                 assert any(x == y for x, y in zip(a, b, strict=True)), kind
+
+
+def test_removal_equals_plain_jaccard(documents):
+    rng = random.Random(9)
+    rows = []
+    for g in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 250, 900]))]
+        kind = ("appended", "truncated", "replaced")[g % 3]
+        for copy in (words, altered(rng, words, kind, rng.uniform(0.1, 0.3)), altered(rng, words, kind, rng.uniform(0.19, 0.26))):
+            rows.append((len(rows), " ".join(copy)))
+    texts = dict(rows)
+    expected = plain_components(sorted(texts), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
+    assert 60 < len(set(expected.values())) < 180
+    for block in (verified.BLOCK, 2):
+        assert sorted(r.doc_id for r in verified.deduplicated(documents(*rows), block=block).collect()) == sorted(set(expected.values()))
+
+
+def test_stage_on_documents_equals_plain_jaccard(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    near = lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    assert {r.doc_id for r in verified.deduplicated(docs).collect()} == set(plain_components(sorted(sets), near).values())
