@@ -76,3 +76,16 @@ def test_removed_lines_leave_the_text(documents):
     found = line_rules.judged(documents(*rows))
     texts = found.select(line_rules.without_lines(found["row.text"], found["removed"]).alias("t")).collect()
     assert all(r.t.startswith("Own") for r in texts)
+
+
+def test_count_limits_remove_by_themselves(documents):
+    passage = "A passage of more than eight words that stands on several hosts at once."
+    own = lambda i: " ".join(f"word{i}x{k}" for k in range(30))
+    rows = [(i, "\n".join([own(i), *["Hot short line"] * (i < 9), *[passage] * (i % 20 == 0)]), "large") for i in range(160)]
+    rows += [(200 + i, f"{own(200 + i)}\n{passage}", f"small{i}") for i in range(3)]
+    rows += [(300, f"{own(0)}\nHot short line\n{passage}", "small0")]  # a copy on another host
+    removed = lambda limits: {r[0] for r in line_rules.judged(documents(*rows), limits).filter("n_lines_removed > 0").select("row.doc_id").collect()}
+    assert removed(line_rules.LineLimits()) == set()  # nine of 160 are less than 8 %
+    assert removed(line_rules.LineLimits(most_documents=9)) == set() and removed(line_rules.LineLimits(most_documents=8)) == set(range(9))
+    having = set(range(0, 160, 20)) | {200, 201, 202, 300}
+    assert removed(line_rules.LineLimits(most_across=11)) == set() and removed(line_rules.LineLimits(most_across=10)) == having

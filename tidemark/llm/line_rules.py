@@ -26,12 +26,19 @@ from tidemark.llm.frames import BLANKS, let, packed, stored
 class LineLimits:
     """A line is removed where more than ``min_documents`` documents and more than ``host_percent`` of its host's have it.
 
+    Two limits that remove by themselves, so that a large host does not raise its own limit, are off by default, as
+    the SQL of op1 has none: a line goes where more than ``most_documents`` of a host's documents have it, and a line of
+    at least ``long_words`` words where more than ``most_across`` documents of all hosts together have it.
+
     A document is depleted when less than ``least_percent_left`` of its words remain.
     """
 
     min_documents: int = 5
     host_percent: int = 8
     least_percent_left: int = 30
+    most_documents: int | None = None
+    most_across: int | None = None
+    long_words: int = 8
 
 
 WINDOW = 8
@@ -106,34 +113,57 @@ def measured(docs: DataFrame, text: str = "text", host: str = "source", keep: li
 
 
 def frequent_lines(rows: DataFrame, limits: LineLimits) -> DataFrame:
-    """(of, lines): the hashes of each host's lines above the limits, from ``measured`` rows.
+    """(of, line): the hashes of each host's lines above its limits, from ``measured`` rows.
 
-    A host has at most its lines per document times ``100 / host_percent`` such
-    lines, so the list of a host stays small however many documents it has. The
-    counts are combined before each shuffle.
+    The counts are combined before each shuffle.
     """
     each = F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull())))
     lines = rows.select("host", "copy", each.alias("line")).distinct()
-    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limits.min_documents)
+    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    least = limits.min_documents if limits.most_documents is None else min(limits.min_documents, limits.most_documents)
     sizes = rows.select("host", "copy").distinct().groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("all"))
-    above = counts.join(sizes, F.col("host").eqNullSafe(F.col("of"))).filter(100 * F.col("n") > limits.host_percent * F.col("all"))
-    return above.groupBy("of").agg(F.collect_list("line").alias("lines"))
+    counts = counts.filter(F.col("n") > least).join(sizes, F.col("host").eqNullSafe(F.col("of")))
+    above = (F.col("n") > limits.min_documents) & (100 * F.col("n") > limits.host_percent * F.col("all"))
+    if limits.most_documents is not None:
+        above |= F.col("n") > limits.most_documents
+    return counts.filter(above).select("of", "line")
+
+
+def spread_lines(rows: DataFrame, most_across: int, long_words: int) -> DataFrame:
+    """(line): the hashes of long lines that more than ``most_across`` different texts of all hosts have."""
+    long = F.transform("hashes", lambda h, i: F.when(F.col("line_words")[i] >= long_words, h))
+    lines = rows.select("copy", F.explode(F.array_distinct(F.filter(long, lambda h: h.isNotNull()))).alias("line")).distinct()
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_across).select("line")
+
+
+def removals(rows: DataFrame, limits: LineLimits) -> DataFrame:
+    """(of, in, gone): positions and word numbers of the lines above the limits, in order, for each host and text that has any.
+
+    Lines meet the frequent ones as rows, so no list of a host's lines has to fit one row.
+    """
+    found = stored(frequent_lines(rows, limits), "frequent-lines")
+    at = F.posexplode(F.arrays_zip("hashes", "line_words")).alias("pos", "at")
+    places = rows.select("host", "copy", at).select("host", "copy", "pos", F.col("at.hashes").alias("hash"), F.col("at.line_words").alias("n"))
+    hits = places.join(found, F.col("host").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("line"))).select("host", "copy", "pos", "n")
+    if limits.most_across is not None:
+        spread = stored(spread_lines(rows, limits.most_across, limits.long_words), "spread-lines")
+        hits = hits.union(places.join(spread, F.col("hash") == F.col("line")).select("host", "copy", "pos", "n"))
+    return hits.groupBy(F.col("host").alias("of"), F.col("copy").alias("in")).agg(F.array_sort(F.collect_set(F.struct("pos", "n"))).alias("gone"))
 
 
 def judged(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source", keep: list[str] | None = None) -> DataFrame:
     """``docs`` as ``row`` with the base measures, ``base_failed``, numbers and ``removed`` positions of lines, and ``kept``.
 
-    The frequent lines are stored first, so Spark knows their size when it
+    The removed lines are stored first, so Spark knows their size when it
     plans the join: a broadcast below its threshold, else a sort-merge join
-    whose hot hosts it splits.
+    whose hot texts it splits.
     """
     rows = stored(measured(docs, text, host, keep), "line-measures")
-    found = stored(frequent_lines(rows, limits), "frequent-lines")
-    joined = rows.join(found, F.col("host").eqNullSafe(F.col("of")), "left")
-    at = F.filter(F.transform("hashes", lambda h, i: F.when(F.array_contains("lines", h), i)), lambda i: i.isNotNull())
+    gone = stored(removals(rows, limits), "line-removals")
+    joined = rows.drop("hashes", "line_words").join(gone, F.col("host").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("in")), "left")
     none = F.array().cast("array<int>")
-    joined = joined.withColumn("removed", F.when(F.col("lines").isNotNull() & F.arrays_overlap("hashes", "lines"), at).otherwise(none))
-    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, i: n + F.col("line_words")[i])
+    joined = joined.withColumn("removed", F.coalesce(F.transform("gone", lambda g: g["pos"]), none))
+    lost = F.coalesce(F.aggregate("gone", F.lit(0).cast("long"), lambda n, g: n + g["n"]), F.lit(0).cast("long"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     result = joined.select(
         *[c for c in joined.columns if c in ("row", "host", "copy")],
