@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     best_fit,
+    bisector_clusters,
     chat_windows,
+    chebyshev_whitening,
     covering_simhash,
     entropy_mixing,
     license_digests,
@@ -84,6 +86,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bisector_clusters.clustered(table(spark, sf_dir, "embeddings"), keep=[])
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chebyshev_whitening.component_rows(chebyshev_whitening.whitened(table(spark, sf_dir, "embeddings"), keep=[]))
+
+
 QUERIES: tuple[Query, ...] = (
     op1_quality_rules,
     op2_simhash_near_dedup,
@@ -95,6 +106,8 @@ QUERIES: tuple[Query, ...] = (
     op8_chat_formatting,
     op9_document_fingerprints,
     op10_best_fit_packing,
+    op12_centroid_clustering,
+    op13_embedding_whitening,
 )
 
 
