@@ -134,8 +134,52 @@ from edited e join prints f on f.doc_id = e.doc_id and f.side = 0 join prints g
   join near n on n.doc_id = e.doc_id and n.kind = 1 join near m on m.doc_id = e.doc_id and m.kind = 2
 """
 
+#: Each round of clustering by all distances; a centroid's components are rows (cluster, i, x).
+_CLUSTER_ROUND = """
+near{r} as (
+  select v, arg_min(cluster, (distance, cluster)) as cluster, min(distance) as distance
+  from (select e.v, c.cluster, sum((e.x - c.x) * (e.x - c.x))::bigint as distance from entries e join centre{r} c using (i) group by e.v, c.cluster)
+  group by v
+),
+centre{n} as (
+  select c.cluster, c.i, coalesce(m.x, c.x) as x from centre{r} c
+  left join (
+    select n.cluster, e.i, ((sum(e.x) - (sum(e.x) % count(*) + count(*)) % count(*)) // count(*))::bigint as x
+    from entries e join near{r} n using (v) group by n.cluster, e.i
+  ) m using (cluster, i)
+),
+"""
+
+CENTROID_CLUSTERING = (
+    r"""
+with kept as materialized (
+  select row_number() over () as v, vec_id, list_transform(embedding, c -> floor(64 * c::double)::bigint) as xs
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, c -> c is not null and isfinite(c))) = 64
+),
+entries as materialized (select v, i, xs[i] as x from kept, range(1, 65) as r(i)),
+first as (
+  select v, row_number() over (order by sha256('1:' || vec_id::varchar), xs) - 1 as cluster
+  from kept where vec_id is not null order by cluster limit 16
+),
+centre0 as (select f.cluster, e.i, e.x from entries e join first f using (v)),
+"""
+    + "".join(_CLUSTER_ROUND.format(r=r, n=r + 1) for r in range(3))
+    + r"""
+near as (
+  select v, arg_min(cluster, (distance, cluster)) as cluster, min(distance) as distance
+  from (select e.v, c.cluster, sum((e.x - c.x) * (e.x - c.x))::bigint as distance from entries e join centre3 c using (i) group by e.v, c.cluster)
+  group by v
+),
+digests as (select cluster, sha256(string_agg(x::varchar, ',' order by i)) as centroid_sha256 from centre3 group by cluster)
+select k.vec_id, n.cluster::integer as cluster, n.distance, sum(n.distance) over (partition by n.cluster)::bigint as cluster_inertia,
+  sum(n.distance) over ()::bigint as inertia, d.centroid_sha256
+from kept k join near n using (v) join digests d using (cluster)
+"""
+)
+
 SQL = {
     "op1_quality_rules": QUALITY_RULES,
     "op4_url_filters": URL_FILTERS,
     "op9_document_fingerprints": DOCUMENT_FINGERPRINTS,
+    "op12_centroid_clustering": CENTROID_CLUSTERING,
 }

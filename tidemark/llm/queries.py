@@ -15,6 +15,7 @@ from tidemark.llm import (
     chat_windows,
     chebyshev_whitening,
     covering_simhash,
+    crf_extraction,
     entropy_mixing,
     license_digests,
     line_rules,
@@ -86,6 +87,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = crf_extraction.extracted(table(spark, sf_dir, "pages"), crf_extraction.learn(), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bisector_clusters.clustered(table(spark, sf_dir, "embeddings"), keep=[])
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
@@ -106,6 +112,7 @@ QUERIES: tuple[Query, ...] = (
     op8_chat_formatting,
     op9_document_fingerprints,
     op10_best_fit_packing,
+    op11_html_extraction,
     op12_centroid_clustering,
     op13_embedding_whitening,
 )
