@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -50,10 +50,17 @@ def fingerprint_of(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """(row, doc_id, fp): one row per row of ``docs``, ``row`` with the columns ``keep`` (all), absent for an empty list."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None, hashed: bool = False
+) -> DataFrame:
+    """(row, doc_id, fp): one row per row of ``docs``, ``row`` with the columns ``keep`` (all), absent for an empty list.
+
+    Where ``hashed``, a column ``key`` of the id and the text is added.
+    """
     rows = packed(docs, keep, doc_id=doc_id, text=text)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    if hashed:
+        rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     carried = [c for c in rows.columns if c != "text"]
     types = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in carried)
 
@@ -151,23 +158,39 @@ def links(prints: DataFrame, radius: int = 3, direct: int = DIRECT) -> DataFrame
     return _direct_links(small.select("fps"), radius).union(_midpoint_links(hot, radius)).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, text: str = "text", doc_id: str = "doc_id", direct: int = DIRECT) -> DataFrame:
-    """(doc_id, fp, component_id): one row per row of ``docs``.
+def components(prints: DataFrame, radius: int, direct: int, first: Column) -> DataFrame:
+    """(fp, first): for each fingerprint of ``prints`` the least ``first`` of all rows in its component.
 
-    Fingerprints are written once; equal ones are one node. Only nodes with a
-    link take part in the component search. The nodes' ids are written before
-    they meet the rows, so that nothing but the join stands between the
-    shuffle and the result and Spark can split a fingerprint that very many
-    rows share.
+    Equal fingerprints are one node, and only nodes with a link take part in the
+    component search. The result is written before it meets any rows, so that
+    nothing but a join stands between the shuffle and the result and Spark can
+    split a fingerprint that very many rows share.
     """
-    prints = stored(fingerprints(docs, shingle, text, doc_id, keep=[]), "simhash")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    classes = prints.groupBy("fp").agg(F.min(first).alias("first"))
     roots = connected_components(links(prints, radius, direct)).withColumnRenamed("node", "fp")
     linked = classes.join(roots, "fp")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     joined = stored(linked.join(least, "root").select("fp", "least"), "simhash-components")
-    ids = stored(classes.join(joined, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "simhash-ids")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return stored(classes.join(joined, "fp", "left").select("fp", F.coalesce("least", "first").alias("first")), "simhash-ids")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, text: str = "text", doc_id: str = "doc_id", direct: int = DIRECT) -> DataFrame:
+    """(doc_id, fp, component_id): one row per row of ``docs``."""
+    prints = stored(fingerprints(docs, shingle, text, doc_id, keep=[]), "simhash")
+    ids = components(prints, radius, direct, F.col("doc_id"))
+    return prints.join(ids, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, shingle: int = 3, radius: int = 3, text: str = "text", doc_id: str = "doc_id", direct: int = DIRECT) -> DataFrame:
+    """The rows of ``docs`` with one row of each component: that of the smallest doc_id, null ids last, once where rows repeat it.
+
+    Texts are read twice and shuffled at most once: ids, fingerprints and one
+    hash of id and text are all that the search has of a document.
+    """
+    prints = stored(fingerprints(docs, shingle, text, doc_id, keep=[], hashed=True), "simhash")
+    kept = components(prints, radius, direct, F.struct(F.col("doc_id").isNull(), "doc_id", "key")).select("first.key").distinct()
+    rows = packed(docs, doc_id=doc_id, text=text).select("row", F.xxhash64(F.col("doc_id").cast("long"), "text").alias("key"))
+    return rows.join(stored(kept, "simhash-kept"), "key").dropDuplicates(["key"]).select("row.*")
 
 
 def hex_digits(fp: str = "fp"):
