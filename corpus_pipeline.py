@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import best_fit, entropy_mixing, line_rules, ordinal_toxicity, verified_simhash
+from tidemark.llm import best_fit, covering_simhash, entropy_mixing, line_rules, ordinal_toxicity
 from tidemark.llm.frames import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -39,8 +39,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingles, similarity 0.8."""
-    return verified_simhash.deduplicated(docs)
+    """One document of each component of op2 stays: three-word shingles, fingerprints that differ in at most three bits."""
+    return covering_simhash.deduplicated(docs)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
