@@ -7,7 +7,6 @@ import numpy as np
 import xxhash
 
 from tidemark.llm import covering_simhash as simhash
-from tidemark.llm import verified_simhash as verified
 from tidemark.llm.components import connected_components
 
 
@@ -91,91 +90,28 @@ def test_documents(documents, many):
     assert simhash.near_duplicates(many.limit(0)).count() == 0
 
 
-def shingles(text, k=5):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
-
-
-def test_sketch_estimates_jaccard():
-    rng = random.Random(4)
-    for n in (30, 300, 3000):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
-        for edits in (0, 1, n // 60, n // 20):
-            other = list(words)
-            for i in rng.sample(range(n), edits):
-                other[i] = "changed"
-            a, b = shingles(" ".join(words)), shingles(" ".join(other))
-            x, y = (np.frombuffer(verified.sketch([w.encode() for w in t], 5), dtype=np.uint8) for t in (words, other))
-            estimate = ((x == y) & (x > 0)).sum() / ((x > 0) | (y > 0)).sum()
-            assert abs(estimate - len(a & b) / len(a | b)) < 0.1
-
-
-def test_removal_keeps_one_of_each_group(documents, many):
+def test_removal_keeps_one_of_each_component(documents, many):
     rng = random.Random(6)
-    text = lambda n: [f"word{rng.randrange(10**6)}" for _ in range(n)]
-    rows, groups = [], {}
-    for g in range(12):
-        words = text(rng.choice([120, 400, 900]))
+    rows = []
+    for _ in range(12):
+        words = [f"word{rng.randrange(10**6)}" for _ in range(rng.choice([2, 120, 400, 900]))]
         for _ in range(rng.choice([1, 2, 5])):
             copy = list(words)
             for i in rng.sample(range(len(words)), rng.choice([0, 1, len(words) // 100])):
                 copy[i] = f"edit{rng.randrange(100)}"
-            doc_id = len(rows) * 7 % 101
-            groups[doc_id] = g
-            rows.append((doc_id, " ".join(copy)))
-    rows += [(500, None), (501, " "), (None, rows[0][1]), (rows[0][0], rows[0][1])]
-    for block in (verified.BLOCK, 2):
-        kept = [r.doc_id for r in verified.deduplicated(documents(*rows), block=block).collect()]
-        assert sorted(kept) == sorted({min(d for d, h in groups.items() if h == g) for g in groups.values()} | {500})
-    assert verified.deduplicated(many).count() == 5  # null, empty and blank; 5 and 6; three others
-    assert verified.deduplicated(many).columns == many.columns and verified.deduplicated(many.limit(0)).count() == 0
-
-
-def jaccard(a, b):
-    a, b = shingles(a), shingles(b)
-    return len(a & b) / len(a | b)
-
-
-def altered(rng, words, kind, share):
-    n = int(len(words) * share)
-    if kind == "appended":
-        return words + [f"other{rng.randrange(10**6)}" for _ in range(n)]
-    if kind == "truncated":
-        return words[: len(words) - n]
-    copy = list(words)
-    for i in rng.sample(range(len(words)), n // 5):
-        copy[i] = f"edit{rng.randrange(10**6)}"
-    return copy
-
-
-def test_candidates_of_every_kind_of_edit():
-    rng = random.Random(8)
-    for kind in ("appended", "truncated", "replaced"):
-        for _ in range(120):
-            words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 250, 900]))]
-            copy = altered(rng, words, kind, rng.uniform(0.05, 0.19))
-            if jaccard(" ".join(words), " ".join(copy)) >= 0.8:
-                a, b = (verified.band_keys(verified.shingle_hashes([w.encode() for w in t], 5)) for t in (words, copy))
-                assert any(x == y for x, y in zip(a, b, strict=True)), kind
-
-
-def test_removal_equals_plain_jaccard(documents):
-    rng = random.Random(9)
-    rows = []
-    for g in range(60):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 250, 900]))]
-        kind = ("appended", "truncated", "replaced")[g % 3]
-        for copy in (words, altered(rng, words, kind, rng.uniform(0.1, 0.3)), altered(rng, words, kind, rng.uniform(0.19, 0.26))):
-            rows.append((len(rows), " ".join(copy)))
-    texts = dict(rows)
-    expected = plain_components(sorted(texts), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
-    assert 60 < len(set(expected.values())) < 180
-    for block in (verified.BLOCK, 2):
-        assert sorted(r.doc_id for r in verified.deduplicated(documents(*rows), block=block).collect()) == sorted(set(expected.values()))
-
-
-def test_stage_on_documents_equals_plain_jaccard(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
-    near = lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    assert {r.doc_id for r in verified.deduplicated(docs).collect()} == set(plain_components(sorted(sets), near).values())
+            rows.append((len(rows) * 7 % 101, " ".join(copy)))
+    fps = {d: plain_fingerprint(t) for d, t in rows}
+    expected = set(plain_components(sorted(fps), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3).values())
+    rows += [(500, None), (501, " "), (None, rows[0][1]), rows[0], (502, rows[0][1].upper())]
+    for direct in (simhash.DIRECT, 2):
+        kept = simhash.deduplicated(documents(*rows), direct=direct).collect()
+        assert sorted(r.doc_id for r in kept) == sorted(expected | {500})
+        assert all(r.text == dict(rows)[r.doc_id] for r in kept)
+    assert simhash.deduplicated(many).count() == 5  # null, empty and blank; 5 and 6; three others
+    assert simhash.deduplicated(many).columns == many.columns and simhash.deduplicated(many.limit(0)).count() == 0
+
+
+def test_rows_of_one_null_id(documents):
+    texts = [" ".join(f"w{g}x{i}" for i in range(200)) for g in range(6)]
+    kept = simhash.deduplicated(documents(*[(None, t) for t in texts * 3])).collect()
+    assert sorted(r.text for r in kept) == sorted(texts)
