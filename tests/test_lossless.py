@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import masking
 from tidemark.operators.contracts import TableContract, validate_contract
+from tidemark.plans import bronze
 from tidemark.sources import csv_exports, inventory, publish
 from tidemark.sources.warehouse import Warehouse
 
@@ -46,6 +47,52 @@ def test_surplus_fields_and_missing_headers_are_errors(spark, tmp_path):
         csv_exports.read_csv_after_preamble(spark, wide, HEADER).collect()
 
 
+SURPLUS = 'A,B\n1,2\n1,2,,4\n"x,y",z\n3\n1,2,\n"a ""q"" b","c\nd",e\n'
+
+
+def test_rejected_records_keep_their_text(spark, rows, tmp_path):
+    path = put(tmp_path / "x.csv", SURPLUS)
+    records = csv_exports.read_records(spark, path)
+    assert rows(csv_exports.accepted_records(records), order=False) == [("1", "2"), ("x,y", "z"), ("3", None)]
+    rejected = [r.record.strip() for r in csv_exports.rejected_records(records).collect()]
+    assert rejected == ["1,2,,4", "1,2,", '"a ""q"" b","c\nd",e']
+    assert records.select("A").count() == 6 and csv_exports.accepted_records(records).select("B").count() == 3
+    with pytest.raises(Exception, match="more fields than the header: 1,2,,4"):
+        csv_exports.read_csv(spark, put(tmp_path / "y.csv", "A,B\n1,2,,4\n")).select("A").collect()
+    flat = put(tmp_path / "z.csv", "A,B\n1,2\n1,2,,4\n3\n")
+    for multiline in (True, False):
+        records = csv_exports.read_records(spark, flat, multiline)
+        assert records.count() == 3 and rows(csv_exports.rejected_records(records)) == [("1,2,,4",)]
+    empty = put(tmp_path / "e.csv", "")
+    assert csv_exports.read_records(spark, empty).columns == [csv_exports.REJECTED] and csv_exports.read_csv(spark, empty).columns == []
+    noted = put(tmp_path / "n.csv", "Notes:\n\nFirst Name,Last Name,URL\na,b,c\na,b,c,,d\na,b\n")
+    records = csv_exports.read_records_after_preamble(spark, noted, HEADER)
+    assert rows(csv_exports.accepted_records(records)) == [("a", "b", "c"), ("a", "b", None)]
+    assert rows(csv_exports.rejected_records(records)) == [("a,b,c,,d",)]
+
+
+def test_loads_count_rejects_and_can_run_again(spark, rows, tmp_path, monkeypatch):
+    directory = put(tmp_path / "exp/Skills.csv", "Name\nPython\nSQL,\nPython\n,x\n").rpartition("/")[0]
+    store = Warehouse(spark, str(tmp_path / "w"))
+    moment = F.lit("2024-05-01").cast("timestamp_ntz")
+    for day in ("1", "2"):
+        # the second load fails between the switch of its table and its audit row, and runs again
+        if day == "2":
+            with monkeypatch.context() as broken:
+                broken.setattr(bronze, "audit_row", lambda *_, **__: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    bronze.load_table(spark, "skills", directory, store, moment, load_id=day)
+        bronze.load_table(spark, "skills", directory, store, moment, load_id=day)
+    assert rows(store.read("bronze", "skills")) == [("Python",)]
+    audit = store.read("bronze", "ingestion_audit").select("load_id", "source_row_count", "rejected_rows", "row_count", "rows_removed_during_transform")
+    assert rows(audit) == [("load-skills-1", 4, 2, 1, 3), ("load-skills-2", 4, 2, 1, 3)]
+    put_aside = store.read("raw", "rejected_records").select("load_id", "table_key", "record")
+    assert rows(put_aside) == [(f"load-skills-{day}", "skills", record) for day in "12" for record in (",x", "SQL,")]
+    assert rows(store.read("raw", "skills").select("Name"))[-2:] == [("SQL",), (None,)]
+    with pytest.raises(ValueError, match="with the name"):
+        store.append(store.read("bronze", "ingestion_audit").drop("load_id"), "bronze", "ingestion_audit")
+
+
 def test_failing_replace_keeps_the_old_table(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path / "w"))
     store.replace(spark.range(5), "bronze", "t")

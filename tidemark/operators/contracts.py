@@ -108,20 +108,22 @@ def null_rates(df: DataFrame) -> DataFrame:
     return wide.unpivot([], names, "column_name", "null_rate")
 
 
-def load_profile(df: DataFrame, prefix: str) -> DataFrame:
-    """One row: row count, column count and the null-rate map of a table as JSON.
+def load_profile(df: DataFrame, prefix: str, *more: Column, without: str | None = None) -> DataFrame:
+    """One row: row count, column count and the null-rate map of a table as JSON, and ``more`` aggregates.
 
     Rates are keyed by normalised column name on both sides of a transform, so
     before and after can be matched.
     """
     pairs: list[Column] = []
-    for name in df.columns:
+    names = [name for name in df.columns if name != without]
+    for name in names:
         rate = F.avg(F.col(f"`{name}`").isNull().cast("int").cast("double"))
         pairs += [F.lit(normalize_name(name)), F.coalesce(F.round(rate, 4), F.lit(0.0))]
     return df.agg(
         F.count(F.lit(1)).alias(f"{prefix}row_count"),
-        F.lit(len(df.columns)).cast("long").alias(f"{prefix}column_count"),
+        F.lit(len(names)).cast("long").alias(f"{prefix}column_count"),
         F.to_json(F.create_map(*pairs)).alias(f"{prefix}null_rate_by_column"),
+        *more,
     )
 
 
@@ -135,14 +137,17 @@ def audit_row(
     source_path: str,
     export_type: str,
     loaded_at: Column,
+    rejected: str | None = None,
 ) -> DataFrame:
     """The audit record of one load, measured on the data itself.
 
-    ``cleaned`` should be the table as written. Counts come from aggregates
+    ``cleaned`` should be the table as written. ``rejected`` names a column of
+    ``raw``, no field, that is not NULL where a record was put aside; such records
+    are among the source rows, and so among the removed ones. Counts come from aggregates
     rather than from task-side accumulators, which can count a retried task
     twice.
     """
-    before = load_profile(raw, "source_")
+    before = load_profile(raw, "source_", F.count(rejected or F.lit(None)).alias("rejected_rows"), without=rejected)
     after = load_profile(cleaned, "after_")
     checked = validate_contract(cleaned, contract).select("duplicate_rows")
     one = one_row(before, after, checked)
@@ -169,6 +174,7 @@ def audit_row(
         "source_null_rate_by_column",
         F.lit(", ".join(contract.sensitive)).alias("sensitive_columns"),
         loaded_at.alias("loaded_at_utc"),
+        "rejected_rows",
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +13,7 @@ from tidemark.functions import dates, lexicon, text
 from tidemark.operators import cleaning
 from tidemark.operators.cleaning import Recipe
 from tidemark.operators.contracts import TableContract, assert_columns, audit_row
-from tidemark.sources.csv_exports import read_csv, read_csv_after_preamble
+from tidemark.sources.csv_exports import REJECTED, accepted_records, read_records, read_records_after_preamble, rejected_records
 from tidemark.sources.warehouse import Warehouse
 
 
@@ -355,10 +356,10 @@ def _paths(table: ExportTable, directory: str | Sequence[str]) -> list[str]:
 
 
 def read_raw(spark: SparkSession, table: ExportTable, directory: str | Sequence[str], multiline: bool = True) -> DataFrame:
-    """A table of one or several export directories; files whose texts have no line breaks can be split (``multiline`` off)."""
+    """The records of one or several export directories, rejected ones marked; files whose texts have no line breaks can be split (``multiline`` off)."""
     if table.preamble_header:
-        return read_csv_after_preamble(spark, _paths(table, directory), table.preamble_header)
-    return read_csv(spark, _paths(table, directory), multiline)
+        return read_records_after_preamble(spark, _paths(table, directory), table.preamble_header)
+    return read_records(spark, _paths(table, directory), multiline)
 
 
 def load_table(
@@ -368,31 +369,48 @@ def load_table(
     warehouse: Warehouse,
     loaded_at: Column | None = None,
     multiline: bool = True,
+    load_id: str | None = None,
 ) -> DataFrame:
-    """Read, clean, check, replace the bronze table, and append the audit row."""
+    """Land the records, clean, check, replace the bronze table, and append rejected records and the audit row.
+
+    The CSV files are parsed once: the records go to the raw layer as they are,
+    and profile, cleaning and rejects read them there. Records with more fields
+    than their header are counted in the audit row and kept, as text, in
+    raw.rejected_records. A load that failed can be run again under its
+    ``load_id`` and leaves one audit row; without a name every call is a load
+    of its own.
+    """
     table = EXPORT_TABLES[key]
-    raw = read_raw(spark, table, directory, multiline)
-    cleaned = table.recipe(raw)
+    load = f"{key}-{load_id or uuid.uuid4().hex}"
+    moment = F.current_timestamp().cast("timestamp_ntz") if loaded_at is None else loaded_at
+    records = warehouse.replace(read_raw(spark, table, directory, multiline), "raw", key)
+    cleaned = table.recipe(accepted_records(records))
     assert_columns(cleaned, table.contract)
     stored = warehouse.replace(cleaned, "bronze", key)
+    source = ", ".join(_paths(table, directory))
+    rejected = rejected_records(records).select(
+        F.lit(key).alias("table_key"), F.lit(source).alias("source_path"), "record", moment.alias("loaded_at_utc")
+    )
+    warehouse.append(rejected, "raw", "rejected_records", load)
     audit = audit_row(
-        raw,
+        records,
         stored,
         table.contract,
         table_key=key,
         source_file=table.file,
-        source_path=", ".join(_paths(table, directory)),
+        source_path=source,
         export_type=table.export_type,
-        loaded_at=F.current_timestamp().cast("timestamp_ntz") if loaded_at is None else loaded_at,
+        loaded_at=moment,
+        rejected=REJECTED,
     )
-    warehouse.append(audit, "bronze", "ingestion_audit")
+    warehouse.append(audit, "bronze", "ingestion_audit", load)
     return stored
 
 
-def load_all(spark: SparkSession, directories: dict[str, str], warehouse: Warehouse) -> dict[str, int]:
+def load_all(spark: SparkSession, directories: dict[str, str], warehouse: Warehouse, load_id: str | None = None) -> dict[str, int]:
     """Load every table of the given {export type: directory}; row counts by table."""
     return {
-        key: load_table(spark, key, directories[table.export_type], warehouse).count()
+        key: load_table(spark, key, directories[table.export_type], warehouse, load_id=load_id).count()
         for key, table in EXPORT_TABLES.items()
         if table.export_type in directories
     }

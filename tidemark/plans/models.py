@@ -142,5 +142,5 @@ def build_history(warehouse: Warehouse, models: Models, run: history.Run) -> Dat
         for name, fact in written.items():
             warehouse.replace(fact, "main", name)
     warehouse.replace(history.method_dimension(spark), "main", "dim_snapshot_method")
-    warehouse.append(history.run_dimension(spark, run), "main", "dim_snapshot_run")
+    warehouse.append(history.run_dimension(spark, run), "main", "dim_snapshot_run", load=run.run_id)
     return history.summarize({name: warehouse.read("main", name) for name in facts})

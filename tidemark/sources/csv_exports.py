@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-_SURPLUS = "__surplus"
+#: The text of a record that has more fields than its file's header; NULL in all other rows.
+REJECTED = "_rejected"
 
 
 def _csv_options(reader, multiline: bool):
@@ -57,32 +58,66 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], multiline: bool = T
 
     Columns are found by each file's own header: files are read in groups of
     equal headers, and a column that a file lacks is NULL. A row with more
-    fields than its header is an error that names the file; a short row ends
-    with NULLs. Quoted line breaks need ``multiline``, which makes a file one
-    task; files without them can be split by turning it off. Empty files have no columns
-    and add no rows.
+    fields than its header, empty ones too, is an error that shows the row; a
+    short row ends with NULLs. Quoted line breaks need ``multiline``, which makes
+    a file one task; files without them can be split by turning it off. Empty
+    files have no columns and add no rows.
     """
+    return whole_records(read_records(spark, path, multiline))
+
+
+def read_records(spark: SparkSession, path: str | Sequence[str], multiline: bool = True) -> DataFrame:
+    """As ``read_csv``, but records with surplus fields are rows too, with their text in ``REJECTED``."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for file in csv_files(spark, path):
         groups.setdefault(header_of(spark, file), []).append(file)
     parts = [_read_alike(spark, files, header, multiline) for header, files in groups.items() if header]
     if not parts:
-        return spark.createDataFrame([], T.StructType([]))
+        return spark.createDataFrame([], T.StructType([T.StructField(REJECTED, T.StringType())]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def whole_records(records: DataFrame) -> DataFrame:
+    """The rows without ``REJECTED``; a rejected one is an error."""
+    said = F.concat(F.lit("a row has more fields than the header: "), F.col(REJECTED))
+    fits = F.when(F.col(REJECTED).isNull(), F.lit(True)).otherwise(F.raise_error(said).cast("boolean"))
+    return records.where(fits).drop(REJECTED)
+
+
+def accepted_records(records: DataFrame) -> DataFrame:
+    """The rows without the rejected ones, which ``rejected_records`` has."""
+    return records.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected_records(records: DataFrame) -> DataFrame:
+    """(record): the text of each rejected record."""
+    return records.where(F.col(REJECTED).isNotNull()).select(F.col(REJECTED).alias("record"))
+
+
 def _read_alike(spark: SparkSession, files: list[str], header: tuple[str, ...], multiline: bool) -> DataFrame:
     if len(set(header)) < len(header):
         raise ValueError(f"{files[0]} names a column twice: {list(header)}")
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, _SURPLUS)])
-    rows = _csv_options(spark.read.schema(schema), multiline).option("header", True).csv(files)
-    said = F.concat(F.lit("a row has more fields than the header of "), F.col("_metadata.file_path"))
-    fits = F.when(F.col(_SURPLUS).isNull(), F.lit(True)).otherwise(F.raise_error(said).cast("boolean"))
-    return rows.where(fits).select(*[F.col(f"`{name}`") for name in header])
+    if REJECTED in header:
+        raise ValueError(f"{files[0]} names a column {REJECTED}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, REJECTED)])
+    # Spark hands over the text of every record whose number of fields is not the schema's, if all columns are parsed.
+    reader = _csv_options(spark.read.schema(schema), multiline).option("columnNameOfCorruptRecord", REJECTED)
+    rows = reader.option("columnPruning", False).option("header", True).csv(files)
+    commas = F.regexp_count(F.regexp_replace(REJECTED, '"[^"]*"', ""), F.lit(","))
+    # Spark wants a field to be read beside the text.
+    text = F.coalesce(F.col(REJECTED), F.col(f"`{header[0]}`"))
+    return rows.withColumn(REJECTED, F.when(commas >= len(header), text))
 
 
 def read_csv_after_preamble(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], max_columns: int = 32
+) -> DataFrame:
+    """As ``read_records_after_preamble``; a row with more fields than its file's header is an error that shows the row."""
+    return whole_records(read_records_after_preamble(spark, path, columns, max_columns))
+
+
+def read_records_after_preamble(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], max_columns: int = 32
 ) -> DataFrame:
     """CSV files whose header follows a few note lines; columns are found by header name.
 
@@ -90,15 +125,16 @@ def read_csv_after_preamble(
     scan task then drops everything up to each file's header row and picks the
     columns by that file's own header (a missing one is NULL). A file is always
     read in order within one task, so this needs no shuffle and no second scan.
-    A file without a recognised header, a row with more fields than its file's
-    header, and a row or header that fills all ``max_columns`` are errors that
-    name the file, so nothing is cut off or left out.
+    A row with more fields than its file's header has them all, joined, in
+    ``REJECTED``. A file without a recognised header, and a header that fills all
+    ``max_columns``, are errors that name the file; a row that fills them is
+    rejected, so nothing is cut off or left out.
     """
     wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_columns)])
     raw = _csv_options(spark.read.schema(wide), True).csv(path)
     tagged = raw.select(F.col("_metadata.file_path").alias("__file"), *wide.fieldNames())
     wanted = list(columns)
-    out_schema = T.StructType([T.StructField(name, T.StringType()) for name in wanted])
+    out_schema = T.StructType([T.StructField(name, T.StringType()) for name in (*wanted, REJECTED)])
 
     def after_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, places, width = None, None, 0
@@ -119,17 +155,25 @@ def read_csv_after_preamble(
                     at, places, width = found
                     part = part.slice(at + 1)
                 if part.num_rows:
-                    if any(part.column(i).null_count < part.num_rows for i in range(width + 1, part.num_columns)):
-                        raise ValueError(f"a row has more fields than the header of {file}")
                     nothing = pa.nulls(part.num_rows, pa.string())
                     picked = [nothing if i is None else part.column(i).cast(pa.string()) for i in places]
-                    yield pa.RecordBatch.from_arrays(picked, names=wanted)
+                    yield pa.RecordBatch.from_arrays([*picked, _surplus(part, width)], names=[*wanted, REJECTED])
         if file is not None and places is None:
             raise ValueError(f"no header that names half of {wanted} in {file}")
 
     return tagged.mapInArrow(after_header, out_schema)
 
 
+def _surplus(part: pa.RecordBatch, width: int) -> pa.Array:
+    """The fields of the rows that have any beyond ``width``, joined; NULL for the other rows."""
+    beyond = [pc.is_valid(part.column(i)) for i in range(width + 1, part.num_columns)]
+    if not beyond or not pc.any(reduce(pc.or_, beyond)).as_py():
+        return pa.nulls(part.num_rows, pa.string())
+    fields = [pc.fill_null(part.column(i).cast(pa.string()), "") for i in range(1, part.num_columns)]
+    joined = pc.utf8_rtrim(pc.binary_join_element_wise(*fields, ","), characters=",")
+    return pc.if_else(reduce(pc.or_, beyond), joined, pa.scalar(None, pa.string()))
+
+
 def _find_header(part: pa.RecordBatch, wanted: Sequence[str]) -> tuple[int, list[int | None], int] | None:
     """Row that names at least half of the wanted columns, where each of them is, and how many columns there are."""
     hits = None

@@ -14,12 +14,16 @@ def write_then_switch(spark: SparkSession, path: str, write: Callable[[str], Non
 
     Until all of it is written the old directory stays as it is, so a failing
     job changes nothing and a table may be replaced by what is read from it. The
-    old files go only after the new ones are in place.
+    old files go only after the new ones are in place. Between the two renames
+    the path is absent, so readers must not run at that moment; on object stores,
+    where a rename copies, the moment is as long as the copy of the new files.
     """
     path = path.rstrip("/")
     folder, _, name = path.rpartition("/")
     mark = uuid.uuid4().hex
-    fresh, old = f"{folder}/_{name}.new-{mark}", f"{folder}/_{name}.old-{mark}"
+    # A name with "_" in front is skipped by readers, unless it looks like a partition's.
+    hidden = "_" + name.replace("=", "-")
+    fresh, old = f"{folder}/{hidden}.new-{mark}", f"{folder}/{hidden}.old-{mark}"
     Path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: N806
     fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     try:

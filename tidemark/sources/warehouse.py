@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import labelled_counts
 from tidemark.sources.export_dirs import path_exists
@@ -40,10 +42,21 @@ class Warehouse:
         self.spark.catalog.refreshByPath(self.path(layer, table))
         return self.read(layer, table)
 
-    def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:
-        """Add rows, creating the table first if needed; new rows take the stored column order and types."""
+    def append(self, df: DataFrame, layer: str, table: str, load: str | None = None) -> DataFrame:
+        """Add rows, creating the table first if needed; new rows take the stored column order and types.
+
+        With the name of a ``load`` the rows become the partition ``load_id`` of
+        that name, in the place of whatever an earlier attempt of the same load
+        left, so a load can be run again. A load without rows leaves an empty
+        partition. A table is appended to either by loads or without them.
+        """
+        if load is not None and (not load.strip() or "load_id" in df.columns):
+            raise ValueError("a load needs a name, and load_id is its column")
         if self.exists(layer, table):
             stored = self.read(layer, table).schema
+            if ("load_id" in stored.fieldNames()) != (load is not None):
+                raise ValueError(f"{layer}.{table} is appended to {'with' if load is None else 'without'} the name of a load")
+            stored = T.StructType([f for f in stored.fields if f.name != "load_id" or load is None])
             unknown = [name for name in df.columns if name not in stored.fieldNames()]
             if unknown:
                 raise ValueError(f"columns not in {layer}.{table}: {unknown}")
@@ -53,7 +66,13 @@ class Warehouse:
                     for f in stored.fields
                 ]
             )
-        df.write.mode("append").parquet(self.path(layer, table))
+        path = self.path(layer, table)
+        if load is None:
+            df.write.mode("append").parquet(path)
+        else:
+            # The word in front keeps Spark from reading the name of a partition as a number or a date.
+            write_then_switch(self.spark, f"{path}/load_id=load-{quote(load, safe='')}", df.write.parquet)
+            self.spark.catalog.refreshByPath(path)
         return self.read(layer, table)
 
     def missing(self, tables: Sequence[tuple[str, str]]) -> list[str]:
