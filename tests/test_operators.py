@@ -113,10 +113,26 @@ def test_previous_values_match_lag_within_and_across_periods(spark, rows):
         at = start + dt.timedelta(hours=rng.randrange(400))
         data.append((rng.choice(["hot", "hot", "hot", "cold", None]), at, at.date(), i, rng.choice([None, i])))
     df = spark.createDataFrame(data, "k string, at timestamp_ntz, day date, i int, v int").repartition(5)
-    got = windows.with_previous(df, {"v": "pv", "i": "pi"}, ["k"], ["at", "i"], "day")
     plain = Window.partitionBy("k").orderBy("at", "i")
     expected = df.withColumns({"pv": F.lag("v").over(plain), "pi": F.lag("i").over(plain)})
-    assert rows(got) == rows(expected)
+    for ranges in (2, 7, 64):
+        got = windows.with_previous(df, {"v": "pv", "i": "pi"}, ["k"], ["at", "i"], ranges)
+        assert got.columns == expected.columns and rows(got) == rows(expected)
+    undated = df.withColumn("at", F.when(F.col("i") % 3 > 0, F.col("at")))  # rows without a time come first
+    expected = undated.withColumns({"pv": F.lag("v").over(plain)})
+    assert rows(windows.with_previous(undated, {"v": "pv"}, ["k"], ["at", "i"])) == rows(expected)
+    changed = windows.with_changes(df, {"i": "change"}, ["k"], ["at", "i"])
+    assert rows(changed) == rows(df.withColumn("change", F.col("i") - F.lag("i").over(plain)))
+    assert windows.with_previous(df.limit(0), {"v": "pv"}, ["k"], ["at", "i"]).count() == 0
+
+
+def test_previous_values_gather_no_key(spark):
+    hot = spark.range(40_000, numPartitions=4).select(F.when(F.col("id") >= 0, "hot").alias("k"), "id", (F.col("id") * 7 % 40_000).alias("v"))
+    found = windows.with_changes(hot, {"v": "change"}, ["k"], ["id"])
+    ids = found.select("id", "change", F.spark_partition_id().alias("p")).where("change is null or change not in (7, -39993)").collect()
+    assert [r.id for r in ids] == [0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "hashpartitioning(__key0#" in plan and "__range#" in plan
 
 
 def test_months_are_spread_without_the_null_month(spark, rows):

@@ -55,3 +55,15 @@ def test_json_lookup_needs_no_shuffle(plans):
     text = plans["h3_json_key_lookup"]
     # The only shuffle is the daily grouping that makes the audit rows.
     assert text.count("Exchange") == 1
+
+
+def test_changes_between_loads_sort_no_aggregate(plans):
+    for name in ("g21_health_timeline", "g22_null_rate_timeline", "w1_change_vs_previous", "w2_change_per_key_pair"):
+        assert "SortAggregate" not in plans[name] and "percentile_approx" in plans[name], name
+
+
+def test_best_row_per_key_is_limited_before_the_shuffle(plans):
+    text = plans["b12_deduplicate_by_key"]
+    assert "SortAggregate" not in text and text.count("Exchange") == 1
+    before = text.partition("Exchange")[2]
+    assert "WindowGroupLimit" in before and "Partial" in before

@@ -772,7 +772,7 @@ def orphan_days(c: Context) -> DataFrame:
 def change_vs_previous(c: Context) -> DataFrame:
     daily = c.table("events").groupBy("event_type", F.col("ts").cast("date").alias("day"))
     counted = daily.agg(F.count(F.lit(1)).alias("n"))
-    return counted.withColumn("change", windows.change_vs_previous("n", ["event_type"], ["day"]))
+    return windows.with_changes(counted, {"n": "change"}, ["event_type"], ["day"])
 
 
 @query(
@@ -785,7 +785,7 @@ def change_per_key_pair(c: Context) -> DataFrame:
     kept = c.table("events").where(F.col("event_type") != "error")
     daily = kept.groupBy("user_id", "event_type", F.col("ts").cast("date").alias("day"))
     counted = daily.agg(F.count(F.lit(1)).alias("n"))
-    return counted.withColumn("change", windows.change_vs_previous("n", ["user_id", "event_type"], ["day"]))
+    return windows.with_changes(counted, {"n": "change"}, ["user_id", "event_type"], ["day"])
 
 
 _ORDER_MONTHS = "select strftime(o_orderdate, '%Y-%m') as ym, count(*) as n from orders group by all"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, lexicon, text
@@ -79,10 +79,11 @@ def drop_blank_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
 def deduplicate(df: DataFrame, keys: Sequence[str] | None = None, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key, NULL keys equal to each other.
 
-    Without keys whole rows are compared. With keys the row that is smallest by
-    ``order_by`` (then by its remaining columns) is kept. Both are hash
-    aggregates with a map-side step, so a hot group of copies shrinks before
-    the shuffle and never sits whole in one task.
+    Without keys whole rows are compared, in hash aggregates with a map-side step.
+    With keys the row that is smallest by ``order_by`` (then by its remaining
+    columns) is kept: the first of a ranking whose limit Spark applies before the
+    shuffle, so that a task sends one row per key. Either way a hot group of copies
+    shrinks before the shuffle and never sits whole in one task.
     """
     if keys is None:
         return df.dropDuplicates()
@@ -90,9 +91,8 @@ def deduplicate(df: DataFrame, keys: Sequence[str] | None = None, order_by: Sequ
     if not rest:
         return df.dropDuplicates(list(keys))
     ranked = [*order_by, *[name for name in rest if name not in order_by]]
-    first = F.min(F.struct(*[F.col(name) for name in ranked])).alias("__first")
-    kept = df.groupBy(*keys).agg(first)
-    return kept.select(*[F.col(name) if name in keys else F.col(f"__first.{name}").alias(name) for name in df.columns])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
+    return df.withColumn("__place", place).where(F.col("__place") == 1).drop("__place")
 
 
 def select_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

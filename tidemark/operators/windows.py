@@ -16,37 +16,46 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import safe_ratio
 
 
-def change_vs_previous(value: str, partition: Sequence[str], order: Sequence[str]) -> Column:
-    """Difference to the row before it in its partition; NULL for the first."""
-    window = Window.partitionBy(*partition).orderBy(*order)
-    return F.col(value) - F.lag(value).over(window)
-
-
-def with_previous(
-    df: DataFrame, values: Mapping[str, str], partition: Sequence[str], order: Sequence[str], period: str
-) -> DataFrame:
+def with_previous(df: DataFrame, values: Mapping[str, str], partition: Sequence[str], order: Sequence[str], ranges: int = 64) -> DataFrame:
     """Add each row's values of the row before it in its partition; {value column: new column}.
 
-    The same as ``lag`` over the whole partition, but no partition is ever
-    gathered in one task: the lag runs inside (partition, period), and the last
-    row of every period, an aggregate with a map-side step, is carried to the
-    next one. ``period`` must not decrease along ``order`` (the day of a
-    timestamp, say); what is ordered per partition is then one row per period.
+    The same as ``lag`` over the whole partition, but no partition is gathered in
+    one task. Quantiles of the first ``order`` column (a number, date or time) cut
+    all rows into ``ranges``; the lag runs inside (partition, range), and the last
+    row of each is carried to the next range that the partition has, so at most
+    ``ranges`` rows of a partition are ever ordered together. Rows are read once
+    for the lag, beside the narrow read of the quantiles: rows and carried rows
+    share one shuffle, because both branches take whole rows out of it.
     """
-    names = [*partition, period]
-    kept = F.struct(*[F.col(name) for name in values])
-    last = df.groupBy(*names).agg(F.max_by(kept, F.struct(*order)).alias("__last"))
-    along = Window.partitionBy(*partition).orderBy(period)
-    # Each period opens with an extra row that holds what the period before it
-    # ended with: stacked rows share the window's one shuffle, where a join
-    # would add its own.
-    carried = last.select(*names, F.lag("__last").over(along).alias("__kept"), F.lit(0).alias("__real"))
-    rows = df.withColumns({"__kept": kept, "__real": F.lit(1)})
-    stacked = rows.unionByName(carried, allowMissingColumns=True)
-    inside = Window.partitionBy(*names).orderBy("__real", *order)
-    before = stacked.withColumn("__before", F.lag("__kept").over(inside)).where(F.col("__real") == 1)
-    added = [F.col(f"__before.{name}").alias(new) for name, new in values.items()]
-    return before.select(*[F.col(name) for name in df.columns], *added)
+    if not values or not order:
+        raise ValueError("with_previous needs values and an order")
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    cuts = df.agg(F.percentile_approx(order[0], shares, ranges * 100).alias("cuts")).scalar()
+    keys = [f"__key{i}" for i in range(len(partition))]
+    rows = df.withColumn("__cuts", cuts).select(
+        *[F.col(name).alias(key) for name, key in zip(partition, keys, strict=True)],
+        F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < F.col(order[0]))), F.lit(0)).alias("__range"),
+        F.struct(*[F.col(name) for name in df.columns]).alias("__row"),
+    )
+    inside = Window.partitionBy(*keys, "__range").orderBy(*[F.col(f"__row.{name}") for name in order])
+    placed = rows.select(
+        *keys, "__range", "__row", F.lag("__row").over(inside).alias("__before"), F.lead(F.lit(True)).over(inside).isNull().alias("__last")
+    )
+    along = Window.partitionBy(*[f"{key}_" for key in keys]).orderBy("__range_")
+    ends = placed.where("__last").select(*[F.col(c).alias(f"{c}_") for c in (*keys, "__range", "__row")])
+    carried = ends.select(*[f"{c}_" for c in (*keys, "__range")], F.lag("__row_").over(along).alias("__carried"))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in (*keys, "__range")]
+    joined = placed.join(carried, reduce(lambda a, b: a & b, same), "left")
+    before = F.coalesce("__before", "__carried")
+    return joined.select("__row.*", before.alias("__before")).select(
+        *[F.col(name) for name in df.columns], *[F.col(f"__before.{name}").alias(new) for name, new in values.items()]
+    )
+
+
+def with_changes(df: DataFrame, values: Mapping[str, str], partition: Sequence[str], order: Sequence[str], ranges: int = 64) -> DataFrame:
+    """Add the differences to the row before in the partition; {value column: new column}, NULL for the first row."""
+    found = with_previous(df, values, partition, order, ranges)
+    return found.withColumns({new: F.col(value) - F.col(new) for value, new in values.items()})
 
 
 def _by(order: str):

@@ -8,16 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.operators.json_rates import explode_rates, lookup_rates
 from tidemark.operators.windows import with_previous
 
-# Loads of a table are ordered by time; the file breaks ties. A table with very
-# many loads is split by day, see with_previous.
+# Loads of a table are ordered by time; the file breaks ties.
 LOAD_ORDER = ("loaded_at_utc", "source_file")
-LOAD_PERIOD = "loaded_on"
 
 
 def health_timeline(audit: DataFrame) -> DataFrame:
     measures = ("row_count_after_transform", "rows_removed_during_transform")
     previous = {name: f"__previous_{name}" for name in measures}
-    audit = with_previous(audit, previous, ["table_key"], LOAD_ORDER, LOAD_PERIOD)
+    audit = with_previous(audit, previous, ["table_key"], LOAD_ORDER)
     changes = {name: F.col(name) - F.col(before) for name, before in previous.items()}
     removed = F.col("rows_removed_during_transform")
     source, kept = F.col("source_row_count"), F.col("row_count_after_transform")
@@ -67,7 +65,7 @@ def null_rate_timeline(audit: DataFrame) -> DataFrame:
         rated, "source_null_rate_by_column_json", "monitored_column", "null_rate_before_transform"
     )
     previous = {"null_rate_after_transform": "__previous"}
-    rated = with_previous(rated, previous, ["table_key", "monitored_column"], LOAD_ORDER, LOAD_PERIOD)
+    rated = with_previous(rated, previous, ["table_key", "monitored_column"], LOAD_ORDER)
     after, before = F.col("null_rate_after_transform"), F.col("null_rate_before_transform")
     return rated.select(
         "loaded_at_utc",
