@@ -286,3 +286,39 @@ def test_sanitize_applies_the_name_rules(spark):
     assert one.title_code == "12"  # nothing but numbers
     other = got["Pessoa 001"]
     assert (other.full_name, other.headline, other.profile_url) == ("Pessoa 001", None, None)
+
+
+def test_numbers_follow_the_sorted_order_in_any_ranges(spark, rows):
+    rng = random.Random(11)
+    values = {"x" * 70 + str(i) for i in range(40)} | {f"v{rng.randrange(10**6)}" for _ in range(300)} | {"é", "Z", "z", "10", "9"}
+    df = spark.createDataFrame([(g, v) for g in ("a", "b") for v in values if g == "a" or len(v) < 20], "g string, value string").repartition(5)
+    expected = []
+    for g in ("a", "b"):
+        own = sorted((v for v in values if g == "a" or len(v) < 20), key=lambda v: v.encode())
+        expected += [(g, v, i) for i, v in enumerate(own, 1)]
+    for ranges in (1, 3, 128):
+        assert rows(masking.number_sorted(df, within="g", ranges=ranges)) == sorted(expected, key=repr)
+    assert masking.number_sorted(df.limit(0)).count() == 0
+
+
+def test_sanitizing_runs_no_job_and_shuffles_the_table_once(spark):
+    df = spark.createDataFrame(
+        [(i, f"f{i % 7}", None if i % 5 == 0 else f"l{i % 11}", f"o{i % 3}", str(i)) for i in range(200)],
+        "id long, first_name string, last_name string, company string, position string",
+    )
+    jobs = spark._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    with_codes = masking.sanitize(df)
+    assert jobs() == before
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = masking.sanitize(df)._jdf.queryExecution().executedPlan().toString()
+        found = {r.id: r for r in masking.sanitize(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(found.values()) == sorted(with_codes.collect())
+    assert all(r.position == str(i) for i, r in found.items())  # nothing but numbers
+    assert found[1].first_name == "Pessoa 002" and found[0].last_name is None
+    assert len({r.first_name for r in found.values()}) == 7 and "SortAggregate" not in plan
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(__h" in line and "__v" in line]
+    assert len(wide) <= 1
