@@ -139,3 +139,18 @@ def test_rows_without_value_are_not_gathered(spark, rows):
     df = spark.createDataFrame([(i, None if i % 2 else f"n{i}") for i in range(20)], "id long, name string")
     found = dict(rows(masking.mask_names(df, "name")))
     assert all((found[i] is None) == bool(i % 2) for i in range(20))
+
+
+def test_marked_exports_and_their_summary(spark, rows, tmp_path):
+    spec = publish.ExportSpec("marked", "s", ("id", "name"), ("id",), "Some rows.")
+    df = spark.createDataFrame([(1, "é"), (2, None)], "id long, name string")
+    publish.publish({"s": df}, [spec], str(tmp_path), "csv", marked=True)
+    part = next((tmp_path / "marked.csv").glob("part-*"))
+    assert part.read_bytes().startswith("﻿id,name\n1,é".encode())
+    assert rows(publish.read_export(spark, str(tmp_path), "marked", "csv")) == [("1", "é"), ("2", None)]
+    listed = publish.write_summary(spark, [spec], str(tmp_path), "csv").first()
+    assert listed.asDict() == {
+        "output_name": "marked", "source_table": "s", "row_count": 2, "columns": ["id", "name"],
+        "output_path": f"{tmp_path}/marked.csv", "description": "Some rows.",
+    }
+    assert len(list((tmp_path / "_export_summary.json").glob("part-*"))) == 1

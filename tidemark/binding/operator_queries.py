@@ -400,20 +400,24 @@ def accepted_values(c: Context) -> DataFrame:
     return out
 
 
-@query(
-    "c9_current_within_total",
-    "select * from mart_career_progression where current_positions_started > total_positions_started",
-)
+# Every other month breaks the rule.
+_TOO_MANY = "select * replace (cast(current_positions_started + 1000 * (start_month % 2) as bigint) as current_positions_started) from mart_career_progression"
+
+
+@query("c9_current_within_total", f"select * from ({_TOO_MANY}) m where current_positions_started > total_positions_started")
 def current_within_total(c: Context) -> DataFrame:
-    return contracts.current_within_total(c.models.mart("career_progression"))
+    planted = F.col("current_positions_started") + 1000 * (F.col("start_month") % 2)
+    return contracts.current_within_total(c.models.mart("career_progression").withColumn("current_positions_started", planted))
 
 
 @query(
     "c10_email_within_total",
-    "select * from mart_connections_summary where connections_with_email > total_connections",
+    """select * from (select * replace (cast(total_connections + connection_month % 3 as bigint) as connections_with_email)
+        from mart_connections_summary) m where connections_with_email > total_connections""",
 )
 def email_within_total(c: Context) -> DataFrame:
-    return contracts.email_within_total(c.models.mart("connections_summary"))
+    planted = F.col("total_connections") + F.col("connection_month") % 3
+    return contracts.email_within_total(c.models.mart("connections_summary").withColumn("connections_with_email", planted))
 
 
 @query(
@@ -426,12 +430,12 @@ def reads_add_up(c: Context) -> DataFrame:
 
 @query(
     "c12_counters_non_negative",
-    "select * from mart_health_summary where least(total_inventory_files, successful_reads, failed_reads, "
-    + ", ".join(COUNTED)
-    + ") < 0",
+    "select * from (select * replace (cast(successful_reads - total_inventory_files - 1 as bigint) as failed_reads) from mart_health_summary) m "
+    "where least(total_inventory_files, successful_reads, failed_reads, " + ", ".join(COUNTED) + ") < 0",
 )
 def counters_non_negative(c: Context) -> DataFrame:
-    return contracts.counters_non_negative(c.models.mart("pipeline_health_summary"))
+    planted = F.col("successful_reads") - F.col("total_inventory_files") - 1
+    return contracts.counters_non_negative(c.models.mart("pipeline_health_summary").withColumn("failed_reads", planted))
 
 
 # --- D: scalar functions -----------------------------------------------------------------
@@ -911,36 +915,6 @@ def calendar_dimension(c: Context) -> DataFrame:
     return calendar.build_calendar(calendar.date_range(sources))
 
 
-_MART_CTE = {
-    "pipeline_health_summary": "health_summary",
-    "ingestion_audit_health_timeline": "health_timeline",
-    "ingestion_audit_null_rate_timeline": "null_rate_timeline",
-}
-
-
-@query(
-    "k2_declared_exports",
-    " union all ".join(
-        f"select '{s.name}' as output_name, count(*) as row_count, cast({len(s.columns)} as bigint) as column_count "
-        f"from mart_{_MART_CTE.get(s.source, s.source)}"
-        for s in exports.EXPORTS
-    ),
-)
-def declared_exports(c: Context) -> DataFrame:
-    parts = [
-        s.shape(c.models.mart(s.source)).agg(
-            F.lit(s.name).alias("output_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.lit(len(s.columns)).cast("long").alias("column_count"),
-        )
-        for s in exports.EXPORTS
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 # --- P: masking --------------------------------------------------------------------------------
 
 

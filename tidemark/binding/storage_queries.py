@@ -6,7 +6,8 @@ reads them back, so the files grow with the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from tidemark.binding.inputs import DRIVER_TABLES
 from tidemark.binding.model_queries import CLEANED, RUN
 from tidemark.binding.registry import Context, query
+from tidemark.binding.row_texts import texts, texts_sql
 from tidemark.functions import lexicon
-from tidemark.plans import exports
+from tidemark.plans import exports, history
 from tidemark.plans.bronze import EXPORT_TABLES, load_table
 from tidemark.plans.public_copy import build_public_copy
 from tidemark.session import scratch_path
@@ -62,6 +64,35 @@ def read_csv(c: Context) -> DataFrame:
     return _blank_to_null(csv_exports.read_csv(c.spark, path))
 
 
+_ODD_LINES = """select o_orderkey, case
+        when o_orderkey % 7 = 0 then o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',,' || o_custkey
+        when o_orderkey % 11 = 0 then o_orderkey || ',' || o_orderstatus
+        else o_orderkey || ',' || o_orderstatus || ',"' || o_orderpriority || ', ""' || o_custkey || repeat('"', 3) end as line from orders"""
+
+
+def _odd_file(c: Context, header: str) -> str:
+    """Orders as CSV lines, every seventh with two fields too many, of which the first is empty, every eleventh with one too few."""
+    path = scratch_path(c.spark, "odd-csv")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    c.sql(_ODD_LINES).select(F.concat(F.when(first, F.lit(f"{header}\n")).otherwise(F.lit("")), "line").alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "a1_rejected_records",
+    """select o_orderkey::varchar as order_key, o_orderstatus as status,
+        case when o_orderkey % 11 <> 0 then o_orderpriority || ', "' || o_custkey || '"' end as note, null as rejected
+    from orders where o_orderkey % 7 <> 0
+    union all select null, null, null, o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',,' || o_custkey
+    from orders where o_orderkey % 7 = 0""",
+)
+def rejected_records(c: Context) -> DataFrame:
+    """Rows with surplus fields are put aside with their text, short ones end with NULL."""
+    records = csv_exports.read_records(c.spark, _odd_file(c, "order_key,status,note"), multiline=False)
+    accepted = csv_exports.accepted_records(records).withColumn("rejected", F.lit(None).cast("string"))
+    return accepted.unionByName(csv_exports.rejected_records(records).withColumnRenamed("record", "rejected"), allowMissingColumns=True)
+
+
 _PREAMBLE = 'Notes:\n"Some addresses, as ""listed"" here, may be missing."\n\n'
 
 
@@ -175,47 +206,61 @@ def append_table(c: Context) -> DataFrame:
 
 @query(
     "a8_save_inventory",
-    """select f as file, count(*) as files, cast(sum(row_count) as bigint) as row_count from bronze_file_inventory,
-        unnest(['csv', 'parquet', 'latest_csv', 'latest_parquet']) t(f) group by all""",
+    f"""select f as file, {texts_sql(inventory.INVENTORY_COLUMNS)} as record from bronze_file_inventory,
+        unnest(['csv', 'parquet', 'latest_csv', 'latest_parquet']) t(f)""",
 )
 def save_inventory(c: Context) -> DataFrame:
     """All four copies of an inventory hold the same rows."""
     directory = scratch_path(c.spark, "inventory")
-    paths = inventory.save_inventory(c.models.bronze("file_inventory"), directory, "20240501_000000")
+    found = c.models.bronze("file_inventory").select(*inventory.INVENTORY_COLUMNS)
     parts = []
-    for name, path in paths.items():
+    for name, path in inventory.save_inventory(found, directory, "20240501_000000").items():
         stored = c.spark.read.parquet(path) if path.endswith("parquet") else csv_exports.read_csv(c.spark, path)
-        counted = stored.agg(
-            F.lit(name).alias("file"),
-            F.count(F.lit(1)).alias("files"),
-            F.sum(F.col("row_count").cast("long")).alias("row_count"),
-        )
-        parts.append(counted)
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+        parts.append(stored.select(F.lit(name).alias("file"), texts(stored, found).alias("record")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _mart_cte(source: str) -> str:
+    return f"mart_{source.replace('pipeline_', '').replace('ingestion_audit_', '')}"
+
+
+def exported_rows_sql(specs: Sequence[publish.ExportSpec], relation: Callable[[str], str]) -> str:
+    return " union all ".join(
+        f"select '{s.name}' as output_name, {texts_sql(s.columns, s.date_columns)} as record from {relation(s.source)}" for s in specs
+    )
+
+
+def _read_back(c: Context, tables: dict[str, DataFrame], specs: Sequence[publish.ExportSpec], directory: str, kind: str) -> DataFrame:
+    """All rows of the published files, in the types they were written with."""
+    parts = []
+    for s in specs:
+        stored = publish.read_export(c.spark, directory, s.name, kind)
+        if tuple(stored.columns) != s.columns:
+            raise ValueError(f"{s.name} has other columns: {stored.columns}")
+        parts.append(stored.select(F.lit(s.name).alias("output_name"), texts(stored, s.shape(tables[s.source])).alias("record")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
     "a9_bi_export",
-    """select kind, count(*) as row_count, cast(sum(total_connections) as bigint) as total_connections,
-        max(connection_year_month) as last_month from mart_connections_summary, unnest(['csv', 'parquet']) t(kind)
-    group by all""",
+    f"select kind, rows.* from ({exported_rows_sql(exports.EXPORTS, _mart_cte)}) rows, unnest(['csv', 'parquet']) t(kind)",
 )
 def bi_export(c: Context) -> DataFrame:
+    """Whole rows of all declared exports, from both formats."""
     directory = scratch_path(c.spark, "bi")
-    spec = next(s for s in exports.EXPORTS if s.source == "connections_summary")
-    publish.write_export(spec.shape(c.models.mart(spec.source)), directory, spec.name, "both")
-    parts = [
-        publish.read_export(c.spark, directory, spec.name, kind).agg(
-            F.lit(kind).alias("kind"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(F.col("total_connections").cast("long")).alias("total_connections"),
-            F.max("connection_year_month").alias("last_month"),
-        )
-        for kind in ("csv", "parquet")
-    ]
+    tables = {s.source: c.models.mart(s.source) for s in exports.EXPORTS}
+    publish.publish(tables, exports.EXPORTS, directory, "both", marked=True)
+    parts = [_read_back(c, tables, exports.EXPORTS, directory, kind).withColumn("kind", F.lit(kind)) for kind in ("csv", "parquet")]
     return parts[0].unionByName(parts[1])
 
 
+@query("k2_declared_exports", exported_rows_sql(exports.EXPORTS, _mart_cte))
+def declared_exports(c: Context) -> DataFrame:
+    """Whole rows of all declared exports as they are shaped."""
+    shaped = [(s.name, s.shape(c.models.mart(s.source))) for s in exports.EXPORTS]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("output_name"), texts(df).alias("record")) for name, df in shaped])
+
+
 @query(
     "a10_export_manifest",
     " union all ".join(
@@ -231,33 +276,56 @@ def export_manifest(c: Context) -> DataFrame:
     return listed.drop("files")
 
 
-_HISTORY = tuple(s.name for s in exports.HISTORY_EXPORTS if s.name.startswith("fact_"))
+def _values(rows: Sequence[Sequence[object]], columns: Sequence[str]) -> str:
+    """A relation of fixed rows; a CSV file does not tell an empty text from none."""
+    shown = lambda v: "null" if v is None or v == "" else str(v).lower() if isinstance(v, bool) else f"timestamp '{v}'" if hasattr(v, "year") else f"'{v}'"
+    return f"(values {', '.join('(' + ', '.join(map(shown, row)) + ')' for row in rows)}) t({', '.join(columns)})"
+
+
+_DIMENSIONS = {
+    "dim_snapshot_method": _values(
+        [(*m, False) for m in lexicon.HISTORY_METHODS], ("snapshot_method", "method_group", "method_description", "is_simulated")
+    ),
+    "dim_snapshot_run": _values(
+        [(RUN.run_id, RUN.started_at, RUN.finished_at or RUN.created_at, "phase_1_actual_only", False, RUN.source_path, None, RUN.notes)],
+        next(s.columns for s in exports.HISTORY_EXPORTS if s.name == "dim_snapshot_run"),
+    ),
+}
+
+
+def _history_relation(source: str) -> str:
+    return _DIMENSIONS.get(source) or source.replace("snapshot_", "")
+
+
+def _history_tables(c: Context) -> dict[str, DataFrame]:
+    dims = {"dim_snapshot_method": history.method_dimension(c.spark), "dim_snapshot_run": history.run_dimension(c.spark, RUN)}
+    return {s.source: dims.get(s.source) or c.models.history(s.source, RUN) for s in exports.HISTORY_EXPORTS}
+
+
+@query("a11_history_export", exported_rows_sql(exports.HISTORY_EXPORTS, _history_relation))
+def history_export(c: Context) -> DataFrame:
+    """Whole rows of all history tables, written as CSV in their declared shape and read back."""
+    directory = scratch_path(c.spark, "history")
+    tables = _history_tables(c)
+    publish.publish(tables, exports.HISTORY_EXPORTS, directory, "csv")
+    return _read_back(c, tables, exports.HISTORY_EXPORTS, directory, "csv")
 
 
 @query(
-    "a11_history_export",
+    "a11_history_summary",
     " union all ".join(
-        f"select '{name}' as table_name, snapshot_date, snapshot_year_month, snapshot_method "
-        f"from {name.replace('snapshot_', '')}"
-        for name in _HISTORY
+        f"select '{s.name}' as output_name, '{s.source}' as source_table, count(*) as row_count, "
+        f"'{json.dumps(s.columns, separators=(',', ':'))}' as columns, '{s.name}.csv' as output_file, '{s.description}' as description "
+        f"from {_history_relation(s.source)}"
+        for s in exports.HISTORY_EXPORTS
     ),
 )
-def history_export(c: Context) -> DataFrame:
-    """History facts written as CSV in their declared shape, and read back."""
+def history_summary(c: Context) -> DataFrame:
+    """The JSON summary that lies beside the history files."""
     directory = scratch_path(c.spark, "history")
-    specs = [s for s in exports.HISTORY_EXPORTS if s.name in _HISTORY]
-    tables = {name: c.models.history(name, RUN) for name in _HISTORY}
-    publish.publish(tables, specs, directory, "csv")
-    parts = [
-        publish.read_export(c.spark, directory, name, "csv").select(
-            F.lit(name).alias("table_name"),
-            F.col("snapshot_date").cast("date").alias("snapshot_date"),
-            "snapshot_year_month",
-            "snapshot_method",
-        )
-        for name in _HISTORY
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    publish.publish(_history_tables(c), exports.HISTORY_EXPORTS, directory, "csv")
+    listed = publish.write_summary(c.spark, exports.HISTORY_EXPORTS, directory, "csv")
+    return listed.withColumn("columns", F.to_json("columns")).withColumn("output_file", F.element_at(F.split("output_path", "/"), -1)).drop("output_path")
 
 
 _CENSUS = DRIVER_TABLES
@@ -349,24 +417,57 @@ def sanitized_tables(c: Context) -> DataFrame:
     return target.read("main", "connections")
 
 
-_LOADED = ("skills", "company_follows", "saved_job_alerts")
+_AUDITED = ("source_row_count", "rejected_rows", "row_count", "rows_removed_during_transform", "duplicate_rows_after_transform")
 
 
-@query(
-    "l1_load_tables",
-    " union all ".join(
-        f"select '{key}' as table_key, count(*) as row_count, cast(0 as bigint) as duplicate_rows from ({sql}) t"
-        for key, sql in CLEANED.items()
-        if key in _LOADED
-    ),
-)
+def _loaded_sql(key: str) -> str:
+    """The rows of a loaded table, and its audit row."""
+    columns = EXPORT_TABLES[key].contract.required
+    unique = ", ".join(EXPORT_TABLES[key].contract.unique)
+    duplicates = f"(select count(*) - count(distinct ({unique})) from ({CLEANED[key]}) u)" if unique else "0"
+    counts = f"(select count(*) from raw_{key}) as source, (select count(*) from ({CLEANED[key]}) k) as kept, {duplicates} as twice"
+    return (
+        f"select '{key}' as table_key, {texts_sql(columns)} as record from ({CLEANED[key]}) t "
+        f"union all select 'audit of {key}', concat_ws('|', source, 0, kept, source - kept, twice) from (select {counts}) a"
+    )
+
+
+@query("l1_load_tables", " union all ".join(map(_loaded_sql, CLEANED)))
 def load_tables(c: Context) -> DataFrame:
-    """Export files to bronze tables with their audit rows, by the loader."""
+    """Export files of all tables to bronze tables, by the loader: whole rows and the audit."""
     directory = scratch_path(c.spark, "export")
     store = Warehouse(c.spark, scratch_path(c.spark, "bronze"))
-    for key in _LOADED:
-        write_csv(c.raw(key), f"{directory}/{EXPORT_TABLES[key].file}")
-        load_table(c.spark, key, directory, store, F.lit("2024-05-01").cast("timestamp_ntz"))
+    parts = []
+    for key in CLEANED:
+        table = EXPORT_TABLES[key]
+        path = f"{directory}/{table.file}"
+        if table.preamble_header:
+            _preamble_lines(c.raw(key), table.preamble_header).write.text(path)
+        else:
+            write_csv(c.raw(key), path)
+        stored = load_table(c.spark, key, directory, store, F.lit("2024-05-01").cast("timestamp_ntz"), load_id="l1")
+        stored = stored.select(*table.contract.required)
+        parts.append(stored.select(F.lit(key).alias("table_key"), texts(stored).alias("record")))
     audit = store.read("bronze", "ingestion_audit")
-    return audit.select("table_key", "row_count", F.col("duplicate_rows_after_transform").alias("duplicate_rows"))
+    parts.append(audit.select(F.concat(F.lit("audit of "), "table_key").alias("table_key"), F.concat_ws("|", *_AUDITED).alias("record")))
+    return reduce(DataFrame.unionByName, parts)
+
 
+@query(
+    "c3_load_with_rejects",
+    """select 'saved_job_alerts' as table_key, count(*) as source_row_count, count(*) filter (where o_orderkey % 7 = 0) as rejected_rows,
+        count(*) filter (where o_orderkey % 7 <> 0 and o_orderkey % 11 <> 0) as row_count,
+        count(*) filter (where o_orderkey % 7 = 0 or o_orderkey % 11 = 0) as rows_removed_during_transform,
+        count(*) filter (where o_orderkey % 7 = 0) as kept_texts from orders""",
+)
+def load_with_rejects(c: Context) -> DataFrame:
+    """A load that runs twice under one name: records with surplus fields are counted and kept once; short ones lack the required last field."""
+    directory = scratch_path(c.spark, "rejects")
+    store = Warehouse(c.spark, scratch_path(c.spark, "bronze"))
+    odd = c.spark.read.text(_odd_file(c, "Alert Parameters,Query Context,Saved Search ID"))
+    odd.write.text(f"{directory}/{EXPORT_TABLES['saved_job_alerts'].file}")
+    for _ in range(2):
+        load_table(c.spark, "saved_job_alerts", directory, store, multiline=False, load_id="c3")
+    kept = store.read("raw", "rejected_records").agg(F.count("record").alias("kept_texts"))
+    audit = store.read("bronze", "ingestion_audit").select("table_key", *[n for n in _AUDITED if n != "duplicate_rows_after_transform"])
+    return audit.select("*", kept.scalar().alias("kept_texts"))

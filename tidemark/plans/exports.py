@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from tidemark.operators.calendar import build_calendar, date_range
 from tidemark.plans import history
 from tidemark.plans.models import MART_NAMES, Models
-from tidemark.sources.publish import ExportSpec, publish
+from tidemark.sources.publish import ExportSpec, publish, write_summary
 from tidemark.sources.warehouse import Warehouse
 
 
@@ -374,12 +374,14 @@ def calendar(models: Models, as_of: dt.date | str | None = None) -> DataFrame:
 def publish_marts(models: Models, directory: str, kind: str = "both") -> DataFrame:
     tables = {name: models.mart(name) for name in MART_NAMES}
     tables["calendar"] = calendar(models, models.settings.as_of)
-    return publish(tables, (CALENDAR_EXPORT, *EXPORTS), directory, kind)
+    return publish(tables, (CALENDAR_EXPORT, *EXPORTS), directory, kind, marked=True)
 
 
 def publish_history(warehouse: Warehouse, directory: str) -> DataFrame:
     tables = {spec.source: warehouse.read("main", spec.source) for spec in HISTORY_EXPORTS}
-    return publish(tables, HISTORY_EXPORTS, directory, "csv")
+    listed = publish(tables, HISTORY_EXPORTS, directory, "csv")
+    write_summary(warehouse.spark, HISTORY_EXPORTS, directory, "csv")
+    return listed
 
 
 def missing_sources(warehouse: Warehouse) -> list[str]:

@@ -40,9 +40,17 @@ def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*keys) if keys else df
 
 
-def write_export(df: DataFrame, directory: str, name: str, kind: str = "both", order: Sequence[str] = ()) -> list[str]:
+#: Some spreadsheet and BI programs tell UTF-8 by this mark.
+MARK = "\ufeff"
+
+
+def write_export(
+    df: DataFrame, directory: str, name: str, kind: str = "both", order: Sequence[str] = (), marked: bool = False
+) -> list[str]:
     """Write one table as CSV and/or Parquet, in place of older files once it is written.
 
+    ``marked`` CSV files begin with a byte-order mark.
+
     For both, the Parquet copy is written first and the CSV is made from it, so
     the plan behind the table runs once; the CSV is sorted again, because a
     reader takes Parquet files by size.
@@ -56,6 +64,8 @@ def write_export(df: DataFrame, directory: str, name: str, kind: str = "both", o
         spark.catalog.refreshByPath(f"{base}.parquet")
         df = in_order(spark.read.parquet(f"{base}.parquet"), order)
     if "csv" in formats:
+        if marked:
+            df = df.toDF(MARK + df.columns[0], *df.columns[1:])  # the header line is what a file begins with
         write_then_switch(spark, f"{base}.csv", df.write.option("header", True).option("escape", '"').csv)
         written.append(f"{base}.csv")
     if "parquet" in formats:
@@ -67,7 +77,8 @@ def read_export(spark: SparkSession, directory: str, name: str, kind: str) -> Da
     path = f"{directory.rstrip('/')}/{name}.{kind}"
     if kind == "parquet":
         return spark.read.parquet(path)
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return df.toDF(*[name.removeprefix(MARK) for name in df.columns])
 
 
 def manifest(exports: Mapping[str, tuple[str, str, DataFrame, Sequence[str]]]) -> DataFrame:
@@ -86,7 +97,30 @@ def manifest(exports: Mapping[str, tuple[str, str, DataFrame, Sequence[str]]]) -
     return reduce(DataFrame.unionByName, rows).orderBy("output_name")
 
 
-def publish(tables: Mapping[str, DataFrame], specs: Sequence[ExportSpec], directory: str, kind: str = "both") -> DataFrame:
+def write_summary(spark: SparkSession, specs: Sequence[ExportSpec], directory: str, kind: str) -> DataFrame:
+    """(output_name, source_table, row_count, columns, output_path, description) of published files, also written as JSON beside them."""
+    rows = []
+    for spec in specs:
+        stored = read_export(spark, directory, spec.name, kind)
+        rows.append(
+            stored.agg(
+                F.lit(spec.name).alias("output_name"),
+                F.lit(spec.source).alias("source_table"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.array(*map(F.lit, stored.columns)).alias("columns"),
+                F.lit(f"{directory.rstrip('/')}/{spec.name}.{kind}").alias("output_path"),
+                F.lit(spec.description).alias("description"),
+            )
+        )
+    listed = reduce(DataFrame.unionByName, rows)
+    path = f"{directory.rstrip('/')}/_export_summary.json"
+    write_then_switch(spark, path, listed.coalesce(1).write.json)
+    return spark.read.schema(listed.schema).json(path)
+
+
+def publish(
+    tables: Mapping[str, DataFrame], specs: Sequence[ExportSpec], directory: str, kind: str = "both", marked: bool = False
+) -> DataFrame:
     """Write every spec whose source is in ``tables`` and the manifest over the written files."""
     missing = sorted({spec.source for spec in specs} - set(tables))
     if missing:
@@ -94,11 +128,11 @@ def publish(tables: Mapping[str, DataFrame], specs: Sequence[ExportSpec], direct
     spark = next(iter(tables.values())).sparkSession
     done = {}
     for spec in specs:
-        files = write_export(spec.shape(tables[spec.source]), directory, spec.name, kind, spec.order)
+        files = write_export(spec.shape(tables[spec.source]), directory, spec.name, kind, spec.order, marked)
         stored = read_export(spark, directory, spec.name, "csv" if kind == "csv" else "parquet")
         done[spec.name] = (spec.source, spec.description, stored, files)
     listed = manifest(done)
-    write_export(listed, directory, "_export_manifest", kind, ("output_name",))
+    write_export(listed, directory, "_export_manifest", kind, ("output_name",), marked)
     return read_export(spark, directory, "_export_manifest", "csv" if kind == "csv" else "parquet").orderBy("output_name")
 
 
