@@ -60,10 +60,33 @@ def test_mixture_keeps_columns_and_repeats_rows(documents):
     docs = documents(*[(i, words(5 + i % 7), "a" if i % 3 else None) for i in range(60)], (0, words(5), None), (None, words(9), "a"))
     found = mixing.mixture(docs)
     assert found.columns == docs.columns
-    copies = {r.doc_id: r.copies for r in mixing.mixed(docs).collect()}
-    n = {r.doc_id: r.n for r in found.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
-    rows = Counter(r.doc_id for r in docs.collect())
-    assert n == {d: c * rows[d] for d, c in copies.items() if c}
+    copies = Counter()
+    for r in mixing.mixed(docs).collect():
+        copies[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in found.collect()) == +copies
+
+
+@pytest.mark.parametrize("doc_id", [1, None])
+def test_repeated_rows_share_the_copies(documents, doc_id):
+    # 600 equal rows of one source beside others: each of the others' sources has too few words, so "a" is below its cap
+    docs = documents(*[(doc_id, words(10), "a")] * 600, (2, words(10), "a"), *[(100 + i, words(10), "b") for i in range(900)])
+    found = mixing.mixed(docs).collect()
+    assert len(found) == 1501
+    for of in (lambda r: r.key == "=a", lambda r: r.key == "=b"):
+        taken = sum(r.size * r.copies for r in found if of(r))
+        target = next(r.target for r in found if of(r))
+        assert abs(taken - target) <= 10 and taken < 2 * next(r.source_size for r in found if of(r)) or target == taken
+        assert {r.copies for r in found if of(r)} <= {0, 1, 2}
+    chosen = Counter(r.source for r in mixing.mixture(docs).collect())
+    assert chosen == {s: sum(r.copies for r in found if r.key == f"={s}") for s in "ab"}
+
+
+def test_multipliers_that_do_not_converge_are_an_error(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_JOBS", 1)
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    docs = documents(*[(i, words(1 + i % 50), "ab"[i % 2]) for i in range(100)])
+    with pytest.raises(ArithmeticError, match="still off"):
+        mixing.mixed(docs, mixing.MixPlan(weights=(1, 9), percent=40))
 
 
 def test_odd_rows(many):

@@ -11,9 +11,10 @@ Rates depend on a document only through source and size, so every iteration
 works on counts per (source, size), never on documents.
 
 Defined results: a null text has size 0; a null source is a source of its own,
-last in order; a source without words has target 0; rows that repeat a doc_id
-within a source and size share one decision; an empty table gives an empty
-result; other columns of the input play no role.
+last in order; a source without words has target 0; rows that repeat id, source
+and text share the copies that fall to them, as evenly as whole copies allow; an
+empty table gives an empty result; other columns of the input play no role.
+Multipliers that do not converge are an error.
 """
 
 from __future__ import annotations
@@ -56,7 +57,8 @@ def targets(sizes: DataFrame, plan: MixPlan) -> DataFrame:
 
     Sources in order of cap over weight reach their caps one after the other as
     the common level rises; the level is right where the next source's ratio is
-    above it. Works on one row per source.
+    above it. Works on one row per source, all of which one task orders: sources
+    are corpora, not hosts or pages.
     """
     weight = F.element_at(F.array(*[F.lit(w) for w in plan.weights]), (F.pmod(F.col("place") - 1, len(plan.weights)) + 1).cast("int"))
     sources = sizes.groupBy("key").agg(F.sum("size").alias("source_size"))
@@ -135,8 +137,8 @@ def multipliers(counts: DataFrame, goals: DataFrame, cap: int) -> DataFrame:
         state = stored(state, "mix-step")
         worst = state.agg(F.max("off")).first()[0]
         if worst is None or worst <= ERROR:
-            break
-    return state.drop("off", "low", "high")
+            return state.drop("off", "low", "high")
+    raise ArithmeticError(f"the multipliers are still off by {worst:.3g} after {MOST_JOBS * STEPS} steps")
 
 
 def copies_per_size(counts: DataFrame, solved: DataFrame, cap: int) -> DataFrame:
@@ -165,20 +167,23 @@ def copies_per_size(counts: DataFrame, solved: DataFrame, cap: int) -> DataFrame
     return rated.select("key", "size", "n", copies.cast("long").alias("copies"), "source_size", "target", "rate")
 
 
-def mixed(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, key, size, source_size, target, rate, copies): one row per row of ``docs``.
+def decided(docs: DataFrame, plan: MixPlan, text: str, source: str, doc_id: str) -> DataFrame:
+    """(doc_id, key, size, code, n_rows, copies, ...): the copies of all rows that share id, source and text.
 
     Which documents of a source and size give the extra copies is decided by a
-    hash of doc_id, so reruns agree. A group is numbered in cells of that hash;
-    each cell's share of the extra copies comes from the running count of the
-    cells, at most ``CELLS`` rows.
+    hash of id and text, so reruns agree. A group is numbered in cells of that
+    hash; each cell's share of the extra copies comes from the running count of
+    the cells, at most ``CELLS`` rows. Repeated rows are one row with their number,
+    combined before the shuffle.
     """
     rows = packed(docs, [doc_id], text=text, source=source, doc_id=doc_id)
-    rows = rows.select("doc_id", source_key(F.col("source")).alias("key"), n_words(F.col("text")).alias("size"), F.xxhash64("doc_id").alias("draw"))
+    same = ["doc_id", "key", "size", "code"]
+    rows = rows.select("doc_id", source_key(F.col("source")).alias("key"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("code"))
+    rows = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("draw", F.xxhash64("doc_id", "code"))
     rows = stored(rows.withColumn("cell", F.pmod("draw", F.lit(CELLS))), "mix-sizes")
-    cells = stored(rows.groupBy("key", "size", "cell").agg(F.count(F.lit(1)).alias("in_cell")), "mix-cells")
+    cells = stored(rows.groupBy("key", "size", "cell").agg(F.sum("n_rows").alias("in_cell")), "mix-cells")
     counts = stored(cells.groupBy("key", "size").agg(F.sum("in_cell").alias("n")), "mix-counts")
-    solved = multipliers(counts, targets(rows, plan), plan.cap)
+    solved = multipliers(counts, targets(counts.select("key", (F.col("n") * F.col("size")).alias("size")), plan), plan.cap)
     shares = copies_per_size(counts, solved, plan.cap)
     upto = Window.partitionBy("key", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     split = cells.join(shares, ["key", "size"]).withColumn("upto", F.sum("in_cell").over(upto))
@@ -189,17 +194,41 @@ def mixed(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", source
         F.floor(F.col("copies") / F.col("n")).alias("each"),
         (part(F.col("upto")) - part(F.col("upto") - F.col("in_cell"))).alias("extra"),
     )
-    drawn = Window.partitionBy("key", "size", "cell").orderBy("draw", "doc_id")
-    placed = rows.join(split, ["key", "size", "cell"]).withColumn("place", F.rank().over(drawn))
-    copies = F.col("each") + F.when(F.col("place") <= F.col("extra"), 1).otherwise(0)
-    return placed.select("doc_id", "key", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"))
+    before = Window.partitionBy("key", "size", "cell").orderBy("draw", "doc_id", "code").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(split, ["key", "size", "cell"])
+    left = F.col("extra") - F.coalesce(F.sum("n_rows").over(before), F.lit(0))
+    own = F.least(F.greatest(left, F.lit(0)), F.col("n_rows"))
+    return placed.select(*same, "n_rows", "source_size", "target", "rate", (F.col("each") * F.col("n_rows") + own).cast("long").alias("copies"))
+
+
+def mixed(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, key, size, source_size, target, rate, copies): one row per row of ``docs``."""
+    found = decided(docs, plan, text, source, doc_id)
+    place = F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")).alias("place")
+    found = found.select("*", place)
+    copies = F.floor(F.col("copies") / F.col("n_rows")) + F.when(F.col("place") <= F.pmod("copies", "n_rows"), 1).otherwise(0)
+    return found.select("doc_id", "key", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"))
 
 
 def mixture(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    decided = mixed(docs, plan, text, source, doc_id).filter(F.col("copies") > 0)
-    decided = decided.select(F.col("doc_id").alias("of"), F.col("key").alias("of_key"), F.col("size").alias("of_size"), "copies").distinct()
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Of rows that repeat id, source and text, what is left after each was taken
+    equally often falls to one of them.
+    """
+    found = decided(docs, plan, text, source, doc_id).filter(F.col("copies") > 0)
+    names = {"doc_id": "of", "key": "of_key", "size": "of_size", "code": "of_code"}
+    found = found.select(*[F.col(c).alias(n) for c, n in names.items()], F.floor(F.col("copies") / F.col("n_rows")).alias("each"), F.pmod("copies", "n_rows").alias("rest"))
+    found = stored(found, "mix-copies")
     rows = packed(docs, text=text, source=source, doc_id=doc_id)
-    rows = rows.select("row", "doc_id", source_key(F.col("source")).alias("key"), n_words(F.col("text")).alias("size"))
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")) & (F.col("size") == F.col("of_size"))
-    return rows.join(decided, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    rows = rows.select("row", "doc_id", source_key(F.col("source")).alias("key"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("code"))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")) & (F.col("size") == F.col("of_size")) & (F.col("code") == F.col("of_code"))
+
+    def repeated(met: DataFrame, times: str) -> DataFrame:
+        return met.select("row", F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select("row.*")
+
+    taken = repeated(rows.join(found.filter(F.col("each") > 0), same), "each")
+    odd = found.filter(F.col("rest") > 0)
+    if odd.isEmpty():
+        return taken
+    return taken.union(repeated(rows.join(odd, same).dropDuplicates(list(names.values())), "rest"))
