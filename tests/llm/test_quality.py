@@ -25,17 +25,21 @@ def base(text):
 def kept(rows, limits):
     """Brute force over (doc_id, text, source)."""
     folded = lambda line: " ".join(WORD.findall(line)).lower()
-    have, size = defaultdict(set), defaultdict(set)
+    have, size, across = defaultdict(set), defaultdict(set), defaultdict(set)
     for _, text, host in rows:
         size[host].add(text or "")
         for line in (text or "").split("\n"):
             have[host, folded(line)].add(text or "")
+            across[folded(line)].add(text or "")
     result = []
     for _, text, host in rows:
         gone = 0
         for line in (text or "").split("\n"):
             n = len(have[host, folded(line)])
-            if folded(line) and n > limits.min_documents and 100 * n > limits.host_percent * len(size[host]):
+            above = n > limits.min_documents and 100 * n > limits.host_percent * len(size[host])
+            above |= limits.most_documents is not None and n > limits.most_documents
+            above |= limits.most_across is not None and len(WORD.findall(line)) >= limits.long_words and len(across[folded(line)]) > limits.most_across
+            if folded(line) and above:
                 gone += len(WORD.findall(line))
         n_words, _, _, _, repeats = base(text)
         failed = n_words < 20 or 100 * repeats > 30 * n_words
@@ -78,6 +82,16 @@ def test_removed_lines_leave_the_text(documents):
     assert all(r.t.startswith("Own") for r in texts)
 
 
+def test_a_line_in_many_documents_of_a_large_host(documents):
+    # 1,001 of 14,000 documents of the host are 7 %
+    own = lambda i: f"{i} " + " ".join(f"w{k}" for k in range(25))
+    rows = [(i, own(i) + ("\nA hot line" if i < 1001 else ""), "host") for i in range(14_000)]
+    found = line_rules.judged(documents(*rows), keep=["doc_id"]).filter("n_lines_removed > 0").select("row.doc_id").collect()
+    assert {r.doc_id for r in found} == set(range(1001))
+    fewer = line_rules.judged(documents(*rows[1:]), keep=["doc_id"]).filter("n_lines_removed > 0")
+    assert fewer.count() == 0
+
+
 def test_count_limits_remove_by_themselves(documents):
     passage = "A passage of more than eight words that stands on several hosts at once."
     own = lambda i: " ".join(f"word{i}x{k}" for k in range(30))

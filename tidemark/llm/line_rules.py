@@ -26,9 +26,10 @@ from tidemark.llm.frames import BLANKS, let, packed, stored
 class LineLimits:
     """A line is removed where more than ``min_documents`` documents and more than ``host_percent`` of its host's have it.
 
-    Two limits that remove by themselves, so that a large host does not raise its own limit, are off by default, as
-    the SQL of op1 has none: a line goes where more than ``most_documents`` of a host's documents have it, and a line of
-    at least ``long_words`` words where more than ``most_across`` documents of all hosts together have it.
+    So that a large host does not raise its own limit, two counts remove by
+    themselves: more than ``most_documents`` documents of a host, and for a line of at
+    least ``long_words`` words more than ``most_across`` documents of all hosts
+    together. Either may be None.
 
     A document is depleted when less than ``least_percent_left`` of its words remain.
     """
@@ -36,8 +37,8 @@ class LineLimits:
     min_documents: int = 5
     host_percent: int = 8
     least_percent_left: int = 30
-    most_documents: int | None = None
-    most_across: int | None = None
+    most_documents: int | None = 1000
+    most_across: int | None = 100
     long_words: int = 8
 
 
@@ -193,4 +194,9 @@ def cleaned(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "tex
 
 def without_lines(text: Column, removed: Column) -> Column:
     """A text without the lines at the given positions."""
-    return F.concat_ws("\n", F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(removed, i)))
+
+    def left(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+        return F.concat_ws("\n", F.transform(places, lambda i: lines[i]))
+
+    return let(F.split(text, "\n"), left)

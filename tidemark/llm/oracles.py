@@ -38,11 +38,14 @@ counts as (select source, folded, count(distinct text) as n from parts where n >
 hosts as (select source, count(distinct coalesce(text, '')) as n from documents group by source),
 above as (
   select c.source, c.folded from counts c join hosts h on c.source is not distinct from h.source
-  where c.n > 5 and 100 * c.n > 8 * h.n
+  where c.n > 5 and 100 * c.n > 8 * h.n or c.n > 1000
 ),
+spread as (select folded from parts where n >= 8 group by folded having count(distinct text) > 100),
 removed as (
   select p.doc_id, count(*) as n_lines_removed, sum(p.n)::bigint as n_words_removed
-  from parts p join above a on p.source is not distinct from a.source and p.folded = a.folded and p.n > 0 group by p.doc_id
+  from parts p left join above a on p.source is not distinct from a.source and p.folded = a.folded
+    left join spread s on p.folded = s.folded and p.n >= 8
+  where p.n > 0 and (a.folded is not null or s.folded is not null) group by p.doc_id
 ),
 judged as (
   select m.doc_id, m.n_words, m.word_chars,
