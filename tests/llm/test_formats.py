@@ -88,6 +88,27 @@ def test_windows_against_brute_force(spark, budget):
         assert r.formatted_chars == sum(len(w[0]) for w in found[c])
 
 
+def test_a_conversation_of_very_many_turns(spark):
+    rng = random.Random(9)
+    turns = [(["user", "assistant"][i % 2], "word " * rng.choice([0, 1, 5, 20, 60])) for i in range(30_000)]
+    docs = chat(spark, [(1, i, r, t) for i, (r, t) in enumerate(turns)])
+    expected = plain_windows(turns, chat_windows.Budget())
+    found = chat_windows.window_rows(docs).orderBy("window").collect()
+    assert [(r.formatted, r.n_seen) for r in found] == [(text, seen) for text, _, seen in expected]
+    back = chat_windows.read_back(chat_windows.formatted(docs)).first()
+    assert back.n_turns == 30_000 and back.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+
+
+def test_running_states(spark):
+    for n in (0, 1, 255, 256, 257, 2000):
+        values = spark.range(1).select(F.when(F.lit(n > 0), F.sequence(F.lit(1), F.lit(max(n, 1)))).otherwise(F.array().cast("array<int>")).alias("v"))
+        found = values.select(chat_windows.running(F.col("v"), F.lit(0), lambda s, v: (s * 3 + v) % 1000).alias("r")).first().r
+        state, expected = 0, []
+        for v in range(1, n + 1):
+            expected.append(state := (state * 3 + v) % 1000)
+        assert found == expected
+
+
 def test_odd_conversations(spark):
     rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, None, "first"), (None, 3, "assistant", "x"), (2, 5, "assistant", None)]
     back = {r.conv_id: r for r in chat_windows.read_back(chat_windows.formatted(chat(spark, rows))).collect()}

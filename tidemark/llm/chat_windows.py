@@ -21,6 +21,7 @@ role. A conversation is one row, as its template is one text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,8 @@ HEAD, HEAD_END, END = "<|", "|>\n", "<|end|>\n"
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 #: Tokens of a turn's marks.
 MARKS = 4
+#: Values that are taken together where an array grows.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -67,41 +70,64 @@ def unescaped(text: Column) -> Column:
 
 
 def _turns(rows: Column) -> Column:
-    """Sorted turns as (head, body, target, tokens)."""
+    """Turns as (head, body, target, tokens)."""
 
     def one(t: Column) -> Column:
         head = F.concat(F.lit(HEAD), escaped_role(t["role"]), F.lit(HEAD_END))
         tokens = F.regexp_count(t["text"], F.lit(TOKEN)) + MARKS
         return F.struct(head.alias("head"), escaped(t["text"]).alias("body"), (t["role"] == "assistant").alias("target"), tokens.alias("tokens"))
 
-    return F.transform(F.array_sort(rows), one)
+    return F.transform(rows, one)
+
+
+def running(values: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The states after each value: ``step(state, value)`` from ``start`` on.
+
+    An array that grows by one is copied each time, so values are taken in
+    blocks: the time rises with the number of values times ``BLOCK``.
+    """
+
+    def of_block(state: Column, block: Column) -> Column:
+        first = F.slice(F.array(state), 1, 0)
+        return F.aggregate(block, first, lambda done, v: F.array_append(done, step(F.coalesce(F.get(done, F.size(done) - 1), state), v)))
+
+    n_blocks = F.ceil(F.size(values) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(1), F.greatest(n_blocks, F.lit(1))), lambda b: F.slice(values, (b - 1) * BLOCK + 1, BLOCK))
+
+    def more(done: Column, block: Column) -> Column:
+        state = F.coalesce(F.get(F.get(done, F.size(done) - 1), F.size(F.get(done, F.size(done) - 1)) - 1), start)
+        return F.array_append(done, let(state, lambda s: of_block(s, block)))
+
+    return F.flatten(F.aggregate(blocks, F.slice(F.array(F.array(start)), 1, 0), more))
 
 
 def _sums(turns: Column) -> Column:
     """Prefix sums: tokens before each turn, and at the end the total."""
-    start = F.array(F.lit(0).cast("long"))
-    return F.aggregate(turns, start, lambda sums, t: F.array_append(sums, F.element_at(sums, -1) + t["tokens"]))
+    zero = F.lit(0).cast("long")
+    return F.concat(F.array(zero), running(F.transform(turns, lambda t: t["tokens"].cast("long")), zero, lambda total, n: total + n))
 
 
-def _starts(sums: Column, first: Column, n: Column, room: Column) -> Column:
+def _starts(sums: Column, first: Column, room: Column) -> Column:
     """The turns at which windows start: where the sum since the last start passes the room."""
-    later = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: i > first)
-
-    def grow(starts: Column, i: Column) -> Column:
-        return F.when(sums[i + 1] - sums[F.element_at(starts, -1)] > room, F.array_append(starts, i)).otherwise(starts)
-
-    return F.aggregate(later, F.array(first), grow)
+    places = F.sequence(F.lit(0), F.size(sums) - 2)
+    start_of = running(places, first, lambda start, i: F.when((i > first) & (sums[i + 1] - sums[start] > room), i).otherwise(start))
+    return let(start_of, lambda of: F.filter(places, lambda i: (i >= first) & (of[i] == i)))
 
 
 def _window(turns: Column, sums: Column, system: Column, start: Column, end: Column, history: int) -> Column:
     """One window: its text, loss spans (code points) and how many leading turns were seen before."""
-    at = F.when(start > system, start).otherwise(F.lit(0))  # the system turn is the first window's own
-    back = F.filter(F.sequence(F.lit(0), start), lambda i: (i >= system) & (sums[start] - sums[i] <= history))
-    from_ = F.when(start > system, back[0]).otherwise(F.lit(0))
-    indexes = F.filter(F.sequence(F.lit(0), F.greatest(end - 1, F.lit(0))), lambda i: (i < system) | ((i >= from_) & (i < end)))
-    shown = F.transform(indexes, lambda i: F.struct(turns[i].alias("t"), (turns[i]["target"] & (i >= at)).alias("loss")))
-
-    def place(s: Column) -> Column:
+    # every turn has its marks at least, so only so many fit into the history
+    near = F.filter(F.sequence(F.greatest(start - (history // MARKS + 1), system), start), lambda i: sums[start] - sums[i] <= history)
+    later = start > system
+
+    def shown(back: Column) -> Column:
+        at = F.when(later, start).otherwise(F.lit(0))  # the system turn is the first window's own
+        kept = F.slice(turns, back + 1, end - back)
+        own = F.transform(kept, lambda t, j: F.struct(t.alias("t"), (t["target"] & (j + back >= at)).alias("loss")))
+        led = F.transform(F.slice(turns, 1, F.when(later, system).otherwise(F.lit(0))), lambda t: F.struct(t.alias("t"), F.lit(False).alias("loss")))
+        return F.concat(led, own)
+
+    def place(s: Column, seen: Column) -> Column:
         zero = F.struct(F.lit(0).cast("long").alias("length"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
 
         def step(acc: Column, x: Column) -> Column:
@@ -112,10 +138,26 @@ def _window(turns: Column, sums: Column, system: Column, start: Column, end: Col
             return F.struct((begin + length + len(END)).alias("length"), spans.alias("spans"))
 
         text = F.concat_ws("", F.transform(s, lambda x: F.concat(x["t"]["head"], x["t"]["body"], F.lit(END))))
-        seen = F.when(start > system, system + start - from_).otherwise(F.lit(0))
         return F.struct(text.alias("formatted"), F.aggregate(s, zero, step)["spans"].alias("loss"), seen.alias("n_seen"))
 
-    return let(shown, place)
+    back = F.when(later, near[0]).otherwise(F.lit(0))
+    return let(back, lambda b: let(shown(b), lambda s: place(s, F.when(later, system + start - b).otherwise(F.lit(0)))))
+
+
+def _windows(turns: Column, system: Column, budget: Budget) -> Column:
+    """The windows of one conversation's turns. Each array is computed once and named by a lambda, however often it is looked at."""
+
+    def cut(t: Column, sums: Column, sys: Column) -> Column:
+        room = F.greatest(F.lit(budget.window) - sums[sys] - budget.history, F.lit(1))
+        first = F.least(sys, F.size(t) - 1)
+
+        def spans(starts: Column) -> Column:
+            end = lambda k: F.coalesce(F.get(starts, k + 1), F.size(t))
+            return F.transform(starts, lambda start, k: _window(t, sums, sys, start, end(k), budget.history))
+
+        return let(let(room, lambda r: let(first, lambda f: _starts(sums, f, r))), spans)
+
+    return let(turns, lambda t: let(system, lambda sys: let(_sums(t), lambda sums: cut(t, sums, sys))))
 
 
 def formatted(conversations: DataFrame, budget: Budget = Budget()) -> DataFrame:
@@ -133,26 +175,9 @@ def formatted(conversations: DataFrame, budget: Budget = Budget()) -> DataFrame:
         ).alias("t"),
     )
     grouped = rows.groupBy("conv_id").agg(F.collect_list("t").alias("rows"))
-    counted = grouped.select(
-        "conv_id", _turns(F.col("rows")).alias("turns"), F.when(F.array_sort("rows")[0]["role"] == "system", 1).otherwise(0).alias("system")
-    )
-    counted = counted.withColumn("sums", _sums(F.col("turns"))).withColumn("n", F.size("turns"))
-    system_tokens = F.col("sums")[F.col("system")]
-    room = F.greatest(F.lit(budget.window) - system_tokens - budget.history, F.lit(1))
-    first = F.least(F.col("system"), F.col("n") - 1)
-    counted = counted.withColumn("starts", let(room, lambda r: _starts(F.col("sums"), first, F.col("n"), r)))
-    windows = F.transform(
-        "starts",
-        lambda start, k: _window(
-            F.col("turns"),
-            F.col("sums"),
-            F.col("system"),
-            start,
-            F.when(k + 1 < F.size("starts"), F.get("starts", k + 1)).otherwise(F.col("n")),
-            budget.history,
-        ),
-    )
-    return counted.select("conv_id", windows.alias("windows"))
+    system = lambda found: F.when(found[0]["role"] == "system", 1).otherwise(0)
+    windows = let(F.array_sort("rows"), lambda found: _windows(_turns(found), system(found), budget))
+    return grouped.select("conv_id", windows.alias("windows"))
 
 
 def window_rows(conversations: DataFrame, budget: Budget = Budget()) -> DataFrame:
