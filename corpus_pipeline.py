@@ -19,6 +19,7 @@ from tidemark.llm.frames import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go, and the others lose their lines above the limits; ``n_chars`` follows the text."""
     found = line_rules.cleaned(docs)
