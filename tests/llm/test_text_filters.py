@@ -157,3 +157,85 @@ def test_licences(documents, many):
     }
     assert license_digests.scanned(docs).count() == 8
     assert license_digests.scanned(many).count() == many.count() and license_digests.scanned(many.limit(0)).count() == 0
+
+
+def plain_form(text):
+    """The canonical form, by Python's own expressions."""
+    import regex
+
+    text = regex.sub(r"(?m)^[^\p{L}\p{N}\n©]*(copyright\b(?=[^\n]*(\(c\)|©|\d{4}))|\(c\)|©)[^\n]*$", "", (text or "").lower())
+    text = regex.sub(r"(?m)(?:^|(?<=[:;.]))\s*\(?(\d{1,2}|[a-z])[.)](?=\s)", " ", text)
+    found = regex.sub(r"[^\p{L}\p{N}]+", " ", text).strip()
+    for other, one in license_digests.SPELLINGS:
+        found = regex.sub(rf"(?<![^ ]){other}(?![^ ])", one, found)
+    return regex.sub(r"^((the )?([a-z0-9]+ ){0,3}license ([a-z0-9]+ ){0,2}?)?(all rights reserved )?(?=permission |redistribution )", "", found)
+
+
+def plain_scan(rows):
+    """Every document, line and rest of a copyright line against every known text, without digests of texts or first words."""
+    import hashlib
+
+    forms = {plain_form(t): name for name, t in license_digests.KNOWN}
+    long = {d: name for name, _, d in license_digests.DIGESTS}
+
+    def of(text):
+        form = plain_form(text)
+        return forms.get(form) or long.get(hashlib.sha256(form.encode()).hexdigest()) if form else None
+
+    def rests(line):
+        if not re.match(r"[^\w\n©]*(copyright\b(?=[^\n]*(\(c\)|©|\d{4}))|\(c\)|©)", line.lower()):
+            return [line]
+        return [line, *(line[m.end() :] for m in re.finditer(r"(?<=[.;,])\s+", line))]
+
+    found = {}
+    for i, text in rows:
+        whole, lines = found.setdefault(i, (set(), []))
+        text = text or ""
+        whole |= {of(t) for t in ([text] if "\n" in text else rests(text))} - {None}
+        lines += [n for line in text.split("\n") for t in rests(line) if (n := of(t))]
+    return {i: (min(whole, default=None), ",".join(sorted(set(lines))), len(lines)) for i, (whole, lines) in found.items()}
+
+
+def found_licenses(df):
+    return {r.doc_id: (r.document_license, r.line_licenses, r.n_license_lines) for r in df.collect()}
+
+
+def test_usual_spellings_of_licenses(documents):
+    mit = dict(license_digests.KNOWN[:1])["MIT"].removeprefix("MIT License ")
+    bsd = next(t for n, t in license_digests.KNOWN if n == "BSD-3-Clause")
+    listed = re.sub(r"(\d)\. (?=Redistributions|Neither)", r"\n* ", bsd)
+    texts = {
+        1: (mit, "MIT"),
+        2: (f"The MIT License (MIT)\n\nCopyright (c) 2019 A. B. Person, Inc. All rights reserved.\n\n{mit}", "MIT"),
+        3: (f"BSD 3-Clause License\n\nCopyright (c) 2017, Some Body\nAll rights reserved.\n\n{listed}", "BSD-3-Clause"),
+        4: ("Copyright 2020 X. Licensed under the MIT License.", "MIT"),
+        5: ("(c) 2024 X. All rights reserved.", "all-rights-reserved"),
+        6: ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+        7: ("Copyright 2021 A. B. Body, Inc., Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use it.", None),
+        8: (next(t for n, t in license_digests.KNOWN if n == "Apache-2.0" and "governing" in t).replace("http:", "https:").replace("; you", ";\n  you"), "Apache-2.0"),
+        9: ("copyright (c) 2020 " + "and, so; on. " * 200 + "All rights reserved.", "all-rights-reserved"),
+        10: ("Permission is hereby granted to read this. The redistribution of it is not.", None),
+    }
+    docs = documents(*[(i, t) for i, (t, _) in texts.items()])
+    found = found_licenses(license_digests.scanned(docs))
+    assert {i: of[0] for i, of in found.items()} == {i: name for i, (_, name) in texts.items()}
+    assert found == plain_scan([(i, t) for i, (t, _) in texts.items()])
+
+
+def test_long_licenses_by_their_digests(documents):
+    from pathlib import Path
+
+    folder = Path("/usr/share/common-licenses")
+    if not folder.is_dir():
+        pytest.skip("no licence texts on this machine")
+    known = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = [(folder / f).read_text() for f in known]
+    docs = documents(*enumerate(t.upper().replace(" ", "  ") for t in texts), (100, texts[0][:-200]))
+    found = found_licenses(license_digests.scanned(docs))
+    assert [found[i][0] for i in range(len(texts))] == list(known.values()) and found[100][0] is None
+
+
+def test_scan_of_the_whole_table_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    found = found_licenses(queries.op7_license_scans(spark, "/root/testdata/sf0.001"))
+    assert found == plain_scan(rows) and any(of[1] for of in found.values())

@@ -1,10 +1,12 @@
 """Licence scans by canonical digests.
 
-A text is brought to a canonical form: lower case, copyright lines dropped,
-punctuation turned into blanks, equivalent spellings made one, blanks folded.
-Entire texts whose digest is that of a known licence or notice are found by an
-equality join. What counts as a text is each whole document and each line of it,
-so a notice that stands on a line of its own is found as well.
+A text is brought to a canonical form: lower case, copyright lines and list
+marks dropped, punctuation turned into blanks, a title before the grant dropped,
+equivalent spellings made one, blanks folded. Entire texts whose digest is that
+of a known licence or notice are found by an equality join. What counts as a text
+is each whole document and each line of it, so a notice that stands on a line of
+its own is found as well, and what follows the copyright statement on its line.
+Short licences and notices are kept as texts, long ones as digests.
 
 Defined results: a null text and one of which nothing is left match nothing;
 all rows of one doc_id get the finds of all of them together; null ids are one document;
@@ -65,6 +67,13 @@ _BSD_TAIL = (
     "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
 
+#: Identifiers that stand behind an SPDX tag.
+SPDX = (
+    "0BSD", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0",
+    "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "ISC",
+    "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+
 #: Fixed values: (SPDX identifier or statement, text) of public licences and of notices that stand for them.
 KNOWN = (
     (
@@ -100,11 +109,48 @@ KNOWN = (
     ("CC0-1.0", "Released under CC0 1.0."),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    (
+        "Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may "
+        "obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+        "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express "
+        "or implied. See the License for the specific language governing permissions and limitations under the License.",
+    ),
     ("all-rights-reserved", "All rights reserved."),
+    *((name, f"SPDX-License-Identifier: {name}") for name in SPDX),
+)
+
+#: Fixed values: (SPDX identifier, first word, digest of the canonical form) of public licences, whole and up to the end of their terms.
+DIGESTS: tuple[tuple[str, str, str], ...] = (
+    ("Apache-2.0", "apache", "e47c26565f57f0d69b818dcb2ba49c6432329ebac35835ef90a9a64387461b8a"),
+    ("Apache-2.0", "apache", "ad5cb4a9133f7b328244a1e5dec5b807680758c9054d9aa23c537d37035c5e4d"),
+    ("CC0-1.0", "cc", "9bdf0f12de289272f5d4be6a88e411cfabe8385e9ac3a96c2936d462b2a7cbc3"),
+    ("GPL-1.0", "gnu", "fe80ccaae90d81557cc6613b788c47dd1819c7a5ae034f77e7d60bb6b879677e"),
+    ("GPL-1.0", "gnu", "8779beee967ecd6ba7edd9e3c1f997470b1a2e73d9a5873e9f077a85b1e41497"),
+    ("GPL-2.0", "gnu", "9c942f6942a3d44037aa20b92138b7de02aafd88adea708e7c93f34a145aeaa1"),
+    ("GPL-2.0", "gnu", "7314c07a2d29e5446bcf514fee47b5f438deff8b1eed122fa2ee257c02b47bb7"),
+    ("GPL-3.0", "gnu", "3695e90f7fe4b461853cec533de5675ab2b6b1fcafcb504d6c64ded76f675d64"),
+    ("GPL-3.0", "gnu", "8c24ccf35998bd73317aa0801f6e6cbd865514baf55f246a48a8e890d1abc3d1"),
+    ("LGPL-2.0", "gnu", "76e95bde887e452fdbf364b6e132f70904f43582182b76e0f71d88a2d8911ef7"),
+    ("LGPL-2.0", "gnu", "60a57d5c27c9e17b09b270fac9dc922bcf9e4d0e88247b5e4953eea523993c29"),
+    ("LGPL-2.1", "gnu", "3c172029ca14deedef915e5d03e83bcc73647736d10c2be07d384571ca06b440"),
+    ("LGPL-2.1", "gnu", "fc956b94c2648213f33a6d97d5d091ed6f082bac4e64a8f1ef02e9643a7a502c"),
+    ("LGPL-3.0", "gnu", "cb8c0f424bdd5c42a0b18285893829d988e9fb9a00d0cd604a59ebe8da7eeb45"),
+    ("MPL-1.1", "mozilla", "e4a1b9e7be90fb7d822bee3b051ffa2d4a399899dd467ac4a9287190d948540c"),
+    ("MPL-2.0", "mozilla", "26cc26af01574b01bd73424f1463a680ef00356f06b6dda1e111e5c7d08c8708"),
+    ("GFDL-1.3", "gnu", "31bf15dcd0a3ede2d36b6c1e306bdb5ed77c42817a54742e0231f25a3869ae10"),
+    ("Artistic-1.0", "the", "4834e699353522cfb463bd8b374752ecf02156bb3f5dfb53d0edb502a112a651"),
 )
 
 
-_COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n©]*(?:copyright\b(?=[^\n]*(?:\(c\)|©|\d{4}))|\(c\)|©)[^\n]*$"
+#: The beginning of a line that states a copyright.
+_STATES = r"[^\p{L}\p{N}\n©]*(?:copyright\b(?=[^\n]*(?:\(c\)|©|\d{4}))|\(c\)|©)"
+_COPYRIGHT = rf"(?m)^{_STATES}[^\n]*$"
+#: Numbers and letters of a list, where a line or a clause begins.
+_LIST_MARKS = r"(?m)(?:^|(?<=[:;.]))\s*\(?(?:\d{1,2}|[a-z])[.)](?=\s)"
+#: A title, where the grant of a licence follows.
+_TITLE = r"^(?:(?:the )?(?:[a-z0-9]+ ){0,3}license (?:[a-z0-9]+ ){0,2}?)?(?:all rights reserved )?(?=permission |redistribution )"
+_CLAUSE_END = r"(?<=[.;,])\s+"
 
 
 def _without_copyright(text: Column) -> Column:
@@ -113,10 +159,11 @@ def _without_copyright(text: Column) -> Column:
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text, empty for null."""
-    form = F.trim(F.regexp_replace(_without_copyright(text), r"[^\p{L}\p{N}]+", " "))
+    listed = F.regexp_replace(_without_copyright(text), _LIST_MARKS, " ")
+    form = F.trim(F.regexp_replace(listed, r"[^\p{L}\p{N}]+", " "))
     for other, one in SPELLINGS:
         form = F.regexp_replace(form, rf"(?<![^ ]){other}(?![^ ])", one)
-    return form
+    return F.regexp_replace(form, _TITLE, "")
 
 
 def digest(text: Column) -> Column:
@@ -124,19 +171,43 @@ def digest(text: Column) -> Column:
     return let(canonical(text), lambda form: F.when(form != "", F.sha2(form, 256)))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str, str], ...] = DIGESTS) -> DataFrame:
     """(known, license), one row per known text."""
-    values = spark.createDataFrame(list(known), "license string, text string")
-    return values.select(digest(F.col("text")).alias("known"), "license").distinct()
+    values = spark.createDataFrame(list(known), "license string, text string").select(digest(F.col("text")).alias("known"), "license")
+    if digests:
+        values = values.union(spark.createDataFrame([(d, name) for name, _, d in digests], "known string, license string"))
+    return values.distinct()
 
 
-def first_words(known: tuple[tuple[str, str], ...]) -> list[str]:
+def first_words(known: tuple[tuple[str, str], ...], digests: tuple[tuple[str, str, str], ...] = DIGESTS) -> list[str]:
     """The words with which a text must begin, after its copyright lines, to match any known one."""
-    found = {re.search(r"[^\W_]+", text.lower()).group() for _, text in known}
+    found = {re.search(r"[^\W_]+", text.lower()).group() for _, text in known} | {word for _, word, _ in digests}
     return sorted(found | {other.split()[0] for other, one in SPELLINGS if one.split()[0] in found})
 
 
-def scanned(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def clauses(known: tuple[tuple[str, str], ...]) -> int:
+    """How many clauses the known text with the most clauses has."""
+    return max(len(re.findall(r"[.;,]\s", text)) + 1 for _, text in known)
+
+
+def candidates(text: Column, most_clauses: int) -> Column:
+    """The entire texts of a line: itself or, where it states a copyright, what follows at each clause from which a known text could fill the rest."""
+
+    def rests(parts: Column) -> Column:
+        last = F.slice(parts, F.greatest(F.size(parts) - most_clauses + 1, F.lit(1)), most_clauses)
+        return F.transform(last, lambda _, i: F.concat_ws(" ", F.slice(last, i + 1, most_clauses)))
+
+    stated = F.lower(text).rlike(rf"^{_STATES}")
+    return F.when(stated, let(F.split(text, _CLAUSE_END), rests)).otherwise(F.array(text))
+
+
+def scanned(
+    docs: DataFrame,
+    known: tuple[tuple[str, str], ...] = KNOWN,
+    digests: tuple[tuple[str, str, str], ...] = DIGESTS,
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> DataFrame:
     """(doc_id, document_license, line_licenses, n_license_lines): one row per row of ``docs``.
 
     A text that doesn't begin like any known one is not brought to its form.
@@ -144,12 +215,17 @@ def scanned(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN, text: s
     own licence is the least of several.
     """
     rows = packed(docs, [], doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
+    most = clauses(known)
     unit = lambda whole, value: F.struct(F.lit(whole).alias("whole"), value.alias("unit"))
-    lines = F.transform(F.split("text", "\n"), lambda line: unit(False, line))
-    units = rows.select("doc_id", F.explode(F.concat(F.array(unit(True, F.col("text"))), lines)).alias("u")).select("doc_id", "u.*")
-    begin = F.regexp_extract(_without_copyright(F.col("unit")), r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+)", 1)
-    units = units.filter(begin.isin(first_words(known))).withColumn("digest", digest(F.col("unit")))
-    hits = units.join(known_digests(docs.sparkSession, known), F.col("digest") == F.col("known"))
+    lines = F.flatten(F.transform(F.split("text", "\n"), lambda line: F.transform(candidates(line, most), lambda c: unit(False, c))))
+    alone = F.when(F.instr("text", "\n") > 0, F.array(F.col("text"))).otherwise(candidates(F.col("text"), most))
+    units = F.concat(F.transform(alone, lambda c: unit(True, c)), lines)
+    units = rows.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.*")
+    begin = F.regexp_extract(F.regexp_replace(_without_copyright(F.col("unit")), _LIST_MARKS, " "), r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+)", 1)
+    # behind a title comes a grant
+    titled = F.lower("unit").rlike(r"(?:permission|redistribution)\s")
+    units = units.filter(titled | begin.isin(first_words(known, digests))).withColumn("digest", digest(F.col("unit")))
+    hits = units.join(known_digests(docs.sparkSession, known, digests), F.col("digest") == F.col("known"))
     found = hits.groupBy(F.col("doc_id").alias("of")).agg(
         F.min(F.when(F.col("whole"), F.col("license"))).alias("document_license"),
         F.concat_ws(",", F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license"))))).alias("line_licenses"),
