@@ -44,114 +44,125 @@ def _flag(header: str) -> str:
     )
 
 
-def _cleaned(table: str, text: str = "", mixed: str = "", us: str = "", flags: str = "", more: str = "", keep: str = "", distinct: bool = False) -> str:
-    """``a=Header`` pairs separated by ``;`` become cleaned columns; rows without ``keep`` columns go."""
+Pairs = tuple[tuple[str, str], ...]
+
+
+def _cleaned(
+    table: str, text: Pairs = (), mixed: Pairs = (), us: Pairs = (), flags: Pairs = (), more: str = "", keep: tuple[str, ...] = (), distinct: bool = False
+) -> str:
+    """(column, header) pairs become cleaned columns; rows without ``keep`` columns go."""
     columns = []
     for pairs, form in ((text, _clean), (mixed, _mixed), (us, _us), (flags, _flag)):
-        for pair in filter(None, (p.strip() for p in pairs.split(";"))):
-            out, header = pair.split("=", 1)
+        for out, header in pairs:
             columns.append(f'{form(header)} as "{out}"')
     if more:
         columns.append(more)
     rows = f"select {', '.join(columns)} from raw_{table}"
-    where = " and ".join(f"{name} is not null" for name in keep.split()) or "true"
+    where = " and ".join(f"{name} is not null" for name in keep) or "true"
     return f"select {'distinct ' if distinct else ''}* from ({rows}) c where {where}"
 
 
-_NAMES = "first_name=First Name; last_name=Last Name"
-_PERIOD = "started_on=Started On; finished_on=Finished On"
+_NAMES = (("first_name", "First Name"), ("last_name", "Last Name"))
+_PERIOD = (("started_on", "Started On"), ("finished_on", "Finished On"))
 
 CLEANED = {
     "connections": _cleaned(
         "connections",
-        text=f"{_NAMES}; url=URL; email_address=Email Address; company=Company; position=Position",
-        mixed="connected_on=Connected On",
+        text=(*_NAMES, ("url", "URL"), ("email_address", "Email Address"), ("company", "Company"), ("position", " Position ")),
+        mixed=(("connected_on", "Connected On"),),
     ),
     "positions": f"""select *, finished_on is null as is_current from ({_cleaned(
         "positions",
-        text="company_name=Company Name; title=Title; description=Description; location=Location",
+        text=(("company_name", "Company Name"), ("title", "Title"), ("description", "Description"), ("location", "Location")),
         mixed=_PERIOD,
     )}) t""",
     "profile": _cleaned(
         "profile",
-        text=f"{_NAMES}; maiden_name=Maiden Name; address=Address; headline=Headline; summary=Summary; "
-        "industry=Industry; zip_code=Zip Code; geo_location=Geo Location; twitter_handles=Twitter Handles; "
-        "websites=Websites",
-        mixed="birth_date=Birth Date",
+        text=(
+            *_NAMES, ("maiden_name", "Maiden Name"), ("address", "Address"), ("headline", "Headline"), ("summary", "Summary"),
+            ("industry", "Industry"), ("zip_code", "Zip Code"), ("geo_location", "Geo Location"),
+            ("twitter_handles", "Twitter Handles"), ("websites", "Websites"),
+        ),
+        mixed=(("birth_date", "Birth Date"),),
         more="cast(null as varchar) as instant_messengers",
     ),
-    "languages": _cleaned("languages", text="name=Name; proficiency=Proficiency"),
+    "languages": _cleaned("languages", text=(("name", "Name"), ("proficiency", "Proficiency"))),
     "education": f"""select *, finished_on is null as is_current_education from ({_cleaned(
         "education",
-        text="school_name=School; degree_name=Degree; notes=Description",
-        mixed="started_on=Started; finished_on=End Date",
+        text=(("school_name", "School"), ("degree_name", "Degree"), ("notes", "Description")),
+        mixed=(("started_on", "Started"), ("finished_on", "End Date")),
     )}) t""",
     "certifications": _cleaned(
         "certifications",
-        text="name=Name; url=Url; authority=Authority; license_number=License Number",
+        text=(("name", "Name"), ("url", "Url"), ("authority", "Authority"), ("license_number", "License Number")),
         mixed=_PERIOD,
     ),
     "endorsement_received_info": _cleaned(
         "endorsement_received_info",
-        text="skill_name=Skill Name; endorser_first_name=Endorser First Name; endorser_last_name=Endorser Last Name; "
-        "endorser_public_url=Endorser Public Url; endorsement_status=Endorsement Status",
-        mixed="endorsement_date=Endorsement Date",
-        keep="skill_name",
+        text=(
+            ("skill_name", "Skill Name"), ("endorser_first_name", "Endorser First Name"),
+            ("endorser_last_name", "Endorser Last Name"), ("endorser_public_url", "Endorser Public Url"),
+            ("endorsement_status", "Endorsement Status"),
+        ),
+        mixed=(("endorsement_date", "Endorsement Date"),),
+        keep=("skill_name",),
         distinct=True,
     ),
     "company_follows": _cleaned(
         "company_follows",
-        text="organization=Organization",
-        mixed="followed_on=Followed On",
-        keep="organization",
+        text=(("organization", "Organization"),),
+        mixed=(("followed_on", "Followed On"),),
+        keep=("organization",),
         distinct=True,
     ),
     "recommendations_received": _cleaned(
         "recommendations_received",
-        text=f"{_NAMES}; company=Company; position=Job Title; recommendation_text=Text; visibility=Status",
-        us="recommendation_date=Creation Date",
-        keep="recommendation_text",
+        text=(*_NAMES, ("company", "Company"), ("position", "Job Title"), ("recommendation_text", "Text"), ("visibility", "Status")),
+        us=(("recommendation_date", "Creation Date"),),
+        keep=("recommendation_text",),
         distinct=True,
     ),
-    "skills": _cleaned("skills", text="skill_name=Name", keep="skill_name", distinct=True),
+    "skills": _cleaned("skills", text=(("skill_name", "Name"),), keep=("skill_name",), distinct=True),
     "phone_numbers": _cleaned(
         "phone_numbers",
-        text="extension=Extension; phone_number=Number; phone_type=Type",
-        keep="phone_number",
+        text=(("extension", "Extension"), ("phone_number", "Number"), ("phone_type", "Type")),
+        keep=("phone_number",),
         distinct=True,
     ),
     "email_addresses": _cleaned(
         "email_addresses",
-        text="email_address=Email Address",
-        flags="confirmed=Confirmed; primary=Primary",
+        text=(("email_address", "Email Address"),),
+        flags=(("confirmed", "Confirmed"), ("primary", "Primary")),
         more="nullif(\"Updated On\", 'Not Available') as updated_on",
-        keep="email_address",
+        keep=("email_address",),
         distinct=True,
     ),
     "registration": _cleaned(
         "registration",
-        text="registration_ip=Registration Ip; subscription_types=Subscription Types",
-        us="registered_at=Registered At",
+        text=(("registration_ip", "Registration Ip"), ("subscription_types", "Subscription Types")),
+        us=(("registered_at", "Registered At"),),
     ),
     "saved_job_alerts": _cleaned(
         "saved_job_alerts",
-        text="alert_parameters=Alert Parameters; query_context=Query Context; saved_search_id=Saved Search ID",
-        keep="saved_search_id",
+        text=(("alert_parameters", "Alert Parameters"), ("query_context", "Query Context"), ("saved_search_id", "Saved Search ID")),
+        keep=("saved_search_id",),
         distinct=True,
     ),
     "volunteering": f"""select *, finished_on is null as is_current_volunteering from ({_cleaned(
         "volunteering",
-        text="company_name=Company Name; role=Role; cause=Cause; description=Description",
+        text=(("company_name", "Company Name"), ("role", "Role"), ("cause", "Cause"), ("description", "Description")),
         mixed=_PERIOD,
-        keep="company_name role",
+        keep=("company_name", "role"),
         distinct=True,
     )}) t""",
     "invitations": _cleaned(
         "invitations",
-        text="sender_name=From; recipient_name=To; message=Message; direction=Direction; "
-        "inviter_profile_url=inviterProfileUrl; invitee_profile_url=inviteeProfileUrl",
-        us="sent_at=Sent At",
-        keep="sender_name recipient_name direction",
+        text=(
+            ("sender_name", "From"), ("recipient_name", "To"), ("message", "Message"), ("direction", "Direction"),
+            ("inviter_profile_url", "inviterProfileUrl"), ("invitee_profile_url", "inviteeProfileUrl"),
+        ),
+        us=(("sent_at", "Sent At"),),
+        keep=("sender_name", "recipient_name", "direction"),
         distinct=True,
     ),
     "events": f"""
@@ -159,30 +170,33 @@ CLEANED = {
             try_strptime(split_part(event_time, ' - ', 2), '%b %d, %Y %I:%M %p') as finished_at
         from ({_cleaned(
             "events",
-            text="event_name=Event Name; event_time=Event Time; status=Status; external_url=External Url",
-            keep="event_name",
+            text=(("event_name", "Event Name"), ("event_time", "Event Time"), ("status", "Status"), ("external_url", "External Url")),
+            keep=("event_name",),
             distinct=True,
         )}) t""",
     "learning": _cleaned(
         "learning",
-        text="content_title=Content Title; content_description=Content Description; content_type=Content Type; "
-        "notes_taken=Notes taken on videos (if taken)",
-        mixed="last_watched_at=Content Last Watched Date (if viewed); completed_at=Content Completed At (if completed)",
-        flags="content_saved=Content Saved",
-        keep="content_title",
+        text=(
+            ("content_title", "Content Title"), ("content_description", "Content Description"), ("content_type", "Content Type"),
+            ("notes_taken", "Notes taken on videos (if taken)"),
+        ),
+        mixed=(("last_watched_at", "Content Last Watched Date (if viewed)"), ("completed_at", "Content Completed At (if completed)")),
+        flags=(("content_saved", "Content Saved"),),
+        keep=("content_title",),
         distinct=True,
     ),
     "job_applications": _cleaned(
         "job_applications",
-        text="contact_email=Contact Email; contact_phone_number=Contact Phone Number; company_name=Company Name; "
-        "job_title=Job Title; job_url=Job Url; resume_name=Resume Name; question_and_answers=Question And Answers",
-        us="application_date=Application Date",
-        keep="company_name job_title",
+        text=(
+            ("contact_email", "Contact Email"), ("contact_phone_number", "Contact Phone Number"),
+            ("company_name", "Company Name"), ("job_title", "Job Title"), ("job_url", "Job Url"), ("resume_name", "Resume Name"),
+            ("question_and_answers", "Question And Answers"),
+        ),
+        us=(("application_date", "Application Date"),),
+        keep=("company_name", "job_title"),
         distinct=True,
     ),
 }
-# The header of this one column is padded, which the splitting above would strip.
-CLEANED["connections"] = CLEANED["connections"].replace('trim("Position"', 'trim(" Position "')
 
 
 def _register_cleaned() -> None:

@@ -41,10 +41,13 @@ def parts(c: str, prefix: str) -> str:
     return f"year({c}) as {prefix}year, month({c}) as {prefix}month, strftime({c}, '%Y-%m') as {prefix}year_month"
 
 
+Names = tuple[str | tuple[str, str], ...]
+
+
 def staged(
-    table: str, trim: str = "", blank: str = "", date: str = "", moment: str = "", flag: str = "", plain: str = "", more: str = ""
+    table: str, trim: Names = (), blank: Names = (), date: Names = (), moment: Names = (), flag: Names = (), plain: Names = (), more: str = ""
 ) -> str:
-    """A projection; ``a=b`` renames bronze column b to a."""
+    """A projection; a pair (a, b) renames bronze column b to a."""
     forms = (
         (trim, trimmed),
         (blank, blank_null),
@@ -55,9 +58,9 @@ def staged(
     )
     columns = []
     for names, form in forms:
-        for name in names.split():
-            out, _, source = name.partition("=")
-            columns.append(f"{form(source or out)} as {out}")
+        for name in names:
+            out, source = (name, name) if isinstance(name, str) else name
+            columns.append(f"{form(source)} as {out}")
     if more:
         columns.append(more)
     return f"select {', '.join(columns)} from bronze_{table}"
@@ -65,36 +68,36 @@ def staged(
 
 STG = {
     "certifications": staged(
-        "certifications", trim="name", blank="url authority license_number", date="started_on finished_on"
+        "certifications", trim=("name",), blank=("url", "authority", "license_number"), date=("started_on", "finished_on")
     ),
-    "company_follows": staged("company_follows", trim="organization", date="followed_on"),
+    "company_follows": staged("company_follows", trim=("organization",), date=("followed_on",)),
     "connections": staged(
         "connections",
-        trim="first_name last_name profile_url=url company position",
-        blank="email_address",
-        date="connected_on",
+        trim=("first_name", "last_name", ("profile_url", "url"), "company", "position"),
+        blank=("email_address",),
+        date=("connected_on",),
         more=f"{trimmed('first_name')} || ' ' || {trimmed('last_name')} as full_name",
     ),
     "education": staged(
         "education",
-        trim="school_name",
-        blank="degree_name notes",
-        date="started_on finished_on",
+        trim=("school_name",),
+        blank=("degree_name", "notes"),
+        date=("started_on", "finished_on"),
         more="ifnull(is_current_education, false) as is_current_education",
     ),
     "email_addresses": staged(
-        "email_addresses", trim="email_address", blank="updated_on", flag='confirmed is_primary="primary"'
+        "email_addresses", trim=("email_address",), blank=("updated_on",), flag=("confirmed", ("is_primary", '"primary"'))
     ),
     "endorsement_received_info": staged(
         "endorsement_received_info",
-        trim="skill_name endorser_first_name endorser_last_name endorser_public_url endorsement_status",
-        date="endorsement_date",
+        trim=("skill_name", "endorser_first_name", "endorser_last_name", "endorser_public_url", "endorsement_status"),
+        date=("endorsement_date",),
     ),
     "events": staged(
         "events",
-        trim="event_name event_time",
-        blank="external_url",
-        moment="started_at finished_at",
+        trim=("event_name", "event_time"),
+        blank=("external_url",),
+        moment=("started_at", "finished_at"),
         more=f"upper({trimmed('status')}) as status",
     ),
     "file_inventory": "select * from bronze_file_inventory",
@@ -114,49 +117,51 @@ STG = {
         from bronze_ingestion_audit""",
     "invitations": staged(
         "invitations",
-        trim="sender_name recipient_name",
-        blank="message inviter_profile_url invitee_profile_url",
-        moment="sent_at",
+        trim=("sender_name", "recipient_name"),
+        blank=("message", "inviter_profile_url", "invitee_profile_url"),
+        moment=("sent_at",),
         more=f"upper({trimmed('direction')}) as direction",
     ),
     "job_applications": staged(
         "job_applications",
-        trim="company_name job_title",
-        blank="contact_email contact_phone_number job_url resume_name question_and_answers",
-        moment="application_date",
+        trim=("company_name", "job_title"),
+        blank=("contact_email", "contact_phone_number", "job_url", "resume_name", "question_and_answers"),
+        moment=("application_date",),
     ),
-    "languages": staged("languages", trim="name proficiency"),
+    "languages": staged("languages", trim=("name", "proficiency")),
     "learning": staged(
         "learning",
-        trim="content_title",
-        blank="content_description content_type notes_taken",
-        moment="last_watched_at completed_at",
-        flag="content_saved",
+        trim=("content_title",),
+        blank=("content_description", "content_type", "notes_taken"),
+        moment=("last_watched_at", "completed_at"),
+        flag=("content_saved",),
     ),
-    "phone_numbers": staged("phone_numbers", trim="phone_number", blank="extension phone_type"),
+    "phone_numbers": staged("phone_numbers", trim=("phone_number",), blank=("extension", "phone_type")),
     "positions": staged(
-        "positions", trim="company_name title", blank="description location", date="started_on finished_on", plain="is_current"
+        "positions", trim=("company_name", "title"), blank=("description", "location"), date=("started_on", "finished_on"), plain=("is_current",)
     ),
     "profile": staged(
         "profile",
-        trim="first_name last_name maiden_name address headline summary industry zip_code geo_location twitter_handles "
-        "websites instant_messengers",
-        date="birth_date",
+        trim=(
+            "first_name", "last_name", "maiden_name", "address", "headline", "summary", "industry", "zip_code", "geo_location",
+            "twitter_handles", "websites", "instant_messengers",
+        ),
+        date=("birth_date",),
     ),
     "recommendations_received": staged(
         "recommendations_received",
-        trim="first_name last_name company position recommendation_text visibility",
-        date="recommendation_date",
+        trim=("first_name", "last_name", "company", "position", "recommendation_text", "visibility"),
+        date=("recommendation_date",),
     ),
-    "registration": staged("registration", trim="registration_ip", blank="subscription_types", moment="registered_at"),
-    "saved_job_alerts": staged("saved_job_alerts", trim="alert_parameters query_context saved_search_id"),
-    "skills": staged("skills", trim="skill_name"),
+    "registration": staged("registration", trim=("registration_ip",), blank=("subscription_types",), moment=("registered_at",)),
+    "saved_job_alerts": staged("saved_job_alerts", trim=("alert_parameters", "query_context", "saved_search_id")),
+    "skills": staged("skills", trim=("skill_name",)),
     "volunteering": staged(
         "volunteering",
-        trim="company_name role",
-        blank="cause description",
-        date="started_on finished_on",
-        flag="is_current_volunteering",
+        trim=("company_name", "role"),
+        blank=("cause", "description"),
+        date=("started_on", "finished_on"),
+        flag=("is_current_volunteering",),
     ),
 }
 
