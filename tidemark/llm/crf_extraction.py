@@ -35,7 +35,7 @@ from tidemark.llm.frames import packed
 from tidemark.llm.page_blocks import Block, Element, blocks
 from tidemark.llm.page_layouts import LabelledPage, labelled_pages
 
-_SECTIONS = frozenset("main article aside nav header footer form section".split())
+_SECTIONS = frozenset(("main", "article", "aside", "nav", "header", "footer", "form", "section"))
 _WORD = re.compile(r"[^\W\d_]+")
 #: Texts of up to so many words are looked at word by word.
 _SHORT = 30

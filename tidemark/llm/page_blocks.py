@@ -15,33 +15,52 @@ import re
 from dataclasses import dataclass
 
 #: Elements of running text.
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup"
-    " time tt u var wbr".split()
-)
+INLINE = frozenset((
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
+    "label", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
+    "var", "wbr",
+))
 #: Elements without content.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset((
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
+))
 #: Elements whose content is no markup, and those whose content is not shown as text.
-RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("script style title head template iframe noembed noframes noscript svg math object canvas audio video map datalist".split())
+RAW = frozenset((
+    "script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes",
+))
+HIDDEN = frozenset((
+    "script", "style", "title", "head", "template", "iframe", "noembed", "noframes", "noscript", "svg", "math", "object", "canvas",
+    "audio", "video", "map", "datalist",
+))
 #: Elements that end where one of the listed elements begins.
-_PARAGRAPH_ENDS = frozenset(
-    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu"
-    " nav ol p pre search section table ul li dd dt td th tr".split()
-)
+_PARAGRAPH_ENDS = frozenset((
+    "address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure",
+    "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search",
+    "section", "table", "ul", "li", "dd", "dt", "td", "th", "tr",
+))
 ENDED_BY = {
     "p": _PARAGRAPH_ENDS,
     "li": frozenset(["li"]),
     "dt": frozenset(["dt", "dd"]),
     "dd": frozenset(["dt", "dd"]),
-    "td": frozenset("td th tr tbody thead tfoot".split()),
-    "th": frozenset("td th tr tbody thead tfoot".split()),
-    "tr": frozenset("tr tbody thead tfoot".split()),
+    "td": frozenset((
+    "td", "th", "tr", "tbody", "thead", "tfoot",
+)),
+    "th": frozenset((
+    "td", "th", "tr", "tbody", "thead", "tfoot",
+)),
+    "tr": frozenset((
+    "tr", "tbody", "thead", "tfoot",
+)),
     "option": frozenset(["option", "optgroup"]),
-    "head": frozenset("body div p article main header nav section table ul h1 h2 h3".split()),
+    "head": frozenset((
+    "body", "div", "p", "article", "main", "header", "nav", "section", "table", "ul", "h1", "h2", "h3",
+)),
 }
 #: Elements that keep an open list item or table part inside them from being ended by one outside.
-_FENCES = frozenset("ul ol menu dl table".split())
+_FENCES = frozenset((
+    "ul", "ol", "menu", "dl", "table",
+))
 
 _OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
 _COMMENT_END = re.compile(r"--!?>")

@@ -13,54 +13,83 @@ import random
 from dataclasses import dataclass
 
 #: Class words that say nothing.
-NEUTRAL = "wrapper container row col inner box block section page site layout grid clearfix left right top bottom block wide full group item unit part".split()
-MAIN_WORDS = "content main article post entry story body text post-body article-body entry-content main-content post-content story-text prose markdown".split()
+NEUTRAL = [
+    "wrapper", "container", "row", "col", "inner", "box", "block", "section", "page", "site", "layout", "grid", "clearfix", "left",
+    "right", "top", "bottom", "block", "wide", "full", "group", "item", "unit", "part",
+]
+MAIN_WORDS = [
+    "content", "main", "article", "post", "entry", "story", "body", "text", "post-body", "article-body", "entry-content", "main-content",
+    "post-content", "story-text", "prose", "markdown",
+]
 
 #: Kinds of regions that are no main text: the elements they occur in, their class words, and sayings they repeat.
 OTHER = {
     "menu": (
         ["nav", "nav", "div", "ul", "header", "menu"],
-        "nav menu navbar navigation main-nav site-nav top-menu breadcrumb breadcrumbs pagination pager toolbar tabs post-nav toc".split(),
+        [
+            "nav", "menu", "navbar", "navigation", "main-nav", "site-nav", "top-menu", "breadcrumb", "breadcrumbs", "pagination", "pager",
+            "toolbar", "tabs", "post-nav", "toc",
+        ],
         ["Home", "About", "Contact", "Products", "Blog", "Next", "Previous", "Menu", "Start", "Accueil", "Inicio", "Kontakt", "Login", "Sign in"],
     ),
     "header": (
         ["header", "header", "div"],
-        "header masthead site-header topbar banner branding logo page-header tagline".split(),
+        [
+            "header", "masthead", "site-header", "topbar", "banner", "branding", "logo", "page-header", "tagline",
+        ],
         ["Welcome to our site", "Your daily source", "Search", "Sign in", "Skip to content"],
     ),
     "footer": (
         ["footer", "footer", "div"],
-        "footer site-footer copyright legal colophon page-footer footer-content imprint".split(),
+        [
+            "footer", "site-footer", "copyright", "legal", "colophon", "page-footer", "footer-content", "imprint",
+        ],
         ["© 2024", "All rights reserved.", "Privacy policy", "Terms of use", "Imprint", "Impressum", "Contact us", "Mentions légales", "Aviso legal"],
     ),
     "sidebar": (
         ["aside", "aside", "div", "section"],
-        "sidebar side aside widget widgets rail secondary related related-posts recommended popular trending tags archive read-more".split(),
+        [
+            "sidebar", "side", "aside", "widget", "widgets", "rail", "secondary", "related", "related-posts", "recommended", "popular",
+            "trending", "tags", "archive", "read-more",
+        ],
         ["Related articles", "Most read", "Popular posts", "Recent posts", "Archives", "Tags", "You may also like", "Read more", "Lire aussi"],
     ),
     "advert": (
         ["div", "div", "aside", "section", "ins", "p"],
-        "ad ads advert advertisement adv sponsor sponsored promo promoted promotion banner ad-slot adsense commercial".split(),
+        [
+            "ad", "ads", "advert", "advertisement", "adv", "sponsor", "sponsored", "promo", "promoted", "promotion", "banner", "ad-slot",
+            "adsense", "commercial",
+        ],
         ["Advertisement", "Sponsored", "Anzeige", "Publicité", "Publicidad", "Buy now", "Special offer", "Limited offer", "Save today"],
     ),
     "notice": (
         ["div", "div", "section", "dialog", "aside", "p"],
-        "notice cookie cookies cookie-banner consent gdpr alert popup modal overlay message notification paywall cookie-notice disclaimer".split(),
+        [
+            "notice", "cookie", "cookies", "cookie-banner", "consent", "gdpr", "alert", "popup", "modal", "overlay", "message",
+            "notification", "paywall", "cookie-notice", "disclaimer",
+        ],
         ["We use cookies", "Accept all", "Accept", "This site uses cookies to improve your experience.", "Please enable JavaScript", "OK", "Cookie settings"],
     ),
     "form": (
         ["form", "form", "form", "div"],
-        "form search newsletter subscribe signup login contact-form register search-form subscription".split(),
+        [
+            "form", "search", "newsletter", "subscribe", "signup", "login", "contact-form", "register", "search-form", "subscription",
+        ],
         ["Subscribe", "Your name", "Your e-mail", "Submit", "Search", "Sign up for our newsletter", "Send", "Password", "Newsletter", "Subscribe to our newsletter"],
     ),
     "share": (
         ["div", "ul", "section"],
-        "share sharing social social-links share-buttons follow tools".split(),
+        [
+            "share", "sharing", "social", "social-links", "share-buttons", "follow", "tools",
+        ],
         ["Share", "Tweet", "Share this", "Follow us", "Print", "Facebook", "E-mail", "Partager", "Teilen"],
     ),
     "comments": (
         ["section", "div", "div", "ol", "aside"],
-        "comments comment comment-list responses replies discussion comments-area reader-comments disqus comment-content respond reviews".split(),
+        [
+            "comments", "comment", "comment-list", "responses", "replies", "discussion", "comments-area", "reader-comments", "disqus",
+            "comment-content", "respond", "reviews",
+        ],
         ["Comments", "3 comments", "Reply", "Leave a comment", "Leave a reply", "Kommentare", "Commentaires", "says:", "12 responses", "Report"],
     ),
 }
@@ -79,7 +108,7 @@ class Layouts:
 
     def __init__(self, seed: int) -> None:
         self.rng = random.Random(seed)
-        syllables = [c + v for c in "b c d f g h l m n p r s t v w z th st".split() for v in "a e i o u é ü en er ion".split()]
+        syllables = [c + v for c in [*"bcdfghlmnprstvwz", "th", "st"] for v in [*"aeioué", "ü", "en", "er", "ion"]]
         self.words = ["".join(self.rng.choices(syllables, k=self.rng.choice([1, 2, 2, 3, 3]))) for _ in range(30000)]
         self.out: list[str] = []
         self.labels: list[bool] = []
