@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -25,8 +26,6 @@ def chat(spark, rows):
 
 
 def escape(text):
-    import re
-
     return re.sub(r"\[(?=/?INST\])", "~2", re.sub(r"<(?=\||/?s>|</?SYS>>)", "~1", text.replace("~", "~0")))
 
 
@@ -122,7 +121,7 @@ def test_odd_conversations(spark):
 
 def plain_vector(text):
     total = np.zeros(multiset_prints.WIDTH, dtype=np.int64)
-    for p in (text or "").split("\n"):
+    for p in re.sub(r"([.!?]) ", r"\1\n", text or "").split("\n"):
         p = p.strip(" ")
         if p:
             digits = hashlib.sha256(p.encode()).hexdigest() + hashlib.sha256(b"#" + p.encode()).hexdigest()
@@ -153,6 +152,13 @@ def test_fingerprints_against_brute_force(documents):
     assert by_id[10].vector == by_id[9].vector  # order plays no role
 
 
+def test_one_line_texts_are_like_their_edited_texts(documents):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"Some w{rng.randrange(10**6)} and w{rng.randrange(10**6)}{rng.choice('.!?')}" for _ in range(40))
+    found = multiset_prints.compared(documents(*[(i, text()) for i in range(5)])).collect()
+    assert all(r.near_edited > 0.3 and r.near_next < 0.25 for r in found)
+
+
 def test_insert_and_delete(spark):
     v = multiset_prints.vector
     row = spark.createDataFrame([("a\nb", "c", "c\nb\na")], "x string, y string, z string").select(

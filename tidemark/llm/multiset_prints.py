@@ -1,6 +1,7 @@
 """Homomorphic multiset fingerprints of documents. Built-in functions only.
 
-Each paragraph (a line with anything but blanks, trimmed) is hashed to a wide
+Each paragraph (a sentence, or what else of a line there is, with anything but
+blanks, trimmed; a sentence ends at a stop before a blank) is hashed to a wide
 vector of small odd numbers, one for each hexadecimal digit of two SHA-256
 digests, and a document's fingerprint is the sum of its paragraphs' vectors
 modulo 2^16. Sums do not depend on order, and a paragraph is added or taken
@@ -41,10 +42,12 @@ def _wrapped(x: Column) -> Column:
 
 def vector(text: Column) -> Column:
     """The sum of the vectors of a text's paragraphs."""
-    paragraphs = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda p: F.trim(p)), lambda p: p != "")
+    cut = F.regexp_replace(F.coalesce(text, F.lit("")), "([.!?]) ", "$1\n")
+    paragraphs = F.filter(F.transform(F.split(cut, "\n"), lambda p: F.trim(p)), lambda p: p != "")
     zero = F.array_repeat(F.lit(0), WIDTH)
-    total = F.aggregate(paragraphs, zero, lambda total, p: F.zip_with(total, paragraph_vector(p), lambda a, b: _wrapped(a + b)))
-    return total.cast("array<smallint>")
+    # no text has so many paragraphs that sums of numbers up to 15 pass 31 bits
+    total = F.aggregate(paragraphs, zero, lambda total, p: F.zip_with(total, paragraph_vector(p), lambda a, b: a + b))
+    return F.transform(total, _wrapped).cast("array<smallint>")
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:

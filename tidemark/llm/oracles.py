@@ -106,7 +106,7 @@ edited as (
 texts as (select doc_id, 0 as side, own as text from edited union all select doc_id, 1, changed from edited),
 paragraphs as (
   select doc_id, side, sha256(p) || sha256('#' || p) as digits
-  from (select doc_id, side, trim(unnest(string_split(text, chr(10))), ' ') as p from texts) where p <> ''
+  from (select doc_id, side, trim(unnest(string_split(regexp_replace(text, '([.!?]) ', '\1' || chr(10), 'g'), chr(10))), ' ') as p from texts) where p <> ''
 ),
 entries as (
   select doc_id, side, i, sum(2 * instr('0123456789abcdef', substr(digits, i, 1)) - 17) as total
@@ -156,8 +156,8 @@ centre{n} as (
 CENTROID_CLUSTERING = (
     r"""
 with kept as materialized (
-  select row_number() over () as v, vec_id, list_transform(embedding, c -> floor(64 * c::double)::bigint) as xs
-  from embeddings where len(embedding) = 64 and len(list_filter(embedding, c -> c is not null and isfinite(c))) = 64
+  select row_number() over () as v, vec_id, list_transform(embedding, lambda c: floor(64 * c::double)::bigint) as xs
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda c: c is not null and isfinite(c))) = 64
 ),
 entries as materialized (select v, i, xs[i] as x from kept, range(1, 65) as r(i)),
 first as (
