@@ -21,7 +21,8 @@ def plain_verdict(url):
 
     known = url_vocabulary.Vocabulary()
     tokens = set(re.findall(r"[^\W_]+", unquote(url or "").lower()))
-    blocked = tokens & set(known.strict) or len(tokens & set(known.soft)) >= known.soft_limit
+    soft = {t: w for t, w in known.soft if t in tokens}
+    blocked = tokens & set(known.strict) or len(soft) >= 2 and sum(soft.values()) >= known.limit
     return host, path, rule, verdict or ("block" if blocked else "allow")
 
 
@@ -31,6 +32,7 @@ def test_urls(spark):
         *["http://b.com/fr/1", "http://b.com/de/1", "http://bcom/de/1", "http://org/", "http://x.net/xxx/1", "http://x.net/axxx/1", "http://x.net/XXX", "ftp://x.net/%78xx"],
         *["http://free.net/casino", "http://free.net/freedom", "http://free.net/free-free", "http://x.net?poker=1#bet", "http://x.org/porn", "a://b://c.org/es/"],
         *["http://example.org/en/1", "http://example.org?/en/1", "http://myexample.org/es/", "http://ÉX.net/hot_sex", "http://x.net/" + "a/" * 20000 + "porn", "http://x.net/%ff"],
+        *["http://x.net/free/track", "http://x.net/win-farm-hot", "http://x.net/poker", "http://x.net/poker/poker", "http://x.net/free-bets"],
     ]
     pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls + urls[:3])], "page_id long, url string, html string, verdict string")
     found = url_vocabulary.filtered(pages, keep=["page_id"]).select("row.page_id", "host", "path", "rule", "verdict").collect()
@@ -39,6 +41,17 @@ def test_urls(spark):
     assert url_vocabulary.filtered(pages).select("row.*").columns == pages.columns
 
 
+def test_vocabulary_from_a_table(spark):
+    terms = spark.createDataFrame([(" Strict ", None), ("a1", 2), ("a1", 1), ("b2", 1), ("strict", 5), ("", 1), (None, 1)], "term string, weight int")
+    known = url_vocabulary.vocabulary_of(terms)
+    assert known.strict == ("strict",) and known.soft == (("a1", 2), ("b2", 1))
+    scan = url_vocabulary.TermScanner(known)
+    assert [scan(u) for u in ("x://STRICT", "x/a1-b2", "x/a12", None)] == [(1, 0, 0), (0, 2, 3), (0, 0, 0), (0, 0, 0)]
+    with pytest.raises(ValueError, match="more than 2 terms"):
+        url_vocabulary.vocabulary_of(terms, most_terms=2)
+    assert url_vocabulary.TermScanner(url_vocabulary.Vocabulary((), ()))("x") == (0, 0, 0)
+
+
 # ---- toxicity
 
 

@@ -86,10 +86,13 @@ counted as (
       'warez', 'xxx'])) as n_strict,
     len(list_intersect(terms, ['ads', 'banner', 'bet', 'bets', 'bonus', 'cheap', 'click', 'crack', 'dating', 'escort', 'farm', 'free',
       'gambling', 'hot', 'jackpot', 'keygen', 'loan', 'loans', 'lottery', 'naked', 'nude', 'pills', 'poker', 'popup', 'prize', 'replica',
-      'serial', 'sex', 'sexy', 'slots', 'torrent', 'track', 'tracker', 'tracking', 'viagra', 'win', 'winner'])) as n_soft
+      'serial', 'sex', 'sexy', 'slots', 'torrent', 'track', 'tracker', 'tracking', 'viagra', 'win', 'winner'])) as n_soft,
+    len(list_intersect(terms, ['ads', 'bet', 'bets', 'dating', 'escort', 'gambling', 'jackpot', 'keygen', 'loans', 'lottery', 'naked',
+      'nude', 'pills', 'poker', 'popup', 'replica', 'sex', 'sexy', 'slots', 'torrent', 'tracker', 'viagra'])) as n_clear
   from split
 )
-select page_id, host, path, rule, coalesce(decision, case when n_strict > 0 or n_soft >= 2 then 'block' else 'allow' end) as verdict, n_strict, n_soft
+select page_id, host, path, rule, coalesce(decision, case when n_strict > 0 or n_soft >= 2 and n_soft + n_clear >= 3 then 'block' else 'allow' end) as verdict,
+  n_strict, n_soft, n_soft + n_clear as soft_weight
 from counted left join ruled using (page_id)
 """
 

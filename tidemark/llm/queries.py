@@ -49,7 +49,7 @@ def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_vocabulary.filtered(table(spark, sf_dir, "pages"), keep=["page_id"])
-    return found.select("row.page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
+    return found.select("row.page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
