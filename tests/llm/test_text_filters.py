@@ -68,6 +68,23 @@ def test_ordinal_fit_orders_grades():
     assert means == sorted(means)
 
 
+def test_grades_are_thirds_of_strengths_by_the_other_half():
+    rng = np.random.default_rng(2)
+    toxic = rng.integers(0, 2, 900)
+    x = np.stack([rng.poisson(0.2 + 2 * toxic), rng.poisson(0.5, 900)], axis=1).astype(float)
+    half = rng.integers(0, 2, 900)
+    fit = ordinal_toxicity.Fit()
+    grade = ordinal_toxicity.cross_grades(x, toxic, half, fit)
+    assert (grade[toxic == 0] == 0).all() and set(grade[toxic == 1].tolist()) == {1, 2, 3}
+    for own in (0, 1):
+        w, _ = ordinal_toxicity.fit_ordinal(x[half != own], 3 * toxic[half != own], fit.penalty, fit.steps)
+        mine = (half == own) & (toxic == 1)
+        order = (x @ w)[mine]
+        assert order[grade[mine] == 1].max() <= order[grade[mine] == 3].min()
+    one_sided = ordinal_toxicity.cross_grades(x, toxic, np.zeros(900, dtype=int), fit)
+    assert set(one_sided[toxic == 1].tolist()) == {1}
+
+
 def test_toxicity_learns_and_scores(spark, documents, many):
     rng = np.random.default_rng(1)
     neutral = [f"mot{chr(97 + i)}{chr(97 + k)}" for i in range(20) for k in range(20)]

@@ -6,8 +6,10 @@ The output is the expected grade. Features are words and word beginnings that
 the labelled sample has more often in toxic texts than chance allows; a text is
 scanned once for all of them by an Aho-Corasick automaton.
 
-Labels only tell toxic texts apart, so grades of toxic texts follow from how
-many of their words are features: few 1, some 2, many 3.
+Labels only tell toxic texts apart. The sample is halved by a hash of the texts,
+and a toxic text's strength is the score that a model of the other half gives it;
+the weakest third has grade 1, the strongest grade 3. So severity says how
+strongly a text looks toxic to a model that has not seen it; nobody judged it.
 
 Defined results: a null text has no features and gets the grade of a text
 without any; without both classes among the labels nothing is learned and every
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import packed, stored
 
-#: Highest grade, and from how many hits a toxic text has the second and third grade.
-GRADES, SOME, MANY = 3, 3, 6
+#: Highest grade.
+GRADES = 3
 _WORD = re.compile(r"[^\W\d_]+")
 _STEM = 5
 
@@ -144,6 +146,21 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray, penalty: float, steps: int) -
     return params[:size], params[size] + np.concatenate(([0.0], np.cumsum(np.exp(params[size + 1 :]))))
 
 
+def cross_grades(x: np.ndarray, toxic: np.ndarray, half: np.ndarray, fit: Fit) -> np.ndarray:
+    """0 for texts that are not toxic; for the others the third of the strengths that models of the other halves give them.
+
+    Where a half lacks a class there is nothing to tell strengths by, and all toxic texts have grade 1.
+    """
+    bad, strength = toxic == 1, np.zeros(len(toxic))
+    for own in (0, 1):
+        other = half != own
+        if len(set(toxic[other].tolist())) == 2:
+            weights, _ = fit_ordinal(x[other], GRADES * toxic[other], fit.penalty, fit.steps)
+            strength[~other] = x[~other] @ weights
+    lower, upper = np.quantile(strength[bad], [1 / 3, 2 / 3])
+    return np.where(bad, 1 + (strength > lower).astype(int) + (strength > upper), 0)
+
+
 NOTHING = Model((), np.zeros(0), np.full(GRADES, np.inf))
 
 
@@ -176,10 +193,12 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), text: str = "tex
     features = tuple(r["feature"] for r in chosen.orderBy(F.desc("z"), "feature").limit(fit.features).collect())
     if not features:
         return NOTHING
-    hits = _hits(sample.select(F.col("toxic").cast("long").alias("key"), "text"), features).collect()
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    hits = _hits(sample.select((F.col("toxic").cast("long") + 2 * half).alias("key"), "text"), features).collect()
     counts = [Counter(dict(zip(r["at"], r["n"], strict=True))) for r in hits]
-    grade = [0 if not r["key"] else 1 + (s >= SOME) + (s >= MANY) for r, s in zip(hits, (sum(n for i, n in c.items() if features[i].endswith(" ")) for c in counts), strict=True)]
-    weights, thresholds = fit_ordinal(dense(counts, len(features)), np.array(grade), fit.penalty, fit.steps)
+    keys = np.array([r["key"] for r in hits])
+    grade = cross_grades(dense(counts, len(features)), keys % 2, keys // 2, fit)
+    weights, thresholds = fit_ordinal(dense(counts, len(features)), grade, fit.penalty, fit.steps)
     return Model(features, weights, thresholds)
 
 
