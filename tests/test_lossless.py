@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +156,29 @@ def test_marked_exports_and_their_summary(spark, rows, tmp_path):
         "output_path": f"{tmp_path}/marked.csv", "description": "Some rows.",
     }
     assert len(list((tmp_path / "_export_summary.json").glob("part-*"))) == 1
+
+
+def test_inventory_counts_records_where_spark_reads_them(spark, tmp_path):
+    files = {
+        "a+b %20 c.csv": ('A,"B ""q"""\n"1\n2",x\n"y, z",\n\n3\n', ["A", 'B "q"'], 3),
+        "Connections.csv": ('Notes, with, commas, in, them\n"More, notes"\n\nFirst Name,URL\nAna,u\nBo,v\n', ["First Name", "URL"], 2),
+        "one.csv": ('Name\n"a,b"\nc\n', ["Name"], 2),
+        "header.csv": ("﻿A,B,C\n", ["A", "B", "C"], 0),
+        "wide.csv": ('"A\nB",C\n1,2\n', ["A\nB", "C"], 1),
+        "SearchQueries.csv": ('Time,Query,More\n1,a,b,c\n2,"x"y\n\n', ["Time", "Query,More"], 2),
+    }
+    for name, (content, *_) in files.items():
+        put(tmp_path / "exp" / "sub dir" / name, content)
+    bad = {"empty.csv": "", "open.csv": 'A,B\n1,"x\n', "late.csv": "A,B\n" + "1,2\n" * 5000 + "1,2,3\n"}
+    for name, content in bad.items():
+        put(tmp_path / "exp" / name, content)
+    (tmp_path / "exp" / "latin.csv").write_bytes("Nome,Ação\nJosé,é\n".encode("latin-1"))
+    found = {r.file_name: r for r in inventory.build_inventory(spark, {"basic": ("e", str(tmp_path / "exp"))}, F.lit(None)).collect()}
+    assert set(found) == {*files, *bad, "latin.csv"}
+    for name, (content, names, n) in files.items():
+        r = found[name]
+        assert (r.read_success, r.row_count, json.loads(r.column_names), r.detected_encoding, r.folder_name) == (True, n, names, "utf-8", "sub dir"), name
+        assert r.file_size_bytes == len(content.encode()) and r.column_count == len(names)
+    assert all(not found[name].read_success and found[name].error_message and found[name].row_count is None for name in bad)
+    latin = found["latin.csv"]
+    assert (latin.detected_encoding, json.loads(latin.column_names), latin.row_count) == ("latin-1", ["Nome", "Ação"], 1)

@@ -40,8 +40,8 @@ def table(columns, records):
     return [columns[i] for i in order], sorted(repr([plain(r[i]) for i in order]) for r in records)
 
 
-# The only queries that run Python on executors: readers that must follow a file's bytes or row order.
-PYTHON = {"a2_read_csv_after_preamble", "a4_file_inventory"}
+# The only query that runs Python on executors: a reader that must follow a file's row order.
+PYTHON = {"a2_read_csv_after_preamble"}
 
 
 def check_plan(name, plan):
