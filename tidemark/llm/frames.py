@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for paths in _OPEN:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of all tables that ``stored`` writes inside the block."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield paths
+    finally:
+        _OPEN[:] = [p for p in _OPEN if p is not paths]
+
+
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` names it inside a lambda."""
     return F.transform(F.array(value), body)[0]
