@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import best_fit, covering_simhash, entropy_mixing, line_rules, ordinal_toxicity
-from tidemark.llm.frames import stored, table
+from tidemark.llm.frames import noted, removed, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,7 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; a stage's result is written, and what came before it in the shared folder goes then."""
     docs = table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        with noted() as written:
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        removed(spark, before + written[:-1])
+        before = written[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
