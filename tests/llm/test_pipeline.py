@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline
 from tidemark.llm import entropy_mixing, line_rules, ordinal_toxicity
-from tidemark.llm.frames import stored, table
+from tidemark.llm.frames import noted, stored, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,7 +70,11 @@ def test_every_stage_against_brute_force(spark):
         filled[r.sequence_id] += r.length
     assert total == {d: n * copies[d] for d, n in length.items()} and max(filled.values()) <= 1024
     assert len(filled) <= 1.05 * sum(total.values()) / 1024 + 1
-    assert corpus_pipeline.run(spark, SF).count() == len(pieces)
+    with noted() as written:
+        assert corpus_pipeline.run(spark, SF).count() == len(pieces)
+    # only the last stage's input and own tables are left in the shared folder
+    left = [re.sub(r"-[0-9a-f]{32}$", "", p.rpartition("/")[2]) for p in written if Path(p).exists()]
+    assert left[0] == "mixing-sources-to-target-weights" and len(left) < 8 < len(written)
 
 
 def test_stages_take_odd_rows(spark, many):
