@@ -138,6 +138,8 @@ def test_language_against_brute_force(documents, many):
     docs = documents(*rows, (100, "no language", "s", None))
     profiles = rank_order_lang.learn(docs)
     assert [p.lang for p in profiles] == ["en", "fr"]
+    with pytest.raises(ValueError, match="more than 1 different"):
+        rank_order_lang.learn(docs, rank_order_lang.Sample(languages=1))
     by_rank = {lang: plain_grams("\n".join(r[1] for r in rows if r[3] == lang)) for lang in texts}
     found = {r.doc_id: r for r in rank_order_lang.identified(docs, profiles).collect()}
     assert all(found[r[0]].lang_pred == r[3] for r in rows)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import packed
+from tidemark.llm.frames import packed, stored
 
 UNKNOWN = "und"
 #: n-grams in a profile, and those of a text that are compared with it.
@@ -37,9 +37,14 @@ _DRAWS = 1 << 20
 
 @dataclass(frozen=True)
 class Sample:
-    """Profiles are learned from at most ``per_language`` texts of each language, those with the least hashes of doc_id."""
+    """Profiles are learned from at most ``per_language`` texts of each language, those with the least hashes of doc_id.
+
+    More than ``languages`` different languages are an error: a column with so many values names something else, and what
+    is broadcast and collected has a row per language.
+    """
 
     per_language: int = 1000
+    languages: int = 1000
 
 
 @cache
@@ -102,7 +107,9 @@ def learn(docs: DataFrame, sample: Sample = Sample(), text: str = "text", lang:
     cluster; the driver gets at most ``PROFILE`` n-grams of a language.
     """
     rows = packed(docs, [], doc_id=doc_id, text=text, lang=lang).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "lang-counts")
+    if counts.limit(sample.languages + 1).count() > sample.languages:
+        raise ValueError(f"{lang} has more than {sample.languages} different values")
     ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw"))
     # by the least hashes alone some twice as many as wanted are left before they are shuffled, so that no task gets all
     # rows of a language; the counts are a row per language
