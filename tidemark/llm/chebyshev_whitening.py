@@ -22,7 +22,7 @@ magnitude is positive. An entry of more than 2^45 after scaling is an error.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import packed, stored
-from tidemark.llm.vectors import checked, column_sums, matrix, usable, whole
+from tidemark.llm.vectors import blocks_of, checked, column_sums, matrices, matrix, usable, whole
 
 #: Entries beyond this would not be whole numbers of a double after centring.
 LARGEST = 1 << 45
@@ -85,19 +85,19 @@ def deviations(x: np.ndarray, n: int, sums: tuple[int, ...]) -> list[int]:
     return (apart * apart).sum(axis=1).tolist()
 
 
-def _added(vectors: DataFrame, shape: tuple[int, int], part) -> np.ndarray:
-    """The sum over all batches of ``part(x)``, a matrix: one per task, added by Spark."""
+def _added(blocks: DataFrame, size: int, shape: tuple[int, int], part: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all blocks of ``part(x)``, a matrix: one per task, added by Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, met = np.zeros(shape), False
         for batch in batches:
-            if batch.num_rows:
-                total += part(batch.column("x"))
+            for x in matrices(batch, size):
+                total += part(x)
                 met = True
         flat = total.ravel() if met else np.zeros(0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["at", "value"])
 
-    rows = vectors.select("x").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
+    rows = blocks.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
     found = np.zeros(shape[0] * shape[1])
     for r in rows:
         found[r["at"]] = r["value"]
@@ -121,23 +121,23 @@ def filtered(times, block: np.ndarray, product: np.ndarray, cut: float, largest:
     return now
 
 
-def fit(vectors: DataFrame, size: int, ways: Whitening = Whitening()) -> Fitted:
-    """The leading eigenvectors of the covariance of ``x`` over ``vectors``, which has each vector once."""
-    n, sums = column_sums(vectors, size, LARGEST)
+def fit(blocks: DataFrame, size: int, ways: Whitening = Whitening()) -> Fitted:
+    """The leading eigenvectors of the covariance over ``blocks``, which have each vector once."""
+    n, sums = column_sums(blocks, size)
     shift = tuple(sums)
     nothing = Fitted(n, shift, np.zeros((size, 0)), np.zeros(0), np.zeros(0), 0.0)
     if not n or not size:
         return nothing
-    trace = float(_added(vectors, (1, 1), lambda c: np.array([[(centred(matrix(c, size), n, shift) ** 2).sum()]]))[0, 0]) / n
+    trace = float(_added(blocks, size, (1, 1), lambda x: np.array([[(centred(x, n, shift) ** 2).sum()]]))[0, 0]) / n
     if not trace:
         return nothing
 
     def times(block: np.ndarray) -> np.ndarray:
-        def part(column: pa.Array) -> np.ndarray:
-            x = centred(matrix(column, size), n, shift)
-            return x.T @ (x @ block)
+        def part(x: np.ndarray) -> np.ndarray:
+            apart = centred(x, n, shift)
+            return apart.T @ (apart @ block)
 
-        return _added(vectors, block.shape, part) / n
+        return _added(blocks, size, block.shape, part) / n
 
     wanted, width = min(ways.components, size), min(ways.block, size)
     block = np.linalg.qr(np.random.default_rng(ways.seed).standard_normal((size, width)))[0]
@@ -162,18 +162,18 @@ def _signed(basis: np.ndarray) -> np.ndarray:
     return basis * np.sign(basis[np.abs(basis).argmax(axis=0), np.arange(basis.shape[1])])
 
 
-def identity_error(vectors: DataFrame, size: int, found: Fitted) -> float:
+def identity_error(blocks: DataFrame, size: int, found: Fitted) -> float:
     """How far the whitened vectors' covariance, measured on the data, is from the identity."""
     k = found.basis.shape[1]
     if not k:
         return 0.0
     weights = found.basis / np.sqrt(found.values)
 
-    def part(column: pa.Array) -> np.ndarray:
-        y = centred(matrix(column, size), found.n, found.sums) @ weights
+    def part(x: np.ndarray) -> np.ndarray:
+        y = centred(x, found.n, found.sums) @ weights
         return np.vstack([y.T @ y, y.sum(axis=0, keepdims=True)])
 
-    total = _added(vectors, (k + 1, k), part) / found.n
+    total = _added(blocks, size, (k + 1, k), part) / found.n
     return float(np.abs(total[:k] - np.outer(total[k], total[k]) - np.eye(k)).max())
 
 
@@ -189,10 +189,10 @@ def whitened(
     rows = rows.withColumns({"vec_id": F.col("vec_id").cast("long"), "vector": F.col("vector").cast("array<double>")})
     good = rows.filter(usable(F.col("vector"))).withColumn("x", whole(F.col("vector"), ways.scale)).drop("vector")
     # each distinct vector once; equal ones are dropped before the shuffle, so a frequent one costs a row per task
-    vectors = stored(good.select("x").distinct(), "whitening-vectors")
-    size = vectors.agg(F.max(F.size("x")).alias("d")).first()["d"] or 0
-    found = fit(vectors, size, ways)
-    error = identity_error(vectors, size, found)
+    size = good.agg(F.max(F.size("x")).alias("d")).first()["d"] or 0
+    blocks = stored(blocks_of(good.select("x").distinct(), size, LARGEST), "whitening-blocks")
+    found = fit(blocks, size, ways)
+    error = identity_error(blocks, size, found)
     weights, n, sums = found.basis / np.sqrt(found.values), found.n, found.sums
     carried = [c for c in good.columns if c != "x"]
     types = ", ".join(f"{c} {good.schema[c].dataType.simpleString()}" for c in carried)

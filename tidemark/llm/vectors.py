@@ -43,22 +43,46 @@ def checked(found: np.ndarray, largest: int = LARGEST) -> np.ndarray:
     return found
 
 
-def column_sums(vectors: DataFrame, size: int, largest: int = LARGEST) -> tuple[int, list[int]]:
-    """How many rows ``x`` has, and the exact sum of each of its ``size`` components.
+def blocks_of(vectors: DataFrame, size: int, largest: int) -> DataFrame:
+    """(kind, cells): the whole-number vectors ``x`` as binary matrices of ``size`` columns, in the smallest kind of integer that holds them.
 
-    A task sends one row per component; the sums are decimals, so no number of rows overflows them.
+    What is read again and again then costs little more than its bytes. The
+    order of the rows plays no role in them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = checked(matrix(batch.column("x"), size), largest)
+            if len(x):
+                most = max(-int(x.min()), int(x.max()))
+                kind = next(k for k in ("<i2", "<i4", "<i8") if most <= np.iinfo(k).max)
+                yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([x.astype(kind).tobytes()], pa.binary())], ["kind", "cells"])
+
+    return vectors.select("x").mapInArrow(run, "kind string, cells binary")
+
+
+def matrices(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
+    """The matrices of ``blocks_of``, as 64-bit integers."""
+    for kind, cells in zip(batch.column("kind").to_pylist(), batch.column("cells"), strict=True):
+        yield np.frombuffer(cells.as_buffer(), kind).reshape(-1, size).astype(np.int64)
+
+
+def column_sums(blocks: DataFrame, size: int) -> tuple[int, list[int]]:
+    """How many rows the matrices have, and the exact sum of each of their ``size`` columns.
+
+    A task sends one row per column; the sums are decimals, so no number of rows overflows them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sums = 0, np.zeros(size, dtype=object)
         for batch in batches:
-            part = checked(matrix(batch.column("x"), size), largest)
-            n += len(part)
-            sums += part.sum(axis=0).astype(object)
+            for part in matrices(batch, size):
+                n += len(part)
+                sums += part.sum(axis=0).astype(object)
         values = pa.array([*map(str, sums), str(n)], pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1, dtype=np.int32)), values], ["at", "value"])
 
-    parts = vectors.select("x").mapInArrow(run, "at int, value string")
+    parts = blocks.mapInArrow(run, "at int, value string")
     rows = parts.groupBy("at").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value")).collect()
     found = {r["at"]: int(r["value"]) for r in rows}
     return found.get(size, 0), [found.get(i, 0) for i in range(size)]
