@@ -67,3 +67,13 @@ def test_best_row_per_key_is_limited_before_the_shuffle(plans):
     assert "SortAggregate" not in text and text.count("Exchange") == 1
     before = text.partition("Exchange")[2]
     assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_counts_of_stored_tables_read_no_column(spark, tmp_path):
+    from tidemark.sources.warehouse import Warehouse, warehouse_census
+
+    store = Warehouse(spark, str(tmp_path))
+    for name in ("a", "b"):
+        store.replace(spark.range(100).selectExpr("id", "cast(id as string) as text"), "bronze", name)
+    plan = warehouse_census(store)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<>") == plan.count("FileScan parquet") == 2
