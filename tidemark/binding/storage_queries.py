@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.binding.inputs import DRIVER_TABLES
 from tidemark.binding.model_queries import CLEANED, RUN
+from tidemark.binding.oracle_models import AS_OF
 from tidemark.binding.registry import Context, query
 from tidemark.binding.row_texts import texts, texts_sql
 from tidemark.functions import lexicon
@@ -254,6 +255,28 @@ def bi_export(c: Context) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _calendar_days_sql() -> str:
+    """All days that the published tables name, in one column; ``YYYY-MM`` is its month's first day."""
+    parts = []
+    for mart, columns in exports.CALENDAR_SOURCES.items():
+        for name in columns:
+            day = f"try_cast({name} || '-01' as date)" if name.endswith("year_month") else f"cast({name} as date)"
+            parts.append(f"select {day} as d from {_mart_cte(mart)}")
+    return " union all ".join(parts)
+
+
+@query(
+    "k1_published_calendar",
+    f"""select cast(d as date) as date, cast(strftime(d, '%Y%m%d') as bigint) as date_key, strftime(d, '%Y-%m') as year_month,
+        isodow(d) in (6, 7) as is_weekend
+    from (select unnest(generate_series(date_trunc('month', min(d)), cast(last_day(max(d)) as timestamp), interval '1' day)) as d
+        from ({_calendar_days_sql()}) named) days""",
+)
+def published_calendar(c: Context) -> DataFrame:
+    """The calendar over every date column of the published marts."""
+    return exports.calendar(c.models, AS_OF).select("date", "date_key", "year_month", "is_weekend")
+
+
 @query("k2_declared_exports", exported_rows_sql(exports.EXPORTS, _mart_cte))
 def declared_exports(c: Context) -> DataFrame:
     """Whole rows of all declared exports as they are shaped."""
