@@ -68,3 +68,19 @@ def test_every_query_has_sql_and_reads_driver_tables():
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() > 0 and df.columns[:2] == ["connection_year", "connection_month"]
+
+
+def test_loads_with_rejects_match_sql_over_many_files(spark, duck):
+    """The tables come in many splits, so the export is written as many files."""
+    name, sizes = "c3_load_with_rejects", ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(s) for s in sizes]
+    try:
+        for size in sizes:
+            spark.conf.set(size, "4k")
+        df = QUERIES[name](spark, DATA)
+        got = table(df.columns, df.collect())
+    finally:
+        for size, value in zip(sizes, before, strict=True):
+            spark.conf.set(size, value)
+    cursor = duck.execute(ORACLES[name])
+    assert got == table([d[0] for d in cursor.description], cursor.fetchall())

@@ -71,9 +71,11 @@ _ODD_LINES = """select o_orderkey, case
         else o_orderkey || ',' || o_orderstatus || ',"' || o_orderpriority || ', ""' || o_custkey || repeat('"', 3) end as line from orders"""
 
 
-def _odd_file(c: Context, header: str) -> str:
-    """Orders as CSV lines, every seventh with two fields too many, of which the first is empty, every eleventh with one too few."""
-    path = scratch_path(c.spark, "odd-csv")
+def _odd_file(c: Context, header: str, path: str) -> str:
+    """Orders as CSV lines, every seventh with two fields too many, of which the first is empty, every eleventh with one too few.
+
+    The header begins every written file, so the files are not to be copied by a job that cuts or joins them.
+    """
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     c.sql(_ODD_LINES).select(F.concat(F.when(first, F.lit(f"{header}\n")).otherwise(F.lit("")), "line").alias("value")).write.text(path)
     return path
@@ -89,7 +91,7 @@ def _odd_file(c: Context, header: str) -> str:
 )
 def rejected_records(c: Context) -> DataFrame:
     """Rows with surplus fields are put aside with their text, short ones end with NULL."""
-    records = csv_exports.read_records(c.spark, _odd_file(c, "order_key,status,note"), multiline=False)
+    records = csv_exports.read_records(c.spark, _odd_file(c, "order_key,status,note", scratch_path(c.spark, "odd-csv")), multiline=False)
     accepted = csv_exports.accepted_records(records).withColumn("rejected", F.lit(None).cast("string"))
     return accepted.unionByName(csv_exports.rejected_records(records).withColumnRenamed("record", "rejected"), allowMissingColumns=True)
 
@@ -487,8 +489,7 @@ def load_with_rejects(c: Context) -> DataFrame:
     """A load that runs twice under one name: records with surplus fields are counted and kept once; short ones lack the required last field."""
     directory = scratch_path(c.spark, "rejects")
     store = Warehouse(c.spark, scratch_path(c.spark, "bronze"))
-    odd = c.spark.read.text(_odd_file(c, "Alert Parameters,Query Context,Saved Search ID"))
-    odd.write.text(f"{directory}/{EXPORT_TABLES['saved_job_alerts'].file}")
+    _odd_file(c, "Alert Parameters,Query Context,Saved Search ID", f"{directory}/{EXPORT_TABLES['saved_job_alerts'].file}")
     for _ in range(2):
         load_table(c.spark, "saved_job_alerts", directory, store, multiline=False, load_id="c3")
     kept = store.read("raw", "rejected_records").agg(F.count("record").alias("kept_texts"))
