@@ -322,3 +322,17 @@ def test_sanitizing_runs_no_job_and_shuffles_the_table_once(spark):
     assert len({r.first_name for r in found.values()}) == 7 and "SortAggregate" not in plan
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(__h" in line and "__v" in line]
     assert len(wide) <= 1
+
+
+def test_cells_of_a_value_that_all_rows_have_do_not_meet_in_one_task(spark):
+    """By the last shuffle before the join; counted by the hash that deals it out."""
+    rows = 20000
+    cells = spark.range(rows).select(F.xxhash64("id").alias("__h"), F.xxhash64(F.lit(1), "id").alias("__k"), "id")
+    cells = cells.select("__h", "__k", F.explode(F.array(F.struct(F.lit(0).alias("at"), F.lit("all").alias("value")), F.struct(F.lit(1).alias("at"), F.col("id").cast("string").alias("value")))).alias("c"))
+    cells = cells.select("__h", "__k", "c.*")
+    counted = cells.groupBy("at", "value").agg(F.count(F.lit(1)).alias("__n"))
+    met = masking._join_spread(cells, masking.number_sorted(counted, within="at"), counted)
+    assert met.count() == 2 * rows and met.where("at = 0 and index = 1").count() == rows
+    assert met.where("at = 1").select("index").distinct().count() == rows
+    largest = met.groupBy("at", "value", "__piece").count().agg(F.max("count")).first()[0]
+    assert largest < rows / 32

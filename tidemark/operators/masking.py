@@ -76,13 +76,28 @@ class Tokens:
     only: Column | None = None
 
 
+def _join_spread(cells: DataFrame, dictionary: DataFrame, counted: DataFrame, pieces: int = 64) -> DataFrame:
+    """Cells with their numbers; the cells of a frequent value meet ``pieces`` copies of its entry.
+
+    Frequent is a value that a thousandth of all cells have, so there are a
+    thousand of them at most, and no task gets all cells of a value that every row has.
+    """
+    often = F.col("__n") * 1000 >= counted.agg(F.sum("__n")).scalar()
+    frequent = counted.where(often).select("at", "value", F.lit(True).alias("__often"))
+    piece = F.when(F.col("__often"), F.pmod("__h", F.lit(pieces)).cast("int")).otherwise(0)
+    spread = cells.join(F.broadcast(frequent), ["at", "value"], "left").withColumn("__piece", piece).drop("__often")
+    copies = F.when(often, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
+    entries = dictionary.select("at", "value", "index", F.explode(copies).alias("__piece"))
+    return spread.join(entries, ["at", "value", "__piece"])
+
+
 def tokenize_columns(df: DataFrame, rules: Mapping[str, Tokens]) -> DataFrame:
     """Replace the values of several columns by tokens; NULL and blank become NULL.
 
     The tokens of a row depend on its masked values alone. So the distinct
     combinations of them, which are narrow, get the numbers of their values from
-    one dictionary of all columns, and the table meets them once, by two hashes
-    of the combination.
+    one dictionary of all columns, the cells of a frequent value in several pieces,
+    and the table meets them once, by two hashes of the combination.
     """
     if not rules:
         return df
@@ -101,9 +116,12 @@ def tokenize_columns(df: DataFrame, rules: Mapping[str, Tokens]) -> DataFrame:
     combinations = df.select(*[v.alias(n) for n, v in values.items()]).distinct().withColumns(hashes)
     cells = F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.col(n).alias("value")) for i, n in enumerate(values)])).alias("cell")
     cells = combinations.select("__h", "__k", cells).select("__h", "__k", "cell.*").where(F.col("value") != "")
-    dictionary = number_sorted(cells.select("at", "value").distinct(), within="at")
+    counted = cells.groupBy("at", "value").agg(F.count(F.lit(1)).alias("__n"))
+    dictionary = number_sorted(counted, within="at")
     numbers = [F.max(F.when(F.col("at") == i, F.col("index"))).alias(f"__i{i}") for i in range(len(columns))]
-    numbered = cells.join(dictionary, ["at", "value"]).groupBy("__h", "__k").agg(*numbers)
+    # The cells of a combination lie in other partitions, so an aggregate before the shuffle would only fill its map.
+    met = _join_spread(cells, dictionary, counted).select("__h", "__k", "at", "index").repartition("__h", "__k")
+    numbered = met.groupBy("__h", "__k").agg(*numbers)
     joined = df.withColumns(values).withColumns(hashes).join(numbered, ["__h", "__k"], "left")
 
     def final(c: str) -> Column:
