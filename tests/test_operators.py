@@ -336,3 +336,25 @@ def test_cells_of_a_value_that_all_rows_have_do_not_meet_in_one_task(spark):
     assert met.where("at = 1").select("index").distinct().count() == rows
     largest = met.groupBy("at", "value", "__piece").count().agg(F.max("count")).first()[0]
     assert largest < rows / 32
+
+
+def test_audit_reads_the_written_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", None), ("a", None), ("a", "x"), (None, "x"), (None, "x")], "k string, v string").write.parquet(path)
+    stored, raw = spark.read.parquet(path), spark.range(7).withColumn("id", F.nullif("id", F.lit(0)))
+    contract = contracts.TableContract(required=("k", "v"), unique=("k", "v"))
+
+    def audit(table, contract=contract):
+        names = dict(table_key="t", source_file="t.csv", source_path="", export_type="basic")
+        return contracts.audit_row(raw, table, contract, **names, loaded_at=F.lit(None).cast("timestamp_ntz"))
+
+    found = audit(stored)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Scan parquet") == 1
+    one = found.first()
+    assert (one.source_row_count, one.row_count, one.duplicate_rows_after_transform) == (7, 5, 2)
+    assert (one.null_rate_by_column, one.source_null_rate_by_column) == ('{"k":0.4,"v":0.4}', '{"id":0.1429}')
+    empty = audit(stored.limit(0)).first()
+    assert (empty.row_count, empty.duplicate_rows_after_transform, empty.null_rate_by_column) == (0, 0, '{"k":0.0,"v":0.0}')
+    assert audit(stored.select("v")).first().duplicate_rows_after_transform is None
+    assert audit(stored, contracts.TableContract(required=("k",))).first().duplicate_rows_after_transform == 0

@@ -24,11 +24,24 @@ MONTH_FIRST_AT = rf"(?i)^[a-z]{{3,9}} \d{{1,2}}, \d{{4}} {CLOCK}$"
 NAMED_SHAPE = rf"(?i)^((\d{{1,2}} )?[a-z]{{3,9}} \d{{4}}|[a-z]{{3,9}} \d{{1,2}}, \d{{4}}( {CLOCK})?)$"
 
 
+_MONTHS = "jan,feb,mar,apr,may,jun,jul,aug,sep,oct,nov,dec"
+
+
+def _day(year: Column, month: Column, day: Column) -> Column:
+    """Midnight of a day given by numbers, which costs less than a parser; NULL if there is none."""
+    none = F.lit(0)
+    return F.try_make_timestamp_ntz(year, month, day, none, none, none.cast("decimal(16,6)"))
+
+
 def _named_day(c: Column) -> Column:
     """``05 Jan 2020``, ``Jan 2020`` or ``January 5, 2020`` in the first words of a text."""
-    words = F.substring_index(c, " ", 3)
-    short = F.regexp_replace(words, r"([A-Za-z]{3})[A-Za-z]+(?= )", "$1")
-    return F.try_to_date(short, "[d ]MMM[ d,] yyyy")
+    first = F.substring_index(c, " ", 1)
+    second = F.substring_index(F.substring_index(c, " ", 2), " ", -1)
+    day_first = first < "A"
+    month = F.find_in_set(F.lower(F.left(F.when(day_first, second).otherwise(first), F.lit(3))), F.lit(_MONTHS))
+    day = F.when(day_first, first).when(F.right(second, F.lit(1)) == ",", F.substring_index(second, ",", 1)).otherwise("1")
+    year = F.substring_index(F.substring_index(c, " ", 3), " ", -1)
+    return _day(year.cast("int"), month, day.cast("int"))
 
 
 def _clock(c: Column) -> Column:
@@ -41,22 +54,23 @@ def _clock(c: Column) -> Column:
 
 
 def _us_day(c: Column) -> Column:
-    """``M/d/yy`` at the start of a text; years 69..99 belong to the 1900s, 00..68 to the 2000s."""
-    year = F.left(F.substring_index(c, "/", -1), F.lit(2))
-    century = F.when(year >= "69", F.lit("/19")).otherwise(F.lit("/20"))
-    return F.try_to_date(F.concat(F.substring_index(c, "/", 2), century, year), "M/d/yyyy")
+    """``M/d/yy`` or ``M/d/yyyy``; of two digits 69..99 belong to the 1900s, 00..68 to the 2000s."""
+    year = F.substring_index(c, "/", -1)
+    century = F.when(F.length(year) > 2, 0).when(year >= "69", 1900).otherwise(2000)
+    day = F.substring_index(F.substring_index(c, "/", 2), "/", -1)
+    return _day(year.cast("int") + century, F.substring_index(c, "/", 1).cast("int"), day.cast("int"))
 
 
 def parse_us_datetime(c: Column | str) -> Column:
     """``04/05/26, 09:15 AM``; anything else is NULL."""
     text = as_text(c)
-    return F.when(text.rlike(US_SHAPE), _us_day(text).cast("timestamp_ntz") + _clock(text))
+    return F.when(text.rlike(US_SHAPE), _us_day(F.substring_index(text, ",", 1)) + _clock(text))
 
 
 def parse_month_name_datetime(c: Column | str) -> Column:
     """``Apr 10, 2025 08:00 AM``; anything else is NULL."""
     text = as_text(c)
-    return F.when(text.rlike(MONTH_FIRST_AT), _named_day(text).cast("timestamp_ntz") + _clock(text))
+    return F.when(text.rlike(MONTH_FIRST_AT), _named_day(text) + _clock(text))
 
 
 def split_range(c: Column | str, separator: str = " - ") -> tuple[Column, Column]:
@@ -76,10 +90,9 @@ def parse_mixed(c: Column | str) -> Column:
     text = as_text(c)
     clock = F.when(F.upper(F.right(text, F.lit(2))).isin("AM", "PM"), _clock(text)).otherwise(F.make_dt_interval())
     us_text = F.substring_index(F.substring_index(text, ",", 1), " ", 1)
-    us_day = F.when(us_text.rlike(r"/\d\d$"), _us_day(us_text)).otherwise(F.try_to_date(us_text, "M/d/yyyy"))
-    day = F.when(text.rlike(NAMED_SHAPE), _named_day(text)).when(text.rlike(US_ANY_SHAPE), us_day)
+    day = F.when(text.rlike(NAMED_SHAPE), _named_day(text)).when(text.rlike(US_ANY_SHAPE), _us_day(us_text))
     iso = F.substring_index(text, "UTC", 1).try_cast("timestamp_ntz")
-    return F.when(text.rlike(ISO_SHAPE), iso).otherwise(day.cast("timestamp_ntz") + clock)
+    return F.when(text.rlike(ISO_SHAPE), iso).otherwise(day + clock)
 
 
 def to_date(c: Column | str) -> Column:

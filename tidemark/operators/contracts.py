@@ -108,19 +108,31 @@ def null_rates(df: DataFrame) -> DataFrame:
     return wide.unpivot([], names, "column_name", "null_rate")
 
 
-def load_profile(df: DataFrame, prefix: str, *more: Column, without: str | None = None) -> DataFrame:
+def load_profile(
+    df: DataFrame, prefix: str, *more: Column, without: str | None = None, unique: Sequence[str] = ()
+) -> DataFrame:
     """One row: row count, column count and the null-rate map of a table as JSON, and ``more`` aggregates.
 
     Rates are keyed by normalised column name on both sides of a transform, so
-    before and after can be matched.
+    before and after can be matched. With a ``unique`` key, whose columns the
+    table has, the rows are counted per key first, so that the same scan gives
+    ``duplicate_rows``, the rows beyond the first of each key.
     """
     pairs: list[Column] = []
     names = [name for name in df.columns if name != without]
-    for name in names:
-        rate = F.avg(F.col(f"`{name}`").isNull().cast("int").cast("double"))
+    rows = F.count(F.lit(1))
+    rates = {name: F.avg(F.col(f"`{name}`").isNull().cast("int").cast("double")) for name in names}
+    if unique:
+        nulls = {name: f"__null_{i}" for i, name in enumerate(names)}
+        counted = [F.count_if(F.col(f"`{name}`").isNull()).alias(alias) for name, alias in nulls.items()]
+        df = df.groupBy(*unique).agg(rows.alias("__rows"), *counted)
+        rows = F.coalesce(F.sum("__rows"), F.lit(0))
+        rates = {name: F.sum(alias).cast("double") / F.sum("__rows").cast("double") for name, alias in nulls.items()}
+        more = (*more, F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("duplicate_rows"))
+    for name, rate in rates.items():
         pairs += [F.lit(normalize_name(name)), F.coalesce(F.round(rate, 4), F.lit(0.0))]
     return df.agg(
-        F.count(F.lit(1)).alias(f"{prefix}row_count"),
+        rows.alias(f"{prefix}row_count"),
         F.lit(len(names)).cast("long").alias(f"{prefix}column_count"),
         F.to_json(F.create_map(*pairs)).alias(f"{prefix}null_rate_by_column"),
         *more,
@@ -148,9 +160,11 @@ def audit_row(
     twice.
     """
     before = load_profile(raw, "source_", F.count(rejected or F.lit(None)).alias("rejected_rows"), without=rejected)
-    after = load_profile(cleaned, "after_")
-    checked = validate_contract(cleaned, contract).select("duplicate_rows")
-    one = one_row(before, after, checked)
+    keyed = bool(contract.unique) and not missing_columns(cleaned, contract.unique)
+    after = load_profile(cleaned, "after_", unique=contract.unique if keyed else ())
+    if not keyed:  # 0 without a key, unknown where the table lacks a column of it
+        after = after.withColumn("duplicate_rows", F.lit(None if contract.unique else 0).cast("long"))
+    one = one_row(before, after)
     return one.select(
         F.lit(table_key).alias("table_key"),
         F.lit(table_key).alias("bronze_table"),
