@@ -24,6 +24,7 @@ from tidemark.plans.bronze import EXPORT_TABLES, load_table
 from tidemark.plans.public_copy import build_public_copy
 from tidemark.session import scratch_path
 from tidemark.sources import csv_exports, export_dirs, inventory, publish, warehouse
+from tidemark.sources.swap import side_by_side
 from tidemark.sources.warehouse import Warehouse
 
 
@@ -462,8 +463,8 @@ def load_tables(c: Context) -> DataFrame:
     """Export files of all tables to bronze tables, by the loader: whole rows and the audit."""
     directory = scratch_path(c.spark, "export")
     store = Warehouse(c.spark, scratch_path(c.spark, "bronze"))
-    parts = []
-    for key in CLEANED:
+
+    def load(key: str) -> DataFrame:
         table = EXPORT_TABLES[key]
         path = f"{directory}/{table.file}"
         if table.preamble_header:
@@ -472,7 +473,9 @@ def load_tables(c: Context) -> DataFrame:
             write_csv(c.raw(key), path)
         stored = load_table(c.spark, key, directory, store, F.lit("2024-05-01").cast("timestamp_ntz"), load_id="l1")
         stored = stored.select(*table.contract.required)
-        parts.append(stored.select(F.lit(key).alias("table_key"), texts(stored).alias("record")))
+        return stored.select(F.lit(key).alias("table_key"), texts(stored).alias("record"))
+
+    parts = side_by_side(load, CLEANED)
     audit = store.read("bronze", "ingestion_audit")
     parts.append(audit.select(F.concat(F.lit("audit of "), "table_key").alias("table_key"), F.concat_ws("|", *_AUDITED).alias("record")))
     return reduce(DataFrame.unionByName, parts)

@@ -14,6 +14,7 @@ from tidemark.operators import cleaning
 from tidemark.operators.cleaning import Recipe
 from tidemark.operators.contracts import TableContract, assert_columns, audit_row
 from tidemark.sources.csv_exports import REJECTED, accepted_records, read_records, read_records_after_preamble, rejected_records
+from tidemark.sources.swap import side_by_side
 from tidemark.sources.warehouse import Warehouse
 
 
@@ -408,9 +409,10 @@ def load_table(
 
 
 def load_all(spark: SparkSession, directories: dict[str, str], warehouse: Warehouse, load_id: str | None = None) -> dict[str, int]:
-    """Load every table of the given {export type: directory}; row counts by table."""
-    return {
-        key: load_table(spark, key, directories[table.export_type], warehouse, load_id=load_id).count()
-        for key, table in EXPORT_TABLES.items()
-        if table.export_type in directories
-    }
+    """Load every table of the given {export type: directory}, a few at a time; row counts by table."""
+    keys = [key for key, table in EXPORT_TABLES.items() if table.export_type in directories]
+
+    def load(key: str) -> int:
+        return load_table(spark, key, directories[EXPORT_TABLES[key].export_type], warehouse, load_id=load_id).count()
+
+    return dict(zip(keys, side_by_side(load, keys), strict=True))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -17,6 +18,9 @@ from tidemark.sources.swap import write_then_switch
 # The layers of the warehouse, in build order.
 LAYERS = ("raw", "bronze", "silver", "gold", "main")
 
+# Whether a table is there, and its schema, must not be asked while another thread makes it.
+_APPENDING = threading.Lock()
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -52,28 +56,29 @@ class Warehouse:
         """
         if load is not None and (not load.strip() or "load_id" in df.columns):
             raise ValueError("a load needs a name, and load_id is its column")
-        if self.exists(layer, table):
-            stored = self.read(layer, table).schema
-            if ("load_id" in stored.fieldNames()) != (load is not None):
-                raise ValueError(f"{layer}.{table} is appended to {'with' if load is None else 'without'} the name of a load")
-            stored = T.StructType([f for f in stored.fields if f.name != "load_id" or load is None])
-            unknown = [name for name in df.columns if name not in stored.fieldNames()]
-            if unknown:
-                raise ValueError(f"columns not in {layer}.{table}: {unknown}")
-            df = df.select(
-                *[
-                    (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                    for f in stored.fields
-                ]
-            )
-        path = self.path(layer, table)
-        if load is None:
-            df.write.mode("append").parquet(path)
-        else:
-            # The word in front keeps Spark from reading the name of a partition as a number or a date.
-            write_then_switch(self.spark, f"{path}/load_id=load-{quote(load, safe='')}", df.write.parquet)
-            self.spark.catalog.refreshByPath(path)
-        return self.read(layer, table)
+        with _APPENDING:
+            if self.exists(layer, table):
+                stored = self.read(layer, table).schema
+                if ("load_id" in stored.fieldNames()) != (load is not None):
+                    raise ValueError(f"{layer}.{table} is appended to {'with' if load is None else 'without'} the name of a load")
+                stored = T.StructType([f for f in stored.fields if f.name != "load_id" or load is None])
+                unknown = [name for name in df.columns if name not in stored.fieldNames()]
+                if unknown:
+                    raise ValueError(f"columns not in {layer}.{table}: {unknown}")
+                df = df.select(
+                    *[
+                        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                        for f in stored.fields
+                    ]
+                )
+            path = self.path(layer, table)
+            if load is None:
+                df.write.mode("append").parquet(path)
+            else:
+                # The word in front keeps Spark from reading the name of a partition as a number or a date.
+                write_then_switch(self.spark, f"{path}/load_id=load-{quote(load, safe='')}", df.write.parquet)
+                self.spark.catalog.refreshByPath(path)
+            return self.read(layer, table)
 
     def missing(self, tables: Sequence[tuple[str, str]]) -> list[str]:
         return sorted(f"{layer}.{table}" for layer, table in tables if not self.exists(layer, table))
