@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans.bronze import EXPORT_TABLES, load_table
 from tidemark.sources import csv_exports, inventory
+from tidemark.sources import publish as publishing
 from tidemark.sources.export_dirs import resolve_export_dir
 from tidemark.sources.publish import ExportSpec, check_exports, publish
 from tidemark.sources.warehouse import Warehouse, preview, warehouse_census
@@ -189,3 +191,17 @@ def test_check_exports(spark, tmp_path, rows):
     spark.range(3).write.parquet(f"{tmp_path}/a.parquet")
     found = check_exports(spark, str(tmp_path), {"a": ("id", "x"), "b": ("id",)})
     assert rows(found) == [("a", True, 3, "x", False), ("b", False, 0, "id", False)]
+
+
+def test_exports_are_written_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    both, write = threading.Barrier(2), publishing.write_export
+
+    def meet(df, directory, name, *rest):
+        if name in ("one", "two"):
+            both.wait(60)  # broken, an error, if the other one is not written meanwhile
+        return write(df, directory, name, *rest)
+
+    monkeypatch.setattr(publishing, "write_export", meet)
+    specs = [ExportSpec(name, "t", ("id",), ("-id",), name) for name in ("two", "one")]
+    listed = publish({"t": spark.range(3)}, specs, str(tmp_path / "bi"))
+    assert [(r.output_name, r.row_count) for r in listed.collect()] == [("one", 3), ("two", 3)]

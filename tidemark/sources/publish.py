@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.export_dirs import path_exists
-from tidemark.sources.swap import write_then_switch
+from tidemark.sources.swap import side_by_side, write_then_switch
 
 FORMATS = {"csv": ("csv",), "parquet": ("parquet",), "both": ("csv", "parquet")}
 
@@ -121,17 +121,18 @@ def write_summary(spark: SparkSession, specs: Sequence[ExportSpec], directory: s
 def publish(
     tables: Mapping[str, DataFrame], specs: Sequence[ExportSpec], directory: str, kind: str = "both", marked: bool = False
 ) -> DataFrame:
-    """Write every spec whose source is in ``tables`` and the manifest over the written files."""
+    """Write every spec whose source is in ``tables``, a few at a time, and the manifest over the written files."""
     missing = sorted({spec.source for spec in specs} - set(tables))
     if missing:
         raise LookupError("missing source tables: " + ", ".join(missing))
     spark = next(iter(tables.values())).sparkSession
-    done = {}
-    for spec in specs:
+
+    def write(spec: ExportSpec) -> tuple[str, str, DataFrame, Sequence[str]]:
         files = write_export(spec.shape(tables[spec.source]), directory, spec.name, kind, spec.order, marked)
         stored = read_export(spark, directory, spec.name, "csv" if kind == "csv" else "parquet")
-        done[spec.name] = (spec.source, spec.description, stored, files)
-    listed = manifest(done)
+        return spec.source, spec.description, stored, files
+
+    listed = manifest(dict(zip([spec.name for spec in specs], side_by_side(write, specs), strict=True)))
     write_export(listed, directory, "_export_manifest", kind, ("output_name",), marked)
     return read_export(spark, directory, "_export_manifest", "csv" if kind == "csv" else "parquet").orderBy("output_name")
 
