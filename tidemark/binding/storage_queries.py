@@ -22,16 +22,17 @@ from tidemark.functions import lexicon
 from tidemark.plans import exports, history
 from tidemark.plans.bronze import EXPORT_TABLES, load_table
 from tidemark.plans.public_copy import build_public_copy
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, shuffles_removed
 from tidemark.sources import csv_exports, export_dirs, inventory, publish, warehouse
-from tidemark.sources.swap import side_by_side
+from tidemark.sources.swap import fresh_directory, side_by_side
 from tidemark.sources.warehouse import Warehouse
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, **options: str) -> str:
     """Plain export CSV: header, untouched whitespace, doubled quotes."""
     (
-        df.write.option("header", True)
+        df.write.options(**options)
+        .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -460,22 +461,29 @@ def _loaded_sql(key: str) -> str:
 
 @query("l1_load_tables", " union all ".join(map(_loaded_sql, CLEANED)))
 def load_tables(c: Context) -> DataFrame:
-    """Export files of all tables to bronze tables, by the loader: whole rows and the audit."""
+    """Export files of all tables to bronze tables, by the loader: whole rows and the audit.
+
+    As text the exports are many times their input, so they are packed, and a
+    table's files go when it is loaded: the raw layer has its records then.
+    """
     directory = scratch_path(c.spark, "export")
     store = Warehouse(c.spark, scratch_path(c.spark, "bronze"))
+    packed = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
     def load(key: str) -> DataFrame:
         table = EXPORT_TABLES[key]
-        path = f"{directory}/{table.file}"
-        if table.preamble_header:
-            _preamble_lines(c.raw(key), table.preamble_header).write.text(path)
-        else:
-            write_csv(c.raw(key), path)
-        stored = load_table(c.spark, key, directory, store, F.lit("2024-05-01").cast("timestamp_ntz"), load_id="l1")
+        with fresh_directory(c.spark, directory) as export:
+            path = f"{export}/{table.file}"
+            if table.preamble_header:
+                _preamble_lines(c.raw(key), table.preamble_header).write.options(**packed).text(path)
+            else:
+                write_csv(c.raw(key), path, **packed)
+            stored = load_table(c.spark, key, export, store, F.lit("2024-05-01").cast("timestamp_ntz"), load_id="l1")
         stored = stored.select(*table.contract.required)
         return stored.select(F.lit(key).alias("table_key"), texts(stored).alias("record"))
 
-    parts = side_by_side(load, CLEANED)
+    with shuffles_removed(c.spark):
+        parts = side_by_side(load, CLEANED)
     audit = store.read("bronze", "ingestion_audit")
     parts.append(audit.select(F.concat(F.lit("audit of "), "table_key").alias("table_key"), F.concat_ws("|", *_AUDITED).alias("record")))
     return reduce(DataFrame.unionByName, parts)

@@ -7,7 +7,11 @@ import os
 import re
 import shutil
 import tempfile
+import threading
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +66,34 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANING = threading.Lock()
+_INSIDE: Counter[str] = Counter()
+_BEFORE: dict[str, str] = {}
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go when each write ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, so a
+    row of writes keeps the shuffles of all of them. The setting is the
+    session's, so it also holds for what other threads begin meanwhile; the last
+    one to leave puts the former value back.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _CLEANING:
+        _INSIDE[session] += 1
+        if _INSIDE[session] == 1:
+            _BEFORE[session] = spark.conf.get(_CLEANUP, "false")
+            spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _CLEANING:
+            _INSIDE[session] -= 1
+            if not _INSIDE[session]:
+                spark.conf.set(_CLEANUP, _BEFORE.pop(session))
+                del _INSIDE[session]

@@ -38,11 +38,17 @@ def csv_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
 
 
 def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """The column names in a file's first line that is not empty; a few bytes are read, no job runs."""
-    jvm = spark._jvm
+    """The column names in a file's first line that is not empty; a few bytes are read, no job runs.
+
+    A compressed file is known by its name's ending, as to Spark's reader.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path(file)
-    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    stream = at.getFileSystem(conf).open(at)
     try:
+        if codec:
+            stream = codec.createInputStream(stream)
         lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         line = lines.readLine()
         while line is not None and not line.strip("\ufeff \t"):

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,13 @@ LAYERS = ("raw", "bronze", "silver", "gold", "main")
 _APPENDING = threading.Lock()
 
 
+def _writer(df: DataFrame) -> DataFrameWriter:
+    return df.write.option("compression", "zstd")
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables as Parquet directories ``root/layer/table``."""
+    """Tables as Parquet directories ``root/layer/table``, packed with Zstandard."""
 
     spark: SparkSession
     root: str
@@ -42,7 +46,7 @@ class Warehouse:
 
     def replace(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         """Put a new table in the place of an old one, which stays until the new one is written."""
-        write_then_switch(self.spark, self.path(layer, table), df.write.parquet)
+        write_then_switch(self.spark, self.path(layer, table), _writer(df).parquet)
         self.spark.catalog.refreshByPath(self.path(layer, table))
         return self.read(layer, table)
 
@@ -73,10 +77,10 @@ class Warehouse:
                 )
             path = self.path(layer, table)
             if load is None:
-                df.write.mode("append").parquet(path)
+                _writer(df).mode("append").parquet(path)
             else:
                 # The word in front keeps Spark from reading the name of a partition as a number or a date.
-                write_then_switch(self.spark, f"{path}/load_id=load-{quote(load, safe='')}", df.write.parquet)
+                write_then_switch(self.spark, f"{path}/load_id=load-{quote(load, safe='')}", _writer(df).parquet)
                 self.spark.catalog.refreshByPath(path)
             return self.read(layer, table)
 
