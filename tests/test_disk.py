@@ -9,7 +9,7 @@ from types import SimpleNamespace
 import pytest
 
 from tidemark.binding import storage_queries
-from tidemark.plans.bronze import EXPORT_TABLES
+from tidemark.plans.bronze import EXPORT_TABLES, load_table
 from tidemark.session import shuffles_removed
 from tidemark.sources import csv_exports
 from tidemark.sources.warehouse import Warehouse
@@ -74,6 +74,21 @@ def test_load_query_leaves_tables_only(spark, rows, tmp_path, monkeypatch):
     assert shuffle_files(spark) <= before
 
 
+def test_files_can_go_once_their_records_are_landed(spark, rows, tmp_path):
+    file = tmp_path / "exp/Skills.csv"
+    file.parent.mkdir()
+    file.write_text("Name\nSQL\nPython\nSQL,\n")
+    store, seen = Warehouse(spark, str(tmp_path / "w")), []
+
+    def landed():
+        seen.append((store.read("raw", "skills").count(), store.exists("bronze", "skills")))
+        file.unlink()
+
+    assert rows(load_table(spark, "skills", str(file.parent), store, landed=landed)) == [("Python",), ("SQL",)]
+    assert seen == [(3, False)]
+    assert store.read("raw", "rejected_records").count() == 1
+
+
 def test_tables_are_packed_with_zstandard(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path))
     store.replace(spark.range(3), "main", "a")

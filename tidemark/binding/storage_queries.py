@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from contextlib import ExitStack
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -464,7 +465,7 @@ def load_tables(c: Context) -> DataFrame:
     """Export files of all tables to bronze tables, by the loader: whole rows and the audit.
 
     As text the exports are many times their input, so they are packed, and a
-    table's files go when it is loaded: the raw layer has its records then.
+    table's files go when the raw layer has its records.
     """
     directory = scratch_path(c.spark, "export")
     store = Warehouse(c.spark, scratch_path(c.spark, "bronze"))
@@ -472,13 +473,15 @@ def load_tables(c: Context) -> DataFrame:
 
     def load(key: str) -> DataFrame:
         table = EXPORT_TABLES[key]
-        with fresh_directory(c.spark, directory) as export:
+        with ExitStack() as files:
+            export = files.enter_context(fresh_directory(c.spark, directory))
             path = f"{export}/{table.file}"
             if table.preamble_header:
                 _preamble_lines(c.raw(key), table.preamble_header).write.options(**packed).text(path)
             else:
                 write_csv(c.raw(key), path, **packed)
-            stored = load_table(c.spark, key, export, store, F.lit("2024-05-01").cast("timestamp_ntz"), load_id="l1")
+            moment = F.lit("2024-05-01").cast("timestamp_ntz")
+            stored = load_table(c.spark, key, export, store, moment, load_id="l1", landed=files.close)
         stored = stored.select(*table.contract.required)
         return stored.select(F.lit(key).alias("table_key"), texts(stored).alias("record"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -372,6 +372,7 @@ def load_table(
     loaded_at: Column | None = None,
     multiline: bool = True,
     load_id: str | None = None,
+    landed: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Land the records, clean, check, replace the bronze table, and append rejected records and the audit row.
 
@@ -380,12 +381,15 @@ def load_table(
     than their header are counted in the audit row and kept, as text, in
     raw.rejected_records. A load that failed can be run again under its
     ``load_id`` and leaves one audit row; without a name every call is a load
-    of its own.
+    of its own. ``landed`` is called once the raw layer has the records: this
+    load does not read the files after that.
     """
     table = EXPORT_TABLES[key]
     load = f"{key}-{load_id or uuid.uuid4().hex}"
     moment = F.current_timestamp().cast("timestamp_ntz") if loaded_at is None else loaded_at
     records = warehouse.replace(read_raw(spark, table, directory, multiline), "raw", key)
+    if landed:
+        landed()
     cleaned = table.recipe(accepted_records(records))
     assert_columns(cleaned, table.contract)
     stored = warehouse.replace(cleaned, "bronze", key)
